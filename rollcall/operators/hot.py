@@ -1,0 +1,31 @@
+"""Splitting off keys that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int) -> DataFrame:
+    """The heaviest keys (NULL may be one) with at least ``min_rows`` rows.
+
+    At most ``max_keys`` rows come back, so the result may be broadcast. Keys
+    beyond that stay on the ordinary path, where each holds less than a
+    ``max_keys``-th of the data.
+    """
+    return (
+        df.groupBy(key)
+        .agg(F.count("*").alias("_rows"))
+        .filter(F.col("_rows") >= min_rows)
+        .orderBy(F.desc("_rows"), F.asc_nulls_first(key))
+        .limit(max_keys)
+        .select(F.col(key).alias("_hot"))
+    )
+
+
+def only_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left_semi")
+
+
+def without_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left_anti")
