@@ -26,10 +26,15 @@ def count_distinct_where(
     flags = {name: flag(test & F.col(id_col).isNotNull()) for name, test in tests.items()}
     if id_is_unique:
         return df.groupBy(*keys).agg(*[F.sum(f).alias(name) for name, f in flags.items()])
-    per_id = df.groupBy(*keys, id_col).agg(*[F.max(f).alias(name) for name, f in flags.items()])
+    per_id = df.groupBy(*together(keys, id_col)).agg(*[F.max(f).alias(name) for name, f in flags.items()])
     return per_id.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in flags])
 
 
+def together(keys: Sequence[str], id_col: str) -> list[str]:
+    """The keys and the id, which may be a key itself."""
+    return list(dict.fromkeys([*keys, id_col]))
+
+
 def text_list(value: str, separator: str = ", ", order: str | None = None) -> Column:
     """Ordered concatenation of the non-NULL values; NULL if there is none."""
     return F.expr(f"listagg({value}, '{separator}') WITHIN GROUP (ORDER BY {order or value})")
@@ -47,12 +52,11 @@ def distinct_list(df: DataFrame, keys: Sequence[str], item: str, name: str) -> D
     return df.select(*keys, item).distinct().groupBy(*keys).agg(text_list(item).alias(name))
 
 
-def worst_label(label: Column, ranked: Sequence[str]) -> Column:
-    """The first of ``ranked`` (worst first) that occurs in the group, else NULL."""
-    return label_of_rank(F.max(rank_of_label(label, ranked)), ranked)
-
-
 def rank_of_label(label: Column, ranked: Sequence[str]) -> Column:
+    """Severity of a label: highest for the first of ``ranked``, 0 for others.
+
+    The maximum over a group, turned back into a label, is the worst in it.
+    """
     rank = F.lit(0)
     for height, text in enumerate(reversed(ranked), start=1):
         rank = F.when(label == text, height).otherwise(rank)
