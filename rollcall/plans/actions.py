@@ -214,11 +214,13 @@ def _enriched(actions: DataFrame, facts: list[DataFrame]) -> DataFrame:
     )
 
 
-TOUCH_ORDER = [
-    F.asc_nulls_first("action_ts_az"),
-    F.asc("confirmation_touch_source"),
-    F.asc_nulls_first("user_email"),
-]
+def _touch_order() -> list[Column]:
+    """A total order of the touches of one ticket and status."""
+    return [
+        F.asc_nulls_first("action_ts_az"),
+        F.asc("confirmation_touch_source"),
+        F.asc_nulls_first("user_email"),
+    ]
 
 
 def _ranked(actions: DataFrame) -> DataFrame:
@@ -227,7 +229,7 @@ def _ranked(actions: DataFrame) -> DataFrame:
     by_ticket = Window.partitionBy("ticket_id")
     return actions.withColumns(
         {
-            "ticket_confirmation_rank": F.row_number().over(by_status.orderBy(*TOUCH_ORDER)),
+            "ticket_confirmation_rank": F.row_number().over(by_status.orderBy(*_touch_order())),
             "ticket_status_action_count": F.count("*").over(by_status),
             "ticket_total_action_count": F.count("*").over(by_ticket),
         }
@@ -263,7 +265,7 @@ def _ranked_by_slices(actions: DataFrame) -> DataFrame:
     same_slice = reduce(
         lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_c_{key}")) for key in keys]
     )
-    in_slice = F.row_number().over(Window.partitionBy(*keys).orderBy(*TOUCH_ORDER))
+    in_slice = F.row_number().over(Window.partitionBy(*keys).orderBy(*_touch_order()))
     return (
         sliced.withColumn("_in_slice", in_slice)
         .join(counts, same_slice)

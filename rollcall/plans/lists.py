@@ -119,14 +119,20 @@ def _display(flagship: str) -> dict[str, str]:
     }
 
 
+def product_tickets(tables: Tables, product: str) -> DataFrame:
+    """The product's tickets that are not deleted, with the status in lower case."""
+    return (
+        tables["tickets"]
+        .filter(F.col("product_name").contains(product) & (F.col("is_deleted") == 0))
+        .withColumn("status", F.lower("status"))
+    )
+
+
 def scope(tables: Tables, product: str) -> DataFrame:
-    """The product's tickets that are not deleted, each with its sale.
+    """The product's tickets, each with its sale.
 
     A sale that is recorded more than once repeats the ticket.
     """
-    tickets = tables["tickets"].filter(
-        F.col("product_name").contains(product) & (F.col("is_deleted") == 0)
-    )
     sales = tables["transactions"].select(
         F.col("cv_transaction_id").alias("transaction_id"),
         "transaction_date",
@@ -134,41 +140,61 @@ def scope(tables: Tables, product: str) -> DataFrame:
         F.col("purchaser_email").alias("sale_email"),
         F.col("purchaser_phone").alias("sale_phone"),
     )
-    return tickets.withColumn("status", F.lower("status")).join(sales, "transaction_id", "left")
+    return product_tickets(tables, product).join(sales, "transaction_id", "left")
 
 
 def ticket_rollup(scoped: DataFrame, settings: Settings) -> DataFrame:
     """Counts, dates, restriction and ticket ids per business.
 
-    Rows are reduced to one per business and ticket first: ticket counts are
-    then exact without a distinct aggregate, and a large business is spread
-    over all tasks. Status counts count rows, ticket counts count tickets.
+    Unless each row is known to be another ticket, rows are reduced to one per
+    business and ticket first: ticket counts are then exact without a distinct
+    aggregate, and a large business is spread over all tasks. Status counts
+    count rows, ticket counts count tickets.
     """
     status, event_date = F.col("status"), F.col("event_date")
     upcoming = status.isin(BOOKED) & (event_date >= settings.today)
-    queued = F.coalesce("undecided_timestamp", "registration_date")
-    per_ticket = scoped.groupBy("customer_id", "ticket_id").agg(
-        F.max(flag(status.isin(UNSCHEDULED))).alias("unscheduled"),
-        F.min("transaction_date").alias("first_sale"),
-        F.max("transaction_date").alias("last_sale"),
-        F.min(F.when(upcoming, event_date)).alias("next_event_date"),
-        F.max(F.when(status == "attended", event_date)).alias("last_attended_date"),
-        F.min(queued).alias("priority_date"),
-        F.max(rank_of_label(F.col("outreach_restriction"), RESTRICTIONS)).alias("severity"),
-        *[F.sum(flag(status == s)).alias(name) for s, name in STATUS_COUNTS.items()],
-    )
+    severity = rank_of_label(F.col("outreach_restriction"), RESTRICTIONS)
+    # name -> (value of a row, how rows combine, first per ticket, then per business)
+    parts = {
+        "first_sale": (F.col("transaction_date"), F.min),
+        "last_sale": (F.col("transaction_date"), F.max),
+        "next_event_date": (F.when(upcoming, event_date), F.min),
+        "last_attended_date": (F.when(status == "attended", event_date), F.max),
+        "priority_date": (F.coalesce("undecided_timestamp", "registration_date"), F.min),
+        "severity": (severity, F.max),
+        "unscheduled": (flag(status.isin(UNSCHEDULED)), F.max),
+        **{name: (flag(status == s), F.sum) for s, name in STATUS_COUNTS.items()},
+    }
+    if settings.tickets_are_unique and settings.sales_are_unique:
+        per_ticket = scoped.select(
+            "customer_id", "ticket_id", *[value.alias(name) for name, (value, _) in parts.items()]
+        )
+    else:
+        per_ticket = scoped.groupBy("customer_id", "ticket_id").agg(
+            *[combine(value).alias(name) for name, (value, combine) in parts.items()]
+        )
     known = F.col("ticket_id").isNotNull()
-    return per_ticket.groupBy("customer_id").agg(
-        F.count("ticket_id").alias("ticket_count"),
-        F.count_if(known & (F.col("unscheduled") == 1)).alias("unscheduled_tickets"),
-        F.to_date(F.min("first_sale")).alias("first_purchase_date"),
-        F.to_date(F.max("last_sale")).alias("latest_purchase_date"),
-        F.min("next_event_date").alias("next_event_date"),
-        F.max("last_attended_date").alias("last_attended_date"),
-        F.min("priority_date").alias("priority_date"),
-        label_of_rank(F.max("severity"), RESTRICTIONS).alias("outreach_restriction"),
-        *[F.sum(name).alias(name) for name in STATUS_COUNTS.values()],
-        text_list("ticket_id").alias("ticket_ids"),
+    combined = {
+        name: combine(name)
+        for name, (_, combine) in parts.items()
+        if name not in ("unscheduled", "severity")
+    }
+    return (
+        per_ticket.groupBy("customer_id")
+        .agg(
+            F.count("ticket_id").alias("ticket_count"),
+            F.count_if(known & (F.col("unscheduled") == 1)).alias("unscheduled_tickets"),
+            label_of_rank(F.max("severity"), RESTRICTIONS).alias("outreach_restriction"),
+            text_list("ticket_id").alias("ticket_ids"),
+            *[column.alias(name) for name, column in combined.items()],
+        )
+        .withColumns(
+            {
+                "first_purchase_date": F.to_date("first_sale"),
+                "latest_purchase_date": F.to_date("last_sale"),
+            }
+        )
+        .drop("first_sale", "last_sale")
     )
 
 
@@ -417,8 +443,13 @@ def unscheduled_group(open_count: Column, undecided: Column, at_sale: Column, ex
 
 def customer_list(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
     """The list of one product, longest in queue first."""
-    scoped = scope(tables, spec.product).filter(F.col("customer_id").isNotNull())
-    types = types_counted(scoped) if spec.counted_types else types_distinct(scoped)
+    known = F.col("customer_id").isNotNull()
+    tickets = product_tickets(tables, spec.product).filter(known)
+    scoped = scope(tables, spec.product).filter(known)
+    if spec.counted_types:
+        types = types_counted(tickets if settings.sales_are_unique else scoped)
+    else:
+        types = types_distinct(tickets)
 
     needed = [
         pick_contact(contact_candidates(tables, scoped, settings)),
@@ -426,7 +457,7 @@ def customer_list(tables: Tables, spec: ListSpec, settings: Settings) -> DataFra
     ]
     optional = [
         types,
-        sales_orders(scoped),
+        sales_orders(tickets),
         last_activity(tables, spec.product),
         first_purchase(tables, spec.flagship),
         status_summary(tables, spec.product),

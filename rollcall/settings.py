@@ -29,9 +29,11 @@ class Settings:
     floor_weeks: bool = False
     # Statuses (any casing) the event overview leaves out.
     excluded_statuses: tuple[str, ...] = ("cancelled",)
-    # Set when the ticket table enforces one row per ticket_id. Distinct ticket
-    # counts then become plain counts and need no shuffle of the tickets.
+    # Set when a table enforces one row per ticket_id / per cv_transaction_id.
+    # Distinct ticket counts then become plain counts and need no shuffle of the
+    # tickets, and tickets are not joined to sales just to count the repeats.
     tickets_are_unique: bool = False
+    sales_are_unique: bool = False
     # A ticket with at least this many touches is ranked in hourly slices; at
     # most max_hot_tickets (the heaviest) are treated so, which bounds what is
     # broadcast. Neither value changes a result.

@@ -14,7 +14,9 @@ from pyspark.sql import SparkSession
 from rollcall.settings import Settings
 from rollcall.sources.tables import Tables
 
-SETTINGS = Settings(as_of=datetime(2024, 1, 20, 15, 30), tickets_are_unique=True)
+SETTINGS = Settings(
+    as_of=datetime(2024, 1, 20, 15, 30), tickets_are_unique=True, sales_are_unique=True
+)
 PATTERNS = {"alpha": "Alpha", "beta": "Beta", "gamma": "Gamma"}
 FLAGSHIP = "Alpha"
 
@@ -280,9 +282,20 @@ COLUMNS: dict[str, dict[str, str]] = {
     },
 }
 
-RAW_TABLES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-]
+# Columns of the test tables the mapping reads (fixed values). Stating them
+# spares a job per table to infer them.
+RAW_TABLES = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double, "
+    "l_returnflag string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
 
 
 def select_text(table: str, sources: dict[str, str]) -> str:
@@ -295,7 +308,10 @@ def sample_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
     def load(table: str):
         used = [raw for raw in RAW_TABLES if f"{{{raw}}}" in SOURCES[table]]
-        frames = {raw: spark.read.parquet(f"{sf_dir}/{raw}.parquet") for raw in used}
+        frames = {
+            raw: spark.read.schema(RAW_TABLES[raw]).parquet(f"{sf_dir}/{raw}.parquet")
+            for raw in used
+        }
         return spark.sql(select_text(table, SOURCES), **frames)
 
     return Tables(load)
