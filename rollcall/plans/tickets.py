@@ -13,13 +13,7 @@ from rollcall.sources.tables import Tables
 
 def _as_tickets_all(df: DataFrame, **special: Column) -> DataFrame:
     """Projects onto the shared layout; columns the source lacks become typed NULLs."""
-
-    def source(name: str) -> Column:
-        if name in special:
-            return special[name]
-        return F.col(name) if name in df.columns else F.lit(None)
-
-    return df.select([source(f.name).cast(f.dataType).alias(f.name) for f in TICKETS_ALL])
+    return df.withColumns(special).to(TICKETS_ALL)
 
 
 def live_tickets(tickets: DataFrame) -> DataFrame:

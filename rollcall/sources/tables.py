@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.sources.schemas import BASE_TABLES
@@ -16,7 +15,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     Join keys get their type here, once, so that no join compares casts.
     """
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    missing = [name for name in schema.names if name not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    return df.to(schema)
 
 
 class Tables(Mapping[str, DataFrame]):

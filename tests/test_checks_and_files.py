@@ -177,11 +177,13 @@ def test_filters_and_columns_reach_the_scan(stored):
 
 
 def test_keys_are_cast_once_when_loaded(spark):
-    raw = spark.range(3).select(F.col("id").alias("ticket_id"), F.lit("7").alias("event_type_id"))
-    missing = [f for f in BASE_TABLES["tickets"].names if f not in raw.columns]
-    loaded = Tables.of({"tickets": raw.select("*", *[F.lit(None).alias(f) for f in missing])})
-    assert loaded["tickets"].dtypes == [
-        (f.name, f.dataType.simpleString()) for f in BASE_TABLES["tickets"]
+    raw = spark.range(3).select(F.col("id").alias("Customer"), F.col("id").alias("Person"))
+    with pytest.raises(ValueError, match="StaffTitleName, IsActiveName"):
+        Tables.of({"dim_customer_contact": raw})["dim_customer_contact"]
+    whole = raw.withColumns({"StaffTitleName": F.lit("x"), "IsActiveName": F.lit("y")})
+    loaded = Tables.of({"dim_customer_contact": whole})
+    assert loaded["dim_customer_contact"].dtypes[:2] == [
+        ("Customer", "string"), ("Person", "bigint"),
     ]
     with pytest.raises(KeyError):
         loaded["nothing"]
