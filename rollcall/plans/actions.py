@@ -281,14 +281,21 @@ def action_detail(tables: Tables, settings: Settings) -> DataFrame:
 
     Actions of ordinary tickets are shuffled by ticket once, for the look-ups
     and the ranks together. Tickets with very many touches (a NULL id, say)
-    look up by broadcast instead and are ranked in slices.
+    are not shuffled for the look-ups and are ranked in slices.
     """
     actions = unique_actions(tables, settings)
     facts = _ticket_facts(tables, settings)
+    state, *grouped = facts
 
     confirming = tables["history"].filter(_is_status_change() | _is_date_change())
     hot = hot_keys(confirming, "ticket_id", settings.hot_ticket_rows, settings.max_hot_tickets)
-    hot_facts = [F.broadcast(only_hot(fact, "ticket_id", hot)) for fact in facts]
+    # One row per hot ticket, so small by construction; the ticket table only if
+    # its key is declared, else Spark decides by the size it measures.
+    hot_state = only_hot(state, "ticket_id", hot)
+    hot_facts = [
+        F.broadcast(hot_state) if settings.tickets_are_unique else hot_state,
+        *[F.broadcast(only_hot(fact, "ticket_id", hot)) for fact in grouped],
+    ]
 
     ordinary = _ranked(_enriched(without_hot(actions, "ticket_id", hot), facts))
     heavy = _ranked_by_slices(_enriched(only_hot(actions, "ticket_id", hot), hot_facts))

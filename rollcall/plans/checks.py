@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.operators.aggregates import text_list
 from rollcall.plans.lists import PLACEHOLDER_EMAIL, ListSpec
 from rollcall.settings import Settings
 from rollcall.sources.tables import Tables
@@ -54,33 +55,40 @@ def _verdict(check: str | Column, failing: Column, sample: Column) -> list[Colum
 def verdicts(rows: DataFrame, id_col: str, tests: Mapping[str, Column]) -> DataFrame:
     """One verdict per test over the rows; a NULL test fails.
 
-    The counts take one aggregate over all tests. The samples keep the first
-    few ids per test on the map side, before anything is shuffled.
+    Counts and samples read the same columns of the same failing rows, so they
+    share the shuffles beneath. The samples keep the first few ids per test on
+    the map side, before anything is shuffled.
     """
-    sound = {name: F.coalesce(test, F.lit(False)) for name, test in tests.items()}
-    names = list(sound)
-    failing = rows.agg(*[F.count_if(~ok).alias(name) for name, ok in sound.items()])
-    counted = failing.unpivot([], names, "check", "failing")
-
     outcomes = F.array(
-        *[F.struct(F.lit(n).alias("check"), ok.alias("ok")) for n, ok in sound.items()]
+        *[
+            F.struct(F.lit(name).alias("check"), F.coalesce(test, F.lit(False)).alias("ok"))
+            for name, test in tests.items()
+        ]
+    )
+    failing = rows.select(F.col(id_col).alias("id"), F.inline(outcomes)).filter(~F.col("ok"))
+    counted = failing.groupBy("check").agg(
+        (F.count("id") + F.count_if(F.col("id").isNull())).alias("failing")
     )
     in_order = Window.partitionBy("check").orderBy("id")
     first = (
-        rows.select(F.col(id_col).alias("id"), F.inline(outcomes))
-        .filter(~F.col("ok") & F.col("id").isNotNull())
+        failing.filter(F.col("id").isNotNull())
         .withColumn("place", F.row_number().over(in_order))
         .filter(F.col("place") <= SAMPLE_SIZE + 1)
         .withColumn("shown", F.when(F.col("place") <= SAMPLE_SIZE, F.col("id")))
     )
     samples = first.groupBy("check").agg(
         F.concat(
-            F.expr("listagg(shown, ', ') WITHIN GROUP (ORDER BY place)"),
+            text_list("shown", order="place"),
             F.when(F.max("place") > SAMPLE_SIZE, " ...").otherwise(""),
         ).alias("sample")
     )
-    return counted.join(samples, "check", "left").select(
-        *_verdict(F.col("check"), F.col("failing"), F.col("sample"))
+    names = rows.sparkSession.createDataFrame([(name,) for name in tests], "check string")
+    return (
+        names.join(counted, "check", "left")
+        .join(samples, "check", "left")
+        .select(
+            *_verdict(F.col("check"), F.coalesce("failing", F.lit(0)), F.col("sample"))
+        )
     )
 
 

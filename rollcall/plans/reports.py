@@ -92,21 +92,20 @@ def rep_performance(actions: DataFrame, employees: DataFrame, events: DataFrame)
     """Distinct tickets confirmed per rep, day, event and status.
 
     ``actions`` are actions on live tickets. Events are told apart by what is
-    shown, not by id.
+    shown, not by id. Reps are looked up for the result only, so that a rep with
+    very many actions never gathers them in one task.
     """
     reps = employees.select(
-        F.col("Email").alias("user_email"),
+        F.col("Email").alias("rep_email"),
         F.col("EmployeeName").alias("rep_name"),
         F.col("Team").alias("rep_team"),
-    )
+    ).distinct()
     return (
         _rep_actions(actions)
-        .join(reps, "user_email")
+        .filter(F.col("user_email").isNotNull())
         .join(_events(events), "event_id")
         .groupBy(
-            "rep_name",
             F.col("user_email").alias("rep_email"),
-            "rep_team",
             F.col("action_date_az").alias("action_date"),
             "week_label",
             "week_offset",
@@ -116,6 +115,20 @@ def rep_performance(actions: DataFrame, employees: DataFrame, events: DataFrame)
             "confirmation_status",
         )
         .agg(F.count_distinct("ticket_id").alias("tickets_confirmed"))
+        .join(reps, "rep_email")
+        .select(
+            "rep_name",
+            "rep_email",
+            "rep_team",
+            "action_date",
+            "week_label",
+            "week_offset",
+            "event_name",
+            "event_type",
+            "event_date",
+            "confirmation_status",
+            "tickets_confirmed",
+        )
         .orderBy(
             F.desc_nulls_last("action_date"),
             F.desc("tickets_confirmed"),
