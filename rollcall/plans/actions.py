@@ -21,7 +21,6 @@ from rollcall.functions.predicates import (
     none_of,
 )
 from rollcall.operators.hot import hot_keys, only_hot, without_hot
-from rollcall.operators.picks import keep_first
 from rollcall.settings import Settings
 from rollcall.sources.schemas import CONFIRMATION_ACTIONS, TOUCHES
 from rollcall.sources.tables import Tables, conform
@@ -123,16 +122,37 @@ def pre_history_touches(tickets: DataFrame, history: DataFrame, settings: Settin
 
 
 def unique_actions(tables: Tables, settings: Settings) -> DataFrame:
-    """All touches, the earliest per actor, ticket, status and day."""
+    """All touches, the earliest per actor, ticket, status and day.
+
+    Of touches at one time the first source by name counts. The earliest time
+    per source is a plain minimum, so the touches are hashed and combined on the
+    map side and never sorted. Whether the actor is a person depends on the
+    group key alone.
+    """
     history = tables["history"]
     touches = history_touches(history, settings).unionByName(
         pre_history_touches(tables["tickets"], history, settings)
     )
-    return keep_first(
-        touches,
-        ["user_email", "ticket_id", "confirmation_status", "action_date_az"],
-        [F.asc_nulls_first("action_ts_az"), F.asc("confirmation_touch_source")],
+    sources = sorted([DATE_SOURCE, PRE_HISTORY_SOURCE, STATUS_SOURCE])
+    of_source = {n: F.col("confirmation_touch_source") == s for n, s in enumerate(sources)}
+    grouped = touches.groupBy(
+        "user_email", "ticket_id", "confirmation_status", "action_date_az"
+    ).agg(
+        F.max("is_rep_action").alias("is_rep_action"),
+        F.min("action_ts_az").alias("action_ts_az"),
+        *[F.min(F.when(test, F.col("action_ts_az"))).alias(f"_ts{n}") for n, test in of_source.items()],
+        *[F.max(flag(test)).alias(f"_has{n}") for n, test in of_source.items()],
+    )
+    # Touches without a time have no day either, so they form groups of their own.
+    first_source = F.coalesce(
+        *[
+            F.when(
+                (F.col(f"_has{n}") == 1) & F.col(f"_ts{n}").eqNullSafe(F.col("action_ts_az")), s
+            )
+            for n, s in enumerate(sources)
+        ]
     )
+    return conform(grouped.withColumn("confirmation_touch_source", first_source), TOUCHES)
 
 
 def _first_rep_status_date(history: DataFrame, settings: Settings) -> DataFrame:
