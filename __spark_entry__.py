@@ -6,6 +6,7 @@ folder; the expected results are DuckDB SQL over the same files.
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -21,6 +22,13 @@ from rollcall.plans.tickets import ghost_tickets, tickets_all
 from rollcall.sources.sample import FLAGSHIP, PATTERNS, SETTINGS, sample_tables
 from rollcall.sources.tables import Tables
 
+#: The text operators and the pipeline over them are an optional part.
+if importlib.util.find_spec("rollcall.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from rollcall.llm import queries as text_queries
+else:
+    corpus_pipeline = text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SPECS = {
@@ -246,7 +254,10 @@ def queries() -> dict[str, Query]:
     groups = [
         _fact_queries(), _report_queries(), _list_queries(), _measure_queries(), _check_queries(),
     ]
-    return {name: _over(build) for group in groups for name, build in group.items()}
+    found = {name: _over(build) for group in groups for name, build in group.items()}
+    if text_queries:
+        found |= text_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # --- expected results --------------------------------------------------------------
@@ -557,4 +568,9 @@ SELECT (SELECT count(*) FROM d_old_ids) AS old_businesses,
 def oracle_sql() -> dict[str, str]:
     """The expected result of each query as DuckDB SQL over the same files."""
     groups = [_fact_sql(), _report_sql(), _list_sql(), _measure_sql(), _check_sql()]
-    return {name: text for group in groups for name, text in group.items()}
+    found = {name: text for group in groups for name, text in group.items()}
+    if text_queries:
+        found |= text_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
