@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import cleaning, mixing, tokens
+from rollcall.llm import cleaning, mixing, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,11 @@ def _over_documents(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_table(spark, sf_dir, "documents"))
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.toxic_scores(docs, _table(spark, sf_dir, "labels")).drop("passages")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": _over_documents(
@@ -26,6 +31,7 @@ def queries() -> dict[str, Query]:
         ),
         "op5_cube_mix": _over_documents(lambda docs: mixing.cube_mix(docs).drop("copies", "source")),
         "op6_line_first": _over_documents(cleaning.line_first),
+        "op7_toxic_segments": _toxicity,
     }
 
 
