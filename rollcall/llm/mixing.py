@@ -6,12 +6,12 @@ probability. The cube method turns these into copies while two totals of each so
 are, the words and the documents: among any three documents there is a direction in which their
 probabilities can move with both totals unchanged (the null space of the constraints); the flight
 goes along it until a probability is 0 or 1, and goes on with the next document. At most two
-documents a flight stay undecided.
+documents of a flight stay undecided; they and a few that it does not take up are left over.
 
-A flight takes a block of a source's documents, never a whole source: the undecided ones of all
-blocks meet in the next round's blocks, until a source has one block. The landing then decides the
-last two a source by their probability. A round leaves two of `block` documents, so rounds grow as
-the logarithm of the table and no task holds more than a block.
+A flight takes a block of a source's documents, never a whole source: what all blocks leave meets
+in the next round's blocks, until a source has one block. The landing then decides the last handful
+of a source by trying all outcomes. A round leaves at most LANDING + 2 of `block` documents, so
+rounds grow as the logarithm of the table and no task holds more than a block.
 
 Everything random comes from hashes of doc_id, size and a seed, so reruns agree. Documents of a
 null source are one source, the last. Null and empty texts have size 0: their target is their
@@ -21,7 +21,8 @@ are ignored, an empty table gives an empty result. If all sizes are 0, targets a
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from rollcall.llm.shared import WORD, stored, text_or_empty
 
 _EDGE = 1e-9
+#: Documents of each flight kept for the landing, besides the two that a flight leaves undecided.
+LANDING = 8
 
 
 def source_targets(
@@ -74,7 +77,9 @@ def source_targets(
 
 
 def flight(p: np.ndarray, sizes: np.ndarray, draws: np.ndarray) -> np.ndarray:
-    """Moves the probabilities until at most two lie strictly between 0 and 1.
+    """Moves the probabilities until at most two of those taken up lie strictly between 0 and 1.
+
+    The last LANDING documents are not taken up: they are left for the landing.
 
     Three open documents a, b, c move by (s_b - s_c, s_c - s_a, s_a - s_b): neither their sum nor
     their words change. Documents of equal size leave the words alone in any pair, so then the
@@ -82,7 +87,7 @@ def flight(p: np.ndarray, sizes: np.ndarray, draws: np.ndarray) -> np.ndarray:
     """
     p = p.copy()
     open_units: list[int] = []
-    for i in range(len(p)):
+    for i in range(max(0, len(p) - LANDING)):
         if _EDGE < p[i] < 1 - _EDGE:
             open_units.append(i)
         while len(open_units) == 3:
@@ -106,24 +111,42 @@ def _flights(units: DataFrame, block: int, seed: int, round_no: int) -> DataFram
     """One round: blocks of about `block` units of a source, each flown in one task."""
     counts = units.groupBy("source_no").agg(F.count("*").alias("n_units"))
     blocks = F.ceil(F.col("n_units") / block)
+    block_no = F.pmod(F.xxhash64("unit", F.lit(seed + round_no)), blocks)
+    # One key for source and block, so that the blocks of a large source are dealt to many tasks.
     dealt = units.join(counts, "source_no").withColumn(
-        "block_no", F.pmod(F.xxhash64("unit", F.lit(seed + round_no)), blocks)
+        "flown_with", F.concat_ws(":", "source_no", block_no)
     )
 
     def fly(group: pd.DataFrame) -> pd.DataFrame:
-        # Short documents last: what stays undecided then weighs little.
-        group = group.sort_values(["size", "draw", "unit"], ascending=[False, True, True])
+        group = group.sort_values(["draw", "unit"])
         group["p"] = flight(
             group["p"].to_numpy(), group["size"].to_numpy(dtype="float64"), group["draw"].to_numpy()
         )
         return group[["source_no", "unit", "size", "draw", "p"]]
 
-    columns = dealt.select("source_no", "block_no", "unit", "size", "draw", "p")
-    return columns.groupBy("source_no", "block_no").applyInPandas(
+    columns = dealt.select("flown_with", "source_no", "unit", "size", "draw", "p")
+    return columns.groupBy("flown_with").applyInPandas(
         fly, "source_no long, unit string, size long, draw double, p double"
     )
 
 
+def _landed(units: DataFrame) -> DataFrame:
+    """The last units, a handful a source, decided: of all outcomes the one that keeps its words
+    best, one document counting as much as a hundredth of the mean size."""
+
+    def land(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["draw", "unit"])
+        p, sizes = group["p"].to_numpy(), group["size"].to_numpy(dtype="float64")
+        outcomes = np.array(list(product((0.0, 1.0), repeat=len(group))))
+        moved = outcomes - p
+        cost = np.abs(moved @ sizes) + 0.01 * sizes.mean() * np.abs(moved.sum(axis=1))
+        group["p"] = outcomes[int(cost.argmin())]
+        return group
+
+    columns = "source_no long, unit string, size long, draw double, p double"
+    return units.groupBy("source_no").applyInPandas(land, columns)
+
+
 def cube_mix(
     docs: DataFrame,
     weights: Sequence[float] = (5.0, 2.0, 1.0),
@@ -161,12 +184,12 @@ def cube_mix(
         ended = (F.col("p") <= _EDGE) | (F.col("p") >= 1 - _EDGE)
         decided.append(flown.filter(ended))
         open_units = flown.filter(~ended)
-        # The landing: at most two a source are left when each source had one block.
+        # The landing begins when each source had one block.
         most_left = open_units.groupBy("source_no").count().agg(F.max("count")).first()[0] or 0
         round_no += 1
-        if most_left <= 2:
+        if most_left <= LANDING + 2:
             break
-    landed = open_units.withColumn("p", (F.col("draw") < F.col("p")).cast("double"))
+    landed = _landed(open_units)
     for part in decided:
         landed = landed.unionByName(part)
     chosen = landed.select("source_no", "unit", F.round("p").cast("long").alias("extra"))

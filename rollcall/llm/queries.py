@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import cleaning, mixing, tokens, toxicity
+from rollcall.llm import cleaning, decontam, licences, mixing, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,11 +29,15 @@ def queries() -> dict[str, Query]:
         "op1_token_counts": _over_documents(
             lambda docs: tokens.token_counts(docs, "word_bpe_49k.json")
         ),
+        "op2_decontamination": lambda spark, sf_dir: decontam.contaminated_docs(
+            _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+        ),
         "op5_cube_mix": _over_documents(lambda docs: mixing.cube_mix(docs).drop("copies", "source")),
         "op6_line_first": _over_documents(cleaning.line_first),
         "op7_toxic_segments": _toxicity,
+        "op8_licence_sentences": _over_documents(licences.licences),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_licence_sentences": licences.licences_sql()}
