@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import cleaning, decontam, licences, mixing, tokens, toxicity
+from rollcall.llm import cleaning, decontam, licences, mixing, pii, simhash, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,8 @@ def queries() -> dict[str, Query]:
         "op6_line_first": _over_documents(cleaning.line_first),
         "op7_toxic_segments": _toxicity,
         "op8_licence_sentences": _over_documents(licences.licences),
+        "op9_simhash_pigeonring": _over_documents(simhash.simhash_components),
+        "op10_personal_data": _over_documents(pii.personal_data),
     }
 
 
