@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import cleaning, decontam, licences, mixing, pii, simhash, tokens, toxicity
+from rollcall.llm import cleaning, decontam, licences, mixing, pii, simhash, substrings, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,9 @@ def queries() -> dict[str, Query]:
         "op2_decontamination": lambda spark, sf_dir: decontam.contaminated_docs(
             _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
         ),
+        "op3_seed_and_extend": _over_documents(
+            lambda docs: substrings.without_repeats(docs, texts=False)
+        ),
         "op5_cube_mix": _over_documents(lambda docs: mixing.cube_mix(docs).drop("copies", "source")),
         "op6_line_first": _over_documents(cleaning.line_first),
         "op7_toxic_segments": _toxicity,
