@@ -12,8 +12,8 @@ their budget lowered until it is one at least; those shorter than q must occur a
 Items are taken in blocks of at most `block_chars` characters, which are sent to the tasks;
 documents are read once for all blocks, and no rows are shuffled. Null and empty texts contain
 nothing; null items and items without a letter or digit are left out; equal items are each
-found; repeated rows give equal rows; extra columns of docs are kept by `contamination`, whose
-own column is named `matches`. Empty tables give no matches. A very long text is scanned whole in
+found; repeated rows give equal rows; extra columns are ignored or, by a filter, kept. Empty tables
+give no matches. A very long text is scanned whole in
 linear time.
 """
 
@@ -205,10 +205,8 @@ def _matches(items: tuple[tuple[int, str], ...], errors: float) -> Column:
     return F.pandas_udf(find, _MATCH)(text_or_empty())
 
 
-def contamination(
-    docs: DataFrame, benchmark: DataFrame, errors: float = 0.1, block_chars: int = BLOCK_CHARS
-) -> DataFrame:
-    """docs with `matches`: item, start and end in the normalised text, edits."""
+def matches_of(benchmark: DataFrame, errors: float = 0.1, block_chars: int = BLOCK_CHARS) -> Column:
+    """Of the column text: item, start and end in the normalised text, and edits of each match."""
     usable = benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
     chars = usable.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-2 * chars // block_chars))
@@ -218,12 +216,12 @@ def contamination(
         items = sorted((r["item_id"], t) for r in rows if (t := normalised(r["text"])))
         if items:
             found = F.concat(found, _matches(tuple(items), errors))
-    return docs.withColumn("matches", found)
+    return found
 
 
 def contaminated_docs(docs: DataFrame, benchmark: DataFrame, errors: float = 0.1) -> DataFrame:
     """doc_id, contaminated, n_items, items (ascending ids, joined by commas): one row per row of docs."""
-    found = contamination(docs.select("doc_id", "text"), benchmark, errors)
+    found = docs.select("doc_id", matches_of(benchmark, errors).alias("matches"))
     ids = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
     return found.select("doc_id", ids.alias("ids")).select(
         "doc_id",
@@ -231,3 +229,8 @@ def contaminated_docs(docs: DataFrame, benchmark: DataFrame, errors: float = 0.1
         F.size("ids").cast("long").alias("n_items"),
         F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("items"),
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, errors: float = 0.1) -> DataFrame:
+    """The rows of docs that hold no item."""
+    return docs.filter(F.size(matches_of(benchmark, errors)) == 0)

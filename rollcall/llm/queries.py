@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import cleaning, decontam, licences, mixing, pii, simhash, substrings, tokens, toxicity
+from rollcall.llm import cleaning, decontam, licences, mixing, pii, simhash, substrings, suffixes, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,9 @@ def queries() -> dict[str, Query]:
         "op3_seed_and_extend": _over_documents(
             lambda docs: substrings.without_repeats(docs, texts=False)
         ),
+        "op4_deep_shallow": _over_documents(
+            lambda docs: suffixes.without_repeats(docs, texts=False)
+        ),
         "op5_cube_mix": _over_documents(lambda docs: mixing.cube_mix(docs).drop("copies", "source")),
         "op6_line_first": _over_documents(cleaning.line_first),
         "op7_toxic_segments": _toxicity,

@@ -6,15 +6,24 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm.shared import stored
 from rollcall.llm.winnowing import Rolling, anchors
 
-#: `at` holds the first window start of an anchor and, in the low byte, how many more select it.
-AT = 256
+_BYTE = 256
+
+
+def unpacked(at: int) -> tuple[int, int, int]:
+    """Of an anchor's `at`: the first window start selecting it, how many more do, and how far
+    the anchor lies behind the first."""
+    return at >> 16, (at >> 8) & 255, at & 255
+
+
+def first_and_count(at: Column) -> tuple[Column, Column]:
+    return F.shiftright(at, 16), F.shiftright(at, 8).bitwiseAND(F.lit(255)) + 1
 
 
 def anchor_table(
@@ -28,7 +37,7 @@ def anchor_table(
 
     `anchor` is the hash of its k tokens, `context` that of all tokens of the windows selecting it.
     """
-    if not 0 < length - k < AT:
+    if not 0 < length - k < _BYTE:
         raise ValueError("an anchor must leave room for fewer than 256 windows")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,17 +51,13 @@ def anchor_table(
                 grams, wide = Rolling(found).all(k), Rolling(found, 1)
                 places, first, last = anchors(grams, length - k + 1)
                 counts.append(len(places))
-                parts.append((first * AT + last - first, grams[places], wide.between(first, last + length)))
+                at = (first << 16) + (last - first << 8) + places - first
+                parts.append((at, grams[places], wide.between(first, last + length)))
             if not parts:
                 continue
             rows = pa.array(np.repeat(np.arange(len(counts)), counts))
             columns = [batch.column(name).take(rows) for name in keys]
-            columns += [
-                pa.array(np.concatenate([p[i] for p in parts]).astype(np.int64, copy=False).view(np.int64))
-                if i == 0
-                else pa.array(np.concatenate([p[i] for p in parts]).view(np.int64))
-                for i in range(3)
-            ]
+            columns += [pa.array(np.concatenate(x).view(np.int64)) for x in zip(*parts, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=[*keys, "at", "anchor", "context"])
 
     kind = T.StructType([docs.schema[name] for name in keys])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.seeds import AT, anchor_table, repeated_anchors
+from rollcall.llm.seeds import anchor_table, repeated_anchors, unpacked
 from rollcall.llm.shared import text_or_empty, word_list
 from rollcall.llm.winnowing import Rolling
 
@@ -74,7 +74,7 @@ def _window_rows(sought: DataFrame, length: int, doc_type: T.DataType) -> DataFr
             for i, (text, asks) in enumerate(asked):
                 words = word_list(text)
                 for ask in asks:
-                    first, more = divmod(ask["at"], AT)
+                    first, more, _ = unpacked(ask["at"])
                     found = Rolling(hashes_of(words[first : first + more + length])).all(length)
                     n = len(found)
                     rows.append(np.full(n, i))
@@ -99,7 +99,7 @@ def removed_words(runs: list | None, n: int, length: int) -> np.ndarray:
     """Which of n words lie in a matched window; a run is (at, offsets of windows or None for all)."""
     steps = np.zeros(n + 1, dtype=np.int64)
     for run in runs if runs is not None else ():
-        first, more = divmod(run["at"], AT)
+        first, more, _ = unpacked(run["at"])
         for offset in range(more + 1) if run["offsets"] is None else run["offsets"]:
             steps[first + offset] += 1
             steps[first + offset + length] -= 1

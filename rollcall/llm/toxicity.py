@@ -276,8 +276,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
     return float(w[0]), float(w[1])
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows with score, n_passages and passages (token start, end, segment score)."""
+def toxicity_of(text: Column, model: Model) -> Column:
+    """score and passages (token start, end, segment score) of texts."""
 
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words = _Scores(model)
@@ -293,13 +293,13 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     kind = "score double, passages array<struct<start: int, end: int, weight: double>>"
-    toxic = F.pandas_udf(score, kind)
-    return docs.withColumn("toxicity", toxic(text_or_empty()))
+    return F.pandas_udf(score, kind)(text)
 
 
 def toxic_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted, passages: one row per row of docs."""
-    found = scored(docs.select("doc_id", "text"), fit(docs, labels, fit_rows))
+    model = fit(docs, labels, fit_rows)
+    found = docs.select("doc_id", toxicity_of(text_or_empty(), model).alias("toxicity"))
     score = F.col("toxicity.score")
     return found.select(
         "doc_id",
@@ -308,3 +308,8 @@ def toxic_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
         (score >= 0.5).cast("int").alias("predicted"),
         F.col("toxicity.passages").alias("passages"),
     )
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs that are not called toxic."""
+    return docs.filter(toxicity_of(text_or_empty(), model)["score"] < 0.5)
