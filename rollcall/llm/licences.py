@@ -136,7 +136,7 @@ def normalised_sentences(text: Column) -> Column:
     """The sentences of texts, normalised, in order; empty ones included."""
     unwrapped = F.regexp_replace(F.concat(text, F.lit("\n")), WRAP, " $1")
     ended = F.regexp_replace(F.translate(unwrapped, UPPER, LOWER), END, "\n")
-    return F.transform(F.split(F.regexp_replace(ended, OTHER, " "), "\n"), F.trim)
+    return F.transform(F.split(F.regexp_replace(ended, OTHER, " "), "\n"), lambda x: F.trim(x))
 
 
 def sentence_ids(text: Column) -> Column:
