@@ -45,6 +45,11 @@ _WORD = 8
 _BYTES = np.random.default_rng(400).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
+def block_size(length: int) -> int:
+    """Small enough that the windows of a block have at least half of their bytes in common."""
+    return max(1, min(BLOCK, length // 2))
+
+
 def utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
@@ -146,6 +151,7 @@ def _blocks(asked: DataFrame, length: int) -> DataFrame:
 
     `first` is the block's first window start and `phase` its place in the aligned block.
     """
+    block = block_size(length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,14 +163,15 @@ def _blocks(asked: DataFrame, length: int) -> DataFrame:
                     first, more, lead = unpacked(ask["at"])
                     place = first + lead
                     # Windows by how far before the anchor they start, in aligned blocks of that.
-                    for b in range((place - first - more) // BLOCK, (place - first) // BLOCK + 1):
-                        last = min(first + more, place - b * BLOCK)
-                        begin = max(first, place - b * BLOCK - BLOCK + 1)
-                        core = data[place - b * BLOCK : place - b * BLOCK - BLOCK + 1 + length]
+                    for b in range((lead - more) // block, lead // block + 1):
+                        high = place - b * block
+                        low = high - block + 1
+                        begin, last = max(first, low), min(first + more, high)
+                        core = data[high : low + length]
                         rows.append(i)
                         cores.append(xxhash.xxh64_intdigest(core, (ask["anchor"] + b) & 0xFFFFFFFF))
                         firsts.append(begin)
-                        phases.append(begin - (place - b * BLOCK - BLOCK + 1))
+                        phases.append(begin - low)
                         contents.append(data[begin : last + length])
             if rows:
                 taken = pa.array(rows)
@@ -192,7 +199,7 @@ def _sorted_buckets(blocks: DataFrame, length: int) -> DataFrame:
         starts = (np.cumsum(sizes) - sizes)[row] + inner
         # Windows are compared only with those at the same distance from the anchor.
         core = np.unique(table.column("core").to_numpy(), return_inverse=True)[1]
-        group = core[row] * BLOCK + table.column("phase").to_numpy()[row] + inner
+        group = core[row] * block_size(length) + table.column("phase").to_numpy()[row] + inner
         hit = np.flatnonzero(repeated_starts(b"".join(contents), starts, group, length))
         if not len(hit):
             return None
