@@ -67,6 +67,10 @@ def anchor_table(
 
 
 def repeated_anchors(table: DataFrame) -> DataFrame:
-    """The rows of the anchors that are found twice or more."""
+    """The rows of the anchors that are found twice or more.
+
+    Their list is a table of its own, so that both sides of the join are plain shuffles and an
+    anchor with very many rows (of a text that repeats itself, say) is split among tasks.
+    """
     often = table.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    return stored(table.join(often, "anchor"))
+    return stored(table.join(stored(often), "anchor"))
