@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib.util
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from oracle import duckdb_sql as sql
 from rollcall.plans import actions, checks, lists, measures, reports
 from rollcall.plans.tickets import ghost_tickets, tickets_all
-from rollcall.sources.sample import FLAGSHIP, PATTERNS, SETTINGS, sample_tables
+from rollcall.sinks import staged
+from rollcall.sources.sample import FLAGSHIP, PATTERNS, SETTINGS, UNDECLARED, sample_tables
 from rollcall.sources.tables import Tables
 
 #: The text operators and the pipeline over them are an optional part.
@@ -44,6 +46,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["event_overview"](spark, "/root/testdata/sf0.001")
 
 
+def _repeated(t: Tables) -> Tables:
+    """The tables with some tickets, sales and customers recorded twice."""
+    twice = {
+        "tickets": "ticket_id LIKE '%5'",
+        "transactions": "cv_transaction_id % 6 = 1",
+        "customers": "id % 60 = 7",
+    }
+    return t.replaced(**{n: t[n].unionByName(t[n].filter(test)) for n, test in twice.items()})
+
+
 def _over(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(sample_tables(spark, sf_dir))
 
@@ -95,6 +107,12 @@ def _report_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         "travel_status": lambda t: reports.travel_status(tickets_all(t), t["dim_event"], s),
         "outreach_queue": lambda t: reports.outreach_queue(tickets_all(t), *people(t), s),
         "roster": lambda t: reports.roster(tickets_all(t), *people(t)),
+        "event_overview_undeclared": lambda t: reports.event_overview(
+            tickets_all(_repeated(t)), t["dim_event"], UNDECLARED
+        ),
+        "depth_per_company_repeated": lambda t: reports.depth_per_company(
+            tickets_all(t), t["dim_event"], _repeated(t)["customers"], s
+        ),
         "roster_of_event": lambda t: reports.roster(tickets_all(t), *people(t), event_id="EV-7"),
     }
 
@@ -147,6 +165,11 @@ def _list_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         "list_alpha": listing("alpha"),
         "list_beta": listing("beta"),
         "list_gamma": listing("gamma"),
+        "list_alpha_undeclared": lambda t: lists.customer_list(
+            t.replaced(**{n: _repeated(t)[n] for n in ("tickets", "transactions")}),
+            ALPHA,
+            UNDECLARED,
+        ),
     }
 
 
@@ -159,12 +182,16 @@ def _measure_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     def over_actions(measure, *group_cols: str) -> Callable[[Tables], DataFrame]:
         return lambda t: measure(actions.confirmation_actions(t, s), list(group_cols), s)
 
+    # Measures that read the log for their groups and maxima too read a stored one.
+    def over_stored(measure, *group_cols: str) -> Callable[[Tables], DataFrame]:
+        return lambda t: measure(staged(actions.confirmation_actions(t, s)), list(group_cols), s)
+
     def over_event_actions(measure, *group_cols: str) -> Callable[[Tables], DataFrame]:
-        return lambda t: measure(actions.ticket_actions(t, s), list(group_cols), s)
+        return lambda t: measure(staged(actions.ticket_actions(t, s)), list(group_cols), s)
 
     def travel(*group_cols: str) -> Callable[[Tables], DataFrame]:
         return lambda t: measures.travel(
-            actions.confirmation_actions(t, s), tickets_all(t), list(group_cols), s
+            staged(actions.confirmation_actions(t, s)), tickets_all(t), list(group_cols), s
         )
 
     def health(*group_cols: str) -> Callable[[Tables], DataFrame]:
@@ -173,17 +200,17 @@ def _measure_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     return {
         "measures_confirmations": over_actions(measures.confirmations),
         "measures_confirmations_by_rep": over_actions(measures.confirmations, "user_email"),
-        "measures_confirmations_by_week_and_status": over_actions(
+        "measures_confirmations_by_week_and_status": over_stored(
             measures.confirmations, "week_label", "confirmation_status"
         ),
         "measures_businesses": lambda t: measures.businesses(t["customers"], [], s),
         "measures_week_over_week": over_actions(measures.week_over_week),
-        "measures_week_over_week_by_rep_and_week": over_actions(
+        "measures_week_over_week_by_rep_and_week": over_stored(
             measures.week_over_week, "user_email", "week_label"
         ),
         "measure_data_status": over_actions(measures.data_status),
-        "measures_depth": over_actions(measures.depth),
-        "measures_depth_by_week_and_status": over_actions(
+        "measures_depth": over_stored(measures.depth),
+        "measures_depth_by_week_and_status": over_stored(
             measures.depth, "week_start_date", "confirmation_status"
         ),
         "measures_travel": travel(),
@@ -191,10 +218,16 @@ def _measure_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         "measures_event_health": health(),
         "measures_event_health_by_event": health("event_id"),
         "measures_event_health_by_status": health("confirmation_status"),
+        "measures_confirmations_by_event": over_event_actions(measures.confirmations, "event_id"),
+        "measures_depth_by_rep": over_stored(measures.depth, "user_email"),
+        "measures_travel_by_rep": travel("user_email"),
+        "measures_event_health_undeclared": lambda t: measures.event_health(
+            tickets_all(_repeated(t)), [], UNDECLARED
+        ),
         "measures_outcomes": over_actions(measures.outcomes),
         "measures_outcomes_by_event": over_event_actions(measures.outcomes, "event_id"),
         "measure_days_to_dc": over_actions(measures.days_to_double),
-        "measure_days_to_dc_by_rep": over_actions(measures.days_to_double, "user_email"),
+        "measure_days_to_dc_by_rep": over_stored(measures.days_to_double, "user_email"),
         "measures_titled": lambda t: measures.with_titles(
             measures.confirmations(actions.confirmation_actions(t, s), ["week_label"], s)
         ),
@@ -216,14 +249,42 @@ def _check_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     def listed(t: Tables) -> DataFrame:
         return lists.customer_list(t, ALPHA, s)
 
-    def consistency(t: Tables) -> DataFrame:
-        alpha = listed(t)
-        everything = {name: lists.customer_list(t, spec, s) for name, spec in SPECS.items()}
+    def of_every_list(check: Callable[[DataFrame, lists.ListSpec, Tables], DataFrame]):
+        """The verdicts on each list; a list is made once and stored."""
+
+        def build(t: Tables) -> DataFrame:
+            parts = [
+                check(staged(lists.customer_list(t, spec, s)), spec, t).withColumn(
+                    "list", F.lit(name)
+                )
+                for name, spec in SPECS.items()
+            ]
+            return reduce(DataFrame.unionByName, parts)
+
+        return build
+
+    def consistency(listed: DataFrame, spec: lists.ListSpec, t: Tables) -> DataFrame:
+        return (
+            checks.layout_checks(listed, spec)
+            .unionByName(checks.key_checks(listed))
+            .unionByName(checks.row_checks(listed))
+            .unionByName(checks.same_layout_check({spec.product: listed}, spec.flagship))
+        )
+
+    def damaged(t: Tables) -> DataFrame:
+        """A list with wrong counts, repeated and missing keys and other casing fails its checks."""
+        alpha = staged(listed(t))
+        more = F.when(F.col("Total Tickets") >= 3, 1).otherwise(0)
+        worse = alpha.withColumn("Open Tickets", F.col("Open Tickets") + more)
+        worse = worse.unionByName(worse.filter(F.col("Expired Tickets") > 0)).withColumn(
+            checks.CV, F.when(F.col("No Show Tickets") == 0, F.col(checks.CV))
+        )
+        shouted = F.when(F.col("Total Tickets") >= 2, F.upper("Contact Email"))
+        other = alpha.withColumn("Contact Email", F.coalesce(shouted, "Contact Email"))
         return (
-            checks.layout_checks(alpha, ALPHA)
-            .unionByName(checks.key_checks(alpha))
-            .unionByName(checks.row_checks(alpha))
-            .unionByName(checks.same_layout_check(everything))
+            checks.key_checks(worse)
+            .unionByName(checks.row_checks(worse))
+            .unionByName(checks.rerun_check(alpha, other))
         )
 
     def rerun(t: Tables) -> DataFrame:
@@ -234,9 +295,12 @@ def _check_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         return listed(_earlier(t)), listed(t)
 
     return {
-        "checks_consistency": consistency,
-        "checks_population": lambda t: checks.population_checks(listed(t), t, ALPHA, s),
-        "checks_recount": lambda t: checks.recount_checks(listed(t), t, ALPHA, s),
+        "checks_consistency": of_every_list(consistency),
+        "checks_population": of_every_list(
+            lambda df, spec, t: checks.population_checks(df, t, spec, s)
+        ),
+        "checks_recount": of_every_list(lambda df, spec, t: checks.recount_checks(df, t, spec, s)),
+        "checks_damaged": damaged,
         "checks_rerun": rerun,
         "checks_profile": lambda t: checks.blank_shares(listed(t)),
         "checks_profile_labels": lambda t: checks.group_histogram(listed(t)),
@@ -272,6 +336,20 @@ def _everything(name: str) -> str:
     return sql.query(f"SELECT * FROM {name}")
 
 
+_TWICE = {
+    "b_tickets": "ticket_id LIKE '%5'",
+    "b_transactions": "cv_transaction_id % 6 = 1",
+    "b_customers": "id % 60 = 7",
+}
+
+
+def _twice(*names: str) -> dict[str, str]:
+    """Base tables with the rows that ``_repeated`` repeats."""
+    return {
+        n: f"SELECT * FROM {n}_once UNION ALL SELECT * FROM {n}_once WHERE {_TWICE[n]}" for n in names
+    }
+
+
 def _fact_sql() -> dict[str, str]:
     return {
         "tickets_all": _everything("d_tickets_all"),
@@ -291,6 +369,24 @@ def _report_sql() -> dict[str, str]:
     q = sql.query
     company = "JOIN b_customers c ON c.id = t.customer_id"
     person = "JOIN b_attendees a ON a.attendee_id = t.attendee_id"
+    overview = f"""
+SELECT event_name, event_code, event_type, event_date, target_attendance,
+       count(DISTINCT ticket_id) AS total_tickets,
+       {sql.tickets_where(sql.C, "confirmed")}, {sql.tickets_where(sql.DC, "double_confirmed")},
+       {sql.tickets_where(sql.ANY, "total_confirmed")},
+       round(100.0 * total_confirmed / total_tickets, 1) AS pct_confirmed,
+       round(100.0 * total_confirmed / nullif(target_attendance, 0), 1) AS pct_of_target
+FROM d_event_tickets WHERE NOT is_reset_ghost AND lower(status) <> 'cancelled'
+GROUP BY event_id, event_name, event_code, event_type, event_date, target_attendance"""
+    companies = f"""
+SELECT t.event_name, t.event_date, c.name AS company_name, c.vertical,
+       count(DISTINCT ticket_id) AS total_tickets,
+       {sql.tickets_where(sql.C, "confirmed_tickets")},
+       {sql.tickets_where(sql.DC, "double_confirmed_tickets")},
+       {sql.tickets_where(sql.ANY, "total_confirmed_tickets")}
+FROM d_event_tickets t {company} WHERE NOT t.is_reset_ghost
+GROUP BY t.event_id, t.event_name, t.event_date, c.id, c.name, c.vertical
+HAVING total_confirmed_tickets > 0"""
     roster = f"""
 SELECT t.event_name, t.event_date, t.event_type, t.event_city, t.venue, t.ticket_id,
        t.status AS ticket_status, t.confirmation_status, t.confirmation_method, t.ticket_type,
@@ -300,15 +396,7 @@ SELECT t.event_name, t.event_date, t.event_type, t.event_city, t.venue, t.ticket
        c.name AS company_name, c.vertical, c.SBU, c.PR, c.EliteEdge
 FROM d_event_tickets t {person} {company}"""
     return {
-        "event_overview": q(f"""
-SELECT event_name, event_code, event_type, event_date, target_attendance,
-       count(DISTINCT ticket_id) AS total_tickets,
-       {sql.tickets_where(sql.C, "confirmed")}, {sql.tickets_where(sql.DC, "double_confirmed")},
-       {sql.tickets_where(sql.ANY, "total_confirmed")},
-       round(100.0 * total_confirmed / total_tickets, 1) AS pct_confirmed,
-       round(100.0 * total_confirmed / nullif(target_attendance, 0), 1) AS pct_of_target
-FROM d_event_tickets WHERE NOT is_reset_ghost AND lower(status) <> 'cancelled'
-GROUP BY event_id, event_name, event_code, event_type, event_date, target_attendance"""),
+        "event_overview": q(overview),
         "rep_performance": q(f"""
 SELECT e.EmployeeName AS rep_name, e.Email AS rep_email, e.Team AS rep_team,
        a.action_date_az AS action_date, a.week_label, a.week_offset, a.event_name, a.event_type,
@@ -327,15 +415,7 @@ SELECT event_name, event_date, event_type, confirmation_status,
 FROM d_event_actions WHERE is_last_confirmer = 1 AND {sql.ANY}
 GROUP BY event_id, event_name, event_date, event_type, confirmation_status,
          ticket_status_action_count"""),
-        "depth_per_company": q(f"""
-SELECT t.event_name, t.event_date, c.name AS company_name, c.vertical,
-       count(DISTINCT ticket_id) AS total_tickets,
-       {sql.tickets_where(sql.C, "confirmed_tickets")},
-       {sql.tickets_where(sql.DC, "double_confirmed_tickets")},
-       {sql.tickets_where(sql.ANY, "total_confirmed_tickets")}
-FROM d_event_tickets t {company} WHERE NOT t.is_reset_ghost
-GROUP BY t.event_id, t.event_name, t.event_date, c.id, c.name, c.vertical
-HAVING total_confirmed_tickets > 0"""),
+        "depth_per_company": q(companies),
         "attendance_outcomes": q(f"""
 SELECT event_name, event_date, event_type, confirmation_status, ticket_status,
        count(DISTINCT ticket_id) AS tickets
@@ -359,6 +439,8 @@ FROM d_event_tickets t {person} {company}
 WHERE NOT t.is_reset_ghost AND t.ticket_event_date >= {sql.TODAY}
   AND t.outreach_restriction IN ('Do Not Blast', 'Do Not Call', 'Do Not Contact')"""),
         "roster": q(roster),
+        "event_overview_undeclared": q(overview, _twice("b_tickets")),
+        "depth_per_company_repeated": q(companies, _twice("b_customers")),
         "roster_of_event": q(f"{roster} WHERE t.event_id = 'EV-7'"),
     }
 
@@ -390,6 +472,9 @@ SELECT * FROM d_alpha_candidates QUALIFY row_number() OVER (
         "list_alpha": _everything("d_alpha_list"),
         "list_beta": _everything("d_beta_list"),
         "list_gamma": _everything("d_gamma_list"),
+        "list_alpha_undeclared": sql.query(
+            "SELECT * FROM d_alpha_list", _twice("b_tickets", "b_transactions")
+        ),
     }
 
 
@@ -440,6 +525,15 @@ FROM (SELECT confirmation_status,
       FROM d_tickets_all GROUP BY ALL) t,
      (SELECT {sql.tickets_where(f"NOT is_reset_ghost AND {sql.ANY}", "confirmed_tickets")}
       FROM d_tickets_all) a"""),
+        "measures_confirmations_by_event": sql.by(
+            "event_id", sql.CONFIRMATIONS, "(SELECT * FROM d_actions JOIN (SELECT ticket_id, "
+            "event_id FROM b_tickets) t USING (ticket_id)) x"
+        ),
+        "measures_depth_by_rep": sql.by("user_email", sql.DEPTH, facts),
+        "measures_travel_by_rep": sql.by("user_email", sql.TRAVEL, facts),
+        "measures_event_health_undeclared": q(
+            f"SELECT {sql.HEALTH} FROM d_tickets_all", _twice("b_tickets")
+        ),
         "measures_outcomes": q(f"SELECT {sql.OUTCOMES} FROM {facts}"),
         "measures_outcomes_by_event": sql.by(
             "event_id", sql.OUTCOMES, "(SELECT * FROM d_actions JOIN (SELECT ticket_id, event_id "
@@ -463,56 +557,85 @@ FROM {facts} GROUP BY week_label"""),
 def _check_sql() -> dict[str, str]:
     q = sql.query
     listed, cv = "d_alpha_list", '"CV Customer ID"'
+    worse = f"""(WITH worse AS (SELECT * REPLACE ("Open Tickets" + ("Total Tickets" >= 3)::INT
+                                             AS "Open Tickets") FROM {listed})
+ SELECT * REPLACE (if("No Show Tickets" = 0, {cv}, NULL) AS {cv})
+ FROM (FROM worse UNION ALL FROM worse WHERE "Expired Tickets" > 0) w) w"""
+
+    def of_every_list(verdicts: Callable[[str, str], str]) -> str:
+        """The verdicts on each list, from the statement for a name and a product."""
+        parts = [f"SELECT *, '{n}' AS list FROM ({verdicts(n, p)}) v" for n, p in PATTERNS.items()]
+        return q("\nUNION ALL BY NAME\n".join(parts))
+
     counts = [f'"{label} Tickets"' for label in sql.STATUSES.values()]
     open_sum, expired = " + ".join(counts[:3]), counts[3]
-    rows = sql.verdict_union(
-        listed,
-        cv,
-        {
-            "status_counts_sum_to_total": f'"Total Tickets" <> {" + ".join(counts)}',
-            "unscheduled_is_sum": f'"Unscheduled Tickets" <> {open_sum} + {expired}',
-            "group_label_matches": (
-                '"Unscheduled Ticket Group" <> CASE '
-                f"WHEN {open_sum} > 0 AND {expired} > 0 THEN 'Open/Undecided + Expired' "
-                f"WHEN {open_sum} > 0 THEN 'Open/Undecided Only' "
-                f"WHEN {expired} > 0 THEN 'Expired Only' ELSE 'Nothing to Schedule' END"
-            ),
-            "summary_adds_up": (
-                "list_sum(list_transform(regexp_extract_all(\"Ticket Summary (This Product)\", "
-                "' x(\\d+)', 1), lambda n: n::INT)) <> \"Total Tickets\""
-            ),
-        },
-    )
-    keys = sql.verdict_union(
-        f"(SELECT {cv}, count(*) AS n FROM {listed} GROUP BY ALL) k",
-        cv,
-        {"key_is_present": f"{cv} IS NULL", "one_row_per_business": "n > 1"},
-    )
-    names = len(ALPHA.columns)
-    layout = f"""
-SELECT 'columns_match_layout' AS "check", {names} = 47 AS passed, 47 - {names}::BIGINT AS failing_count,
+    row_tests = {
+        "status_counts_sum_to_total": f'"Total Tickets" <> {" + ".join(counts)}',
+        "unscheduled_is_sum": f'"Unscheduled Tickets" <> {open_sum} + {expired}',
+        "group_label_matches": (
+            '"Unscheduled Ticket Group" <> CASE '
+            f"WHEN {open_sum} > 0 AND {expired} > 0 THEN 'Open/Undecided + Expired' "
+            f"WHEN {open_sum} > 0 THEN 'Open/Undecided Only' "
+            f"WHEN {expired} > 0 THEN 'Expired Only' ELSE 'Nothing to Schedule' END"
+        ),
+        "summary_adds_up": (
+            "list_sum(list_transform(regexp_extract_all(\"Ticket Summary (This Product)\", "
+            "' x(\\d+)', 1), lambda n: n::INT)) <> \"Total Tickets\""
+        ),
+    }
+
+    def rows(source: str) -> str:
+        keys = sql.verdict_union(
+            f"(SELECT {cv}, count(*) AS n FROM {source} GROUP BY ALL) k",
+            cv,
+            {"key_is_present": f"{cv} IS NULL", "one_row_per_business": "n > 1"},
+        )
+        return f"{keys}\nUNION ALL BY NAME\n{sql.verdict_union(source, cv, row_tests)}"
+
+    def consistency(name: str, product: str) -> str:
+        # The agreed layout has 47 columns; the lists are made with these.
+        names = len(checks.agreed_layout(FLAGSHIP))
+        return f"""
+SELECT 'columns_match_layout' AS "check", {names} = 47 AS passed, abs(47 - {names})::BIGINT AS failing_count,
+       NULL::VARCHAR AS sample
+UNION ALL BY NAME
+SELECT 'lists_share_layout' AS "check", {names} = 47 AS passed, abs(47 - {names})::BIGINT AS failing_count,
        NULL::VARCHAR AS sample
 UNION ALL BY NAME
 SELECT 'returns_rows' AS "check", count(*) > 0 AS passed, (count(*) = 0)::BIGINT AS failing_count,
-       NULL::VARCHAR AS sample FROM {listed}
+       NULL::VARCHAR AS sample FROM d_{name}_list
 UNION ALL BY NAME
-SELECT 'lists_share_layout' AS "check", true AS passed, 0::BIGINT AS failing_count,
-       NULL::VARCHAR AS sample"""
-    holders = """(SELECT DISTINCT c.cv_customer_id AS cv, c.id IN (SELECT customer_id
-  FROM d_alpha_candidates) AS has_contact FROM b_customers c JOIN d_alpha_scope s
+{rows(f"d_{name}_list")}"""
+
+    def holders(name: str) -> str:
+        return f"""(SELECT DISTINCT c.cv_customer_id AS cv, c.id IN (SELECT customer_id
+  FROM d_{name}_candidates) AS has_contact FROM b_customers c JOIN d_{name}_scope s
   ON s.customer_id = c.id) e"""
-    population = sql.verdict_union(
-        f"(SELECT coalesce(e.cv, l.{cv}) AS cv, coalesce(e.has_contact, false) AS expected, "
-        f"l.{cv} IS NOT NULL AS listed FROM {holders} FULL JOIN {listed} l ON l.{cv} = e.cv) p",
-        "cv",
+
+    def population(name: str, product: str) -> str:
+        return sql.verdict_union(
+            f"(SELECT coalesce(e.cv, l.{cv}) AS cv, coalesce(e.has_contact, false) AS expected, "
+            f"l.{cv} IS NOT NULL AS listed FROM {holders(name)} "
+            f"FULL JOIN d_{name}_list l ON l.{cv} = e.cv) p",
+            "cv",
+            {
+                "every_expected_is_listed": "expected AND NOT listed",
+                "every_listed_is_expected": "listed AND NOT expected",
+            },
+        )
+
+    def recount(name: str, product: str) -> str:
+        tests = {check: f"bad_{check}" for check in sql._RECOUNT_CHECKS}
+        return sql.verdict_union(f"d_{name}_recounted", cv, tests)
+
+    shouted = sql.verdict_union(
+        listed,
+        cv,
         {
-            "every_expected_is_listed": "expected AND NOT listed",
-            "every_listed_is_expected": "listed AND NOT expected",
+            "same_contacts_on_rerun": '"Total Tickets" >= 2 '
+            'AND upper("Contact Email") <> "Contact Email"'
         },
     )
-    recount = sql.verdict_union(
-        "d_recounted", cv, {name: f"bad_{name}" for name in sql._RECOUNT_CHECKS}
-    )
     # The rerun and removal checks restate what must hold: no difference.
     nothing_wrong = (
         "SELECT '{check}' AS \"check\", count(*) = 0 AS passed, count(*) AS failing_count, "
@@ -531,9 +654,10 @@ SELECT '{name}' AS "column", count(*) FILTER ("{name}" IS NULL OR "{name}"::VARC
  UNION ALL
  SELECT cv_customer_id, 'added' FROM (FROM {new_ids} EXCEPT FROM d_old_ids) y)"""
     return {
-        "checks_consistency": q(f"{layout}\nUNION ALL BY NAME\n{keys}\nUNION ALL BY NAME\n{rows}"),
-        "checks_population": q(population),
-        "checks_recount": q(recount),
+        "checks_consistency": of_every_list(consistency),
+        "checks_population": of_every_list(population),
+        "checks_recount": of_every_list(recount),
+        "checks_damaged": q(f"{rows(worse)}\nUNION ALL BY NAME\n{shouted}"),
         "checks_rerun": q(
             nothing_wrong.format(
                 check="same_contacts_on_rerun",
@@ -559,7 +683,7 @@ SELECT (SELECT count(*) FROM d_old_ids) AS old_businesses,
             nothing_wrong.format(
                 check="every_removal_is_explained",
                 failing=f"(SELECT * FROM {diff} d WHERE change = 'removed' AND cv_customer_id IN "
-                f"(SELECT cv FROM {holders} WHERE has_contact)) x",
+                f"(SELECT cv FROM {holders('alpha')} WHERE has_contact)) x",
             )
         ),
     }

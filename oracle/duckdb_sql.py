@@ -202,7 +202,9 @@ def _list_ctes(product: str, counted: bool) -> dict[str, str]:
 SELECT t.*, lower(t.status) AS st, s.transaction_date, s.purchaser_name AS sale_name,
        s.purchaser_email AS sale_email, s.purchaser_phone AS sale_phone
 FROM b_tickets t LEFT JOIN b_transactions s ON s.cv_transaction_id = t.transaction_id
-WHERE contains(t.product_name, '{product}') AND t.is_deleted = 0"""
+WHERE contains(t.product_name, '{product}') AND t.is_deleted = 0
+  AND t.customer_id IS NOT NULL  -- such tickets belong to no business
+"""
     ctes[f"d_{p}_rollup"] = f"""
 SELECT customer_id, count(DISTINCT ticket_id) AS ticket_count,
        count(DISTINCT ticket_id) FILTER (st IN ('open', 'undecided', 'undecided_at_sale',
@@ -247,16 +249,16 @@ WHERE t.customer_id IN (SELECT customer_id FROM d_{p}_scope)
 GROUP BY t.customer_id"""
     ctes[f"d_{p}_candidates"] = f"""
 SELECT customer_id,
-       if(purchaser_name IS NULL OR purchaser_name IN ('ImportJob', ''), sale_name,
+       if(purchaser_name IS NULL OR rtrim(purchaser_name) IN ('ImportJob', ''), sale_name,
           purchaser_name) AS contact_name,
-       if(purchaser_email IS NULL OR purchaser_email IN ('ImportJob', ''), sale_email,
+       if(purchaser_email IS NULL OR rtrim(purchaser_email) IN ('ImportJob', ''), sale_email,
           purchaser_email) AS contact_email,
-       if(purchaser_phone IS NULL OR purchaser_phone IN ('ImportJob', ''), sale_phone,
+       if(purchaser_phone IS NULL OR rtrim(purchaser_phone) IN ('ImportJob', ''), sale_phone,
           purchaser_phone) AS contact_phone,
        'purchaser' AS contact_source
 FROM d_{p}_scope
-WHERE coalesce(purchaser_email NOT IN ('ImportJob', ''), false)
-   OR coalesce(sale_email NOT IN ('ImportJob', ''), false)
+WHERE coalesce(rtrim(purchaser_email) NOT IN ('ImportJob', ''), false)
+   OR coalesce(rtrim(sale_email) NOT IN ('ImportJob', ''), false)
 UNION ALL BY NAME
 SELECT customer_id, attendee_name AS contact_name, attendee_email AS contact_email,
        attendee_phone AS contact_phone, 'attendee' AS contact_source
@@ -266,13 +268,13 @@ SELECT c.id AS customer_id, e.BusinessOwnerName AS contact_name, e.Email AS cont
        e.Phone AS contact_phone, 'netsuite' AS contact_source
 FROM b_silver_entity e JOIN b_dim_customer d ON d.NetSuiteID = e.EntityID
 JOIN b_customers c ON c.cv_customer_id = d.CVCustomerID
-WHERE e.Email <> ''
+WHERE rtrim(e.Email) <> ''
 UNION ALL BY NAME
 SELECT c.id AS customer_id, o.PersonName AS contact_name, o.Email AS contact_email,
        o.Phone AS contact_phone, 'business_owner' AS contact_source
 FROM b_dim_person o JOIN b_dim_customer_contact l ON l.Person = o.CVPersonID
 JOIN b_customers c ON c.cv_customer_id = l.Customer
-WHERE o.Email <> '' AND l.StaffTitleName = 'Owner' AND l.IsActiveName = 'Yes'"""
+WHERE rtrim(o.Email) <> '' AND l.StaffTitleName = 'Owner' AND l.IsActiveName = 'Yes'"""
     ctes[f"d_{p}_contacts"] = f"""
 SELECT * FROM d_{p}_candidates SEMI JOIN d_{p}_scope USING (customer_id)
 QUALIFY row_number() OVER (
@@ -407,9 +409,10 @@ _RECOUNT_CHECKS = {
     ),
 }
 
-CTES["d_recounted"] = f"""
+for _product in ("Alpha", "Beta", "Gamma"):
+    CTES[f"d_{_product.lower()}_recounted"] = f"""
 SELECT l.*, {", ".join(f"({test}) AS bad_{name}" for name, test in _RECOUNT_CHECKS.items())}
-FROM d_alpha_list l
+FROM d_{_product.lower()}_list l
 JOIN (SELECT c.cv_customer_id AS cv,
              {", ".join(f"count(*) FILTER (lower(t.status) = '{s}') AS n_{s.replace(' ', '_')}"
                         for s in STATUSES)},
@@ -420,7 +423,7 @@ JOIN (SELECT c.cv_customer_id AS cv,
              max(t.event_date) FILTER (lower(t.status) = 'attended') AS last_attended
       FROM b_tickets t JOIN b_customers c ON c.id = t.customer_id
       LEFT JOIN b_transactions s ON s.cv_transaction_id = t.transaction_id
-      WHERE contains(t.product_name, 'Alpha') AND t.is_deleted = 0 GROUP BY ALL) x
+      WHERE contains(t.product_name, '{_product}') AND t.is_deleted = 0 GROUP BY ALL) x
   ON x.cv = l."CV Customer ID"
 LEFT JOIN (SELECT g.CVCustomerID AS cv, min(g.GLDate) AS d
            FROM b_fact_gl g JOIN b_dim_product p USING (CVProductID)
@@ -428,8 +431,8 @@ LEFT JOIN (SELECT g.CVCustomerID AS cv, min(g.GLDate) AS d
              AND g.SalesOrderCashCollected > 0 GROUP BY ALL) g ON g.cv = l."CV Customer ID"
 LEFT JOIN b_dim_customer d ON d.CVCustomerID = l."CV Customer ID"
 LEFT JOIN (SELECT c.cv_customer_id AS cv,
-                  max(a.blast_date) FILTER (contains(t.product_name, 'Alpha')) AS bp,
-                  max(a.last_called_date) FILTER (contains(t.product_name, 'Alpha')) AS cp,
+                  max(a.blast_date) FILTER (contains(t.product_name, '{_product}')) AS bp,
+                  max(a.last_called_date) FILTER (contains(t.product_name, '{_product}')) AS cp,
                   max(a.blast_date) AS ba, max(a.last_called_date) AS ca
            FROM b_attendee_tickets a JOIN b_tickets t USING (ticket_id)
            JOIN b_customers c ON c.id = t.customer_id GROUP BY ALL) w
@@ -438,19 +441,25 @@ LEFT JOIN (SELECT c.cv_customer_id AS cv,
 _USED = re.compile(r"\b[bd]_[a-z_]+\b")
 
 
-def query(body: str) -> str:
-    """The statement with the common table expressions it needs, in order."""
+def query(body: str, replaced: dict[str, str] | None = None) -> str:
+    """The statement with the common table expressions it needs, in order.
+
+    ``replaced`` states some of them anew; ``<name>_once`` is then the original.
+    """
+    ctes = dict(CTES)
+    for name, text in (replaced or {}).items():
+        ctes[f"{name}_once"], ctes[name] = CTES[name], text
     needed: list[str] = []
 
     def need(text: str) -> None:
         for name in _USED.findall(text):
-            if name in CTES and name not in needed:
-                need(CTES[name])
+            if name in ctes and name not in needed:
+                need(ctes[name])
                 needed.append(name)
 
     need(body)
-    ctes = ",\n".join(f"{name} AS ({CTES[name]}\n)" for name in needed)
-    return f"WITH {ctes}\n{body}" if ctes else body
+    used = ",\n".join(f"{name} AS ({ctes[name]}\n)" for name in needed)
+    return f"WITH {used}\n{body}" if used else body
 
 
 # --- measures ----------------------------------------------------------------------
@@ -544,10 +553,14 @@ def by(group: str, values: str, facts: str) -> str:
 
 def verdict_union(rows: str, id_col: str, bad: dict[str, str]) -> str:
     """One verdict row per check; ``bad`` holds the failing condition."""
-    return "\nUNION ALL BY NAME\n".join(
-        f"SELECT '{name}' AS \"check\", count(*) FILTER ({test}) = 0 AS passed, "
-        f"count(*) FILTER ({test}) AS failing_count, "
-        f"array_to_string((list({id_col} ORDER BY {id_col}) FILTER ({test}))[1:5], ', ') AS sample "
-        f"FROM {rows}"
-        for name, test in bad.items()
-    )
+
+    def one(name: str, test: str) -> str:
+        named = f"FILTER (({test}) AND {id_col} IS NOT NULL)"
+        return (
+            f"SELECT '{name}' AS \"check\", count(*) FILTER ({test}) = 0 AS passed, "
+            f"count(*) FILTER ({test}) AS failing_count, "
+            f"array_to_string((list({id_col} ORDER BY {id_col}) {named})[1:5], ', ') "
+            f"|| if(count(*) {named} > 5, ' ...', '') AS sample FROM {rows}"
+        )
+
+    return "\nUNION ALL BY NAME\n".join(one(name, test) for name, test in bad.items())

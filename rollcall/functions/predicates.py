@@ -28,12 +28,13 @@ def is_any_confirmed(status: Column) -> Column:
 
 
 def none_of(value: Column, options: Iterable[str]) -> Column:
-    """True only for a non-NULL value outside ``options``."""
-    return value.isNotNull() & ~value.isin(list(options))
+    """True only for a non-NULL value outside ``options``; trailing blanks do not count."""
+    return value.isNotNull() & ~F.rtrim(value).isin([option.rstrip(" ") for option in options])
 
 
-def has_text(value: Column, trim: bool = False) -> Column:
-    return value.isNotNull() & ((F.trim(value) if trim else value) != "")
+def has_text(value: Column) -> Column:
+    """True only for a value with something besides blanks."""
+    return value.isNotNull() & (F.trim(value) != "")
 
 
 def or_fallback(value: Column, fallback: Column, junk: Iterable[str]) -> Column:

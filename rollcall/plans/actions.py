@@ -20,8 +20,8 @@ from rollcall.functions.predicates import (
     is_any_confirmed,
     none_of,
 )
-from rollcall.operators.hot import hot_keys, only_hot, without_hot
 from rollcall.settings import Settings
+from rollcall.sinks import staged
 from rollcall.sources.schemas import CONFIRMATION_ACTIONS, TOUCHES
 from rollcall.sources.tables import Tables, conform
 
@@ -89,7 +89,11 @@ def pre_history_touches(tickets: DataFrame, history: DataFrame, settings: Settin
     One anti join serves both levels. The dates are taken as they are, not
     shifted to local time.
     """
+    in_history = history.filter(_is_status_change()).select("ticket_id").distinct()
+    return _unrecorded_touches(tickets, in_history, settings)
+
 
+def _unrecorded_touches(tickets: DataFrame, in_history: DataFrame, settings: Settings) -> DataFrame:
     def touch(status: str, actor: str, day: str) -> Column:
         return F.struct(
             F.col(actor).alias("user_email"),
@@ -100,7 +104,6 @@ def pre_history_touches(tickets: DataFrame, history: DataFrame, settings: Settin
     def by_person(actor: str) -> Column:
         return none_of(F.col(actor), settings.machine_actors)
 
-    in_history = history.filter(_is_status_change()).select("ticket_id").distinct()
     unrecorded = tickets.filter(by_person("confirmed_by") | by_person("double_confirmed_by")).join(
         in_history, "ticket_id", "left_anti"
     )
@@ -121,38 +124,66 @@ def pre_history_touches(tickets: DataFrame, history: DataFrame, settings: Settin
     )
 
 
-def unique_actions(tables: Tables, settings: Settings) -> DataFrame:
-    """All touches, the earliest per actor, ticket, status and day.
+_ACTION = ["user_email", "ticket_id", "confirmation_status", "action_date_az"]
+# Touches at one time count as the first source by name.
+_SOURCES = sorted([DATE_SOURCE, PRE_HISTORY_SOURCE, STATUS_SOURCE])
+_STATUS = _SOURCES.index(STATUS_SOURCE)
 
-    Of touches at one time the first source by name counts. The earliest time
-    per source is a plain minimum, so the touches are hashed and combined on the
-    map side and never sorted. Whether the actor is a person depends on the
-    group key alone.
-    """
-    history = tables["history"]
-    touches = history_touches(history, settings).unionByName(
-        pre_history_touches(tables["tickets"], history, settings)
+
+def _by_source(touches: DataFrame) -> DataFrame:
+    """Touches with a time and a flag for each source."""
+    of_source = [F.col("confirmation_touch_source") == s for s in _SOURCES]
+    return touches.select(
+        *_ACTION,
+        "is_rep_action",
+        *[F.when(test, F.col("action_ts_az")).alias(f"_ts{n}") for n, test in enumerate(of_source)],
+        *[flag(test).alias(f"_has{n}") for n, test in enumerate(of_source)],
     )
-    sources = sorted([DATE_SOURCE, PRE_HISTORY_SOURCE, STATUS_SOURCE])
-    of_source = {n: F.col("confirmation_touch_source") == s for n, s in enumerate(sources)}
-    grouped = touches.groupBy(
-        "user_email", "ticket_id", "confirmation_status", "action_date_az"
-    ).agg(
+
+
+def _reduced(touches: DataFrame) -> DataFrame:
+    """One row per actor, ticket, status and day, with the earliest time of each source.
+
+    These are plain minima, so touches are hashed and combined on the map side
+    and never sorted. Whether the actor is a person depends on the key alone.
+    """
+    return touches.groupBy(*_ACTION).agg(
         F.max("is_rep_action").alias("is_rep_action"),
-        F.min("action_ts_az").alias("action_ts_az"),
-        *[F.min(F.when(test, F.col("action_ts_az"))).alias(f"_ts{n}") for n, test in of_source.items()],
-        *[F.max(flag(test)).alias(f"_has{n}") for n, test in of_source.items()],
+        *[F.min(f"_ts{n}").alias(f"_ts{n}") for n in range(len(_SOURCES))],
+        *[F.max(f"_has{n}").alias(f"_has{n}") for n in range(len(_SOURCES))],
     )
+
+
+def recorded_actions(tables: Tables, settings: Settings) -> DataFrame:
+    """The history's touches reduced to actions, in the shared folder.
+
+    Everything that the action log takes from the history comes from this
+    table, so the history itself is read once.
+    """
+    return staged(_reduced(_by_source(history_touches(tables["history"], settings))))
+
+
+def _all_actions(recorded: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+    in_history = recorded.filter(F.col(f"_has{_STATUS}") == 1).select("ticket_id").distinct()
+    earlier = _unrecorded_touches(tables["tickets"], in_history, settings)
+    merged = _reduced(recorded.unionByName(_by_source(earlier)))
+    earliest = F.least(*[F.col(f"_ts{n}") for n in range(len(_SOURCES))])
     # Touches without a time have no day either, so they form groups of their own.
     first_source = F.coalesce(
         *[
-            F.when(
-                (F.col(f"_has{n}") == 1) & F.col(f"_ts{n}").eqNullSafe(F.col("action_ts_az")), s
-            )
-            for n, s in enumerate(sources)
+            F.when((F.col(f"_has{n}") == 1) & F.col(f"_ts{n}").eqNullSafe(earliest), s)
+            for n, s in enumerate(_SOURCES)
         ]
     )
-    return conform(grouped.withColumn("confirmation_touch_source", first_source), TOUCHES)
+    return conform(
+        merged.withColumns({"action_ts_az": earliest, "confirmation_touch_source": first_source}),
+        TOUCHES,
+    )
+
+
+def unique_actions(tables: Tables, settings: Settings) -> DataFrame:
+    """All touches, the earliest per actor, ticket, status and day."""
+    return _all_actions(recorded_actions(tables, settings), tables, settings)
 
 
 def _first_rep_status_date(history: DataFrame, settings: Settings) -> DataFrame:
@@ -164,6 +195,15 @@ def _first_rep_status_date(history: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _first_recorded_date(recorded: DataFrame, settings: Settings) -> DataFrame:
+    by_person = none_of(F.col("user_email"), settings.machine_actors)
+    return (
+        recorded.filter(by_person & (F.col(f"_has{_STATUS}") == 1))
+        .groupBy("ticket_id")
+        .agg(F.min("action_date_az").alias("first_travel_date"))
+    )
+
+
 def first_travel(tables: Tables, settings: Settings) -> DataFrame:
     """First day a known person confirmed a ticket that has a travel type."""
     travelling = tables["tickets"].filter(F.col("double_confirm_type").isNotNull())
@@ -189,7 +229,7 @@ def with_weeks(actions: DataFrame, settings: Settings) -> DataFrame:
     return actions.withColumns(weeks).withColumn("week_label", week_label(F.col("week_offset")))
 
 
-def _ticket_facts(tables: Tables, settings: Settings) -> list[DataFrame]:
+def _ticket_facts(recorded: DataFrame, tables: Tables, settings: Settings) -> list[DataFrame]:
     """What the actions look up by ticket: its current state, its first travel
     confirmation, its resets. Each has one row per ticket."""
     state = tables["tickets"].select(
@@ -207,11 +247,16 @@ def _ticket_facts(tables: Tables, settings: Settings) -> list[DataFrame]:
         "original_event_date",
         "original_event_name",
     )
-    return [state, _first_rep_status_date(tables["history"], settings), resets]
+    return [state, _first_recorded_date(recorded, settings), resets]
 
 
 def _enriched(actions: DataFrame, facts: list[DataFrame]) -> DataFrame:
-    found = reduce(lambda left, right: left.join(right, "ticket_id", "left"), facts, actions)
+    """Actions on no ticket match nothing, so they are kept out of the look-ups."""
+    found = actions.filter(F.col("ticket_id").isNotNull())
+    loose = actions.filter(F.col("ticket_id").isNull())
+    for fact in facts:
+        found = found.join(fact, "ticket_id", "left")
+    found = found.unionByName(loose, allowMissingColumns=True)
     status = F.lower("ticket_status")
     outcome = (
         F.when(status == "attended", "Attended")
@@ -244,24 +289,12 @@ def _touch_order() -> list[Column]:
 
 
 def _ranked(actions: DataFrame) -> DataFrame:
-    """Touch rank and counts by ticket, on the partitioning of the ticket joins."""
-    by_status = Window.partitionBy("ticket_id", "confirmation_status")
-    by_ticket = Window.partitionBy("ticket_id")
-    return actions.withColumns(
-        {
-            "ticket_confirmation_rank": F.row_number().over(by_status.orderBy(*_touch_order())),
-            "ticket_status_action_count": F.count("*").over(by_status),
-            "ticket_total_action_count": F.count("*").over(by_ticket),
-        }
-    )
-
-
-def _ranked_by_slices(actions: DataFrame) -> DataFrame:
-    """The same columns for tickets too large for one task.
+    """Touch rank and counts by ticket and status, and the counts by ticket.
 
     The touches of a ticket and status are cut into hours; a touch ranks after
     all touches of earlier hours, so only the touches of one hour (at most one
-    per actor) meet in a task. The hourly counts are combined on the map side.
+    per actor) meet in a task, however many a ticket has. The hourly counts are
+    combined on the map side.
     """
     hours = F.unix_date("action_date_az") * 24 + F.hour("action_ts_az")
     keys = ["ticket_id", "confirmation_status", "_slice"]
@@ -297,34 +330,15 @@ def _ranked_by_slices(actions: DataFrame) -> DataFrame:
 
 
 def action_detail(tables: Tables, settings: Settings) -> DataFrame:
-    """The action log with the current state of each action's ticket attached.
-
-    Actions of ordinary tickets are shuffled by ticket once, for the look-ups
-    and the ranks together. Tickets with very many touches (a NULL id, say)
-    are not shuffled for the look-ups and are ranked in slices.
-    """
-    actions = unique_actions(tables, settings)
-    facts = _ticket_facts(tables, settings)
-    state, *grouped = facts
-
-    confirming = tables["history"].filter(_is_status_change() | _is_date_change())
-    hot = hot_keys(confirming, "ticket_id", settings.hot_ticket_rows, settings.max_hot_tickets)
-    # One row per hot ticket, so small by construction; the ticket table only if
-    # its key is declared, else Spark decides by the size it measures.
-    hot_state = only_hot(state, "ticket_id", hot)
-    hot_facts = [
-        F.broadcast(hot_state) if settings.tickets_are_unique else hot_state,
-        *[F.broadcast(only_hot(fact, "ticket_id", hot)) for fact in grouped],
-    ]
-
-    ordinary = _ranked(_enriched(without_hot(actions, "ticket_id", hot), facts))
-    heavy = _ranked_by_slices(_enriched(only_hot(actions, "ticket_id", hot), hot_facts))
+    """The action log with the current state of each action's ticket attached."""
+    recorded = recorded_actions(tables, settings)
+    actions = _all_actions(recorded, tables, settings)
+    ranked = _ranked(_enriched(actions, _ticket_facts(recorded, tables, settings)))
 
     # The touch order is total, so the last touch is the one ranked highest.
     last = F.col("ticket_confirmation_rank") == F.col("ticket_status_action_count")
     return with_weeks(
-        ordinary.unionByName(heavy)
-        .withColumn("is_last_confirmer", flag(last))
+        ranked.withColumn("is_last_confirmer", flag(last))
         .withColumnRenamed("action_ts_az", "action_time_az"),
         settings,
     )
@@ -334,21 +348,12 @@ def confirmation_actions(tables: Tables, settings: Settings) -> DataFrame:
     return action_detail(tables, settings).select(*CONFIRMATION_ACTIONS)
 
 
-def ticket_actions(tables: Tables, settings: Settings) -> DataFrame:
+def of_live_tickets(detail: DataFrame) -> DataFrame:
     """Actions on live tickets, with event_id, ticket_status and ticket_event_date."""
-    return (
-        action_detail(tables, settings)
-        .filter(F.col("ticket_found"))
-        .select(*CONFIRMATION_ACTIONS, "event_id", "ticket_status", "ticket_event_date")
+    return detail.filter(F.col("ticket_found")).select(
+        *CONFIRMATION_ACTIONS, "event_id", "ticket_status", "ticket_event_date"
     )
 
 
-def on_live_tickets(actions: DataFrame, all_tickets: DataFrame) -> DataFrame:
-    """The same from a stored action log and a stored ticket table."""
-    live = all_tickets.filter(~F.col("is_reset_ghost")).select(
-        "ticket_id",
-        "event_id",
-        F.col("status").alias("ticket_status"),
-        F.col("event_date").alias("ticket_event_date"),
-    )
-    return actions.join(live, "ticket_id")
+def ticket_actions(tables: Tables, settings: Settings) -> DataFrame:
+    return of_live_tickets(action_detail(tables, settings))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.operators.aggregates import text_list
-from rollcall.plans.lists import PLACEHOLDER_EMAIL, ListSpec
+from rollcall.plans.lists import PLACEHOLDER_EMAIL, ListSpec, with_sale
 from rollcall.settings import Settings
 from rollcall.sources.tables import Tables
 
@@ -35,6 +35,56 @@ COUNT_COLUMNS = {
     "no show": "No Show Tickets",
     "cancelled": "Cancelled Tickets",
 }
+# The agreed columns of a list, in order.
+LAYOUT = """
+Business Name
+CV Customer ID
+Contact Name
+Contact Email
+Contact Phone
+Contact Source
+Unscheduled Ticket Group
+Total Tickets
+Unscheduled Tickets
+Open Tickets
+Undecided Tickets
+Undecided at Sale Tickets
+Expired Tickets
+Assigned Tickets
+Scheduled Tickets
+Reserved Tickets
+Attended Tickets
+No Show Tickets
+Cancelled Tickets
+First Purchase Date
+Latest Purchase Date
+Days Since Latest Purchase
+Next Event Date
+Last Attended Event Date
+Outreach Restriction
+Last Blast (This Product)
+Last Call (This Product)
+Days Since Last Contact (This Product)
+Last Blast (All Products)
+Last Call (All Products)
+Days Since Last Contact (All Products)
+Elite Status
+PR Client Status
+SBU Client Status
+Annual Business Revenue
+Vertical
+Sub-Vertical
+{flagship} Customer
+First {flagship} Purchase Date
+Queue Start Date
+Days in Queue
+Ticket Types
+Ticket IDs
+Sales Order Numbers
+Ticket Summary (This Product)
+Ticket Summary (All Products)
+Generated At
+"""
 CONTACT_COLUMNS = ["Contact Source", "Contact Email", "Contact Name", "Contact Phone"]
 PROFILED_COLUMNS = [
     "Contact Email", "Annual Business Revenue", "Vertical", "Elite Status",
@@ -97,7 +147,9 @@ def verdicts(rows: DataFrame, id_col: str, tests: Mapping[str, Column]) -> DataF
 
 def _product_tickets(tables: Tables, spec: ListSpec) -> DataFrame:
     return tables["tickets"].filter(
-        F.col("product_name").contains(spec.product) & (F.col("is_deleted") == 0)
+        F.col("product_name").contains(spec.product)
+        & (F.col("is_deleted") == 0)
+        & F.col("customer_id").isNotNull()
     )
 
 
@@ -119,8 +171,7 @@ def recount(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
     booked = status.isin("scheduled", "reserved") & (event >= settings.today)
     counts = [f"n_{s}" for s in COUNT_COLUMNS]
     per_business = (
-        _product_tickets(tables, spec)
-        .join(sales, "transaction_id", "left")
+        with_sale(_product_tickets(tables, spec), sales)
         .groupBy("customer_id")
         .agg(
             *[F.count_if(status == s).alias(f"n_{s}") for s in COUNT_COLUMNS],
@@ -192,29 +243,28 @@ def reachable(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
     """Ids of the businesses with any contact, from any source."""
 
     def usable(email: str) -> Column:
-        return F.col(email).isNotNull() & ~F.col(email).isin(list(settings.junk))
+        blank = [marker.rstrip(" ") for marker in settings.junk]
+        return F.col(email).isNotNull() & ~F.rtrim(email).isin(blank)
 
     sales = tables["transactions"].select(
         F.col("cv_transaction_id").alias("transaction_id"),
         F.col("purchaser_email").alias("sale_email"),
     )
-    buyers = (
-        _product_tickets(tables, spec)
-        .join(sales, "transaction_id", "left")
-        .filter(usable("purchaser_email") | usable("sale_email"))
+    buyers = with_sale(_product_tickets(tables, spec), sales).filter(
+        usable("purchaser_email") | usable("sale_email")
     )
     attendees = tables["attendees"].filter(~F.col("attendee_email").contains(PLACEHOLDER_EMAIL))
     people = buyers.select("customer_id").union(attendees.select("customer_id")).distinct()
     entities = (
         tables["dim_customer"]
         .select(F.col("CVCustomerID").alias("cv"), F.col("NetSuiteID").alias("EntityID"))
-        .join(tables["silver_entity"].filter(F.col("Email") != ""), "EntityID")
+        .join(tables["silver_entity"].filter(F.rtrim("Email") != ""), "EntityID")
     )
     owners = (
         tables["dim_customer_contact"]
         .filter((F.col("StaffTitleName") == "Owner") & (F.col("IsActiveName") == "Yes"))
         .select(F.col("Customer").alias("cv"), F.col("Person").alias("CVPersonID"))
-        .join(tables["dim_person"].filter(F.col("Email") != ""), "CVPersonID")
+        .join(tables["dim_person"].filter(F.rtrim("Email") != ""), "CVPersonID")
     )
     ids = [df.select("cv") for df in (_with_cv(people, tables), entities, owners)]
     return reduce(DataFrame.union, ids).filter(F.col("cv").isNotNull()).distinct()
@@ -243,11 +293,16 @@ def _blank_as_null(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
+def agreed_layout(flagship: str) -> list[str]:
+    return LAYOUT.strip().format(flagship=flagship).splitlines()
+
+
 def layout_checks(listed: DataFrame, spec: ListSpec) -> DataFrame:
     """The agreed columns in the agreed order, and at least one row."""
-    misplaced = [c for c in spec.columns if c not in listed.columns]
-    misplaced += [c for c in listed.columns if c not in spec.columns]
-    wrong_layout = listed.columns != spec.columns
+    agreed = agreed_layout(spec.flagship)
+    misplaced = [c for c in agreed if c not in listed.columns]
+    misplaced += [c for c in listed.columns if c not in agreed]
+    wrong_layout = listed.columns != agreed
     rows = listed.limit(1).agg(F.count("*").alias("rows"))
     sample = F.lit(", ".join(misplaced) or None)
     failing = max(len(misplaced), int(wrong_layout))
@@ -386,11 +441,10 @@ def rerun_check(first: DataFrame, second: DataFrame) -> DataFrame:
     return verdicts(balance, CV, {"same_contacts_on_rerun": F.col("difference") == 0})
 
 
-def same_layout_check(lists: Mapping[str, DataFrame]) -> DataFrame:
-    """All lists have the same columns in the same order."""
-    layouts = {name: df.columns for name, df in lists.items()}
-    reference = next(iter(layouts.values()))
-    different = [name for name, columns in layouts.items() if columns != reference]
+def same_layout_check(lists: Mapping[str, DataFrame], flagship: str) -> DataFrame:
+    """All lists have the agreed columns in the same order; names the lists that do not."""
+    agreed = agreed_layout(flagship)
+    different = [name for name, df in lists.items() if df.columns != agreed]
     any_list = next(iter(lists.values()))
     one_row = any_list.limit(1).agg(F.count("*").alias("rows"))
     sample = F.lit(", ".join(different) or None)
@@ -431,40 +485,53 @@ def flagship_share(listed: DataFrame, spec: ListSpec) -> DataFrame:
 # --- two versions ---------------------------------------------------------------
 
 
-def snapshot_diff(old_ids: DataFrame, new_ids: DataFrame) -> DataFrame:
-    """(cv_customer_id, change) for businesses in one version only."""
-    sides = (
-        old_ids.select(F.col(CV).alias("cv_customer_id"), F.lit(1).alias("old"), F.lit(0).alias("new"))
-        .unionByName(
-            new_ids.select(
-                F.col(CV).alias("cv_customer_id"), F.lit(0).alias("old"), F.lit(1).alias("new")
-            )
+def _sides(old_ids: DataFrame, new_ids: DataFrame) -> DataFrame:
+    """One row per business of either version, with a flag for each."""
+    sides = {"old": (old_ids, 1, 0), "new": (new_ids, 0, 1)}
+    marked = [
+        ids.select(
+            F.col(CV).alias("cv_customer_id"), F.lit(old).alias("old"), F.lit(new).alias("new")
         )
+        for ids, old, new in sides.values()
+    ]
+    return (
+        reduce(DataFrame.unionByName, marked)
         .groupBy("cv_customer_id")
         .agg(F.max("old").alias("old"), F.max("new").alias("new"))
     )
-    change = F.when(F.col("old") == 1, "removed").otherwise("added")
-    return sides.filter(F.col("old") != F.col("new")).select(
-        "cv_customer_id", change.alias("change")
-    )
 
 
-def snapshot_summary(old_ids: DataFrame, new_ids: DataFrame) -> DataFrame:
-    """How many businesses each version has, and how many came and went."""
-    changes = snapshot_diff(old_ids, new_ids).agg(
-        F.count_if(F.col("change") == "added").alias("added"),
-        F.count_if(F.col("change") == "removed").alias("removed"),
+def snapshot_diff(old_ids: DataFrame, new_ids: DataFrame) -> DataFrame:
+    """(cv_customer_id, change) for businesses in one version only."""
+    change = F.when(F.col("old") == 1, "removed").otherwise("added")
+    return (
+        _sides(old_ids, new_ids)
+        .filter(F.col("old") != F.col("new"))
+        .select("cv_customer_id", change.alias("change"))
     )
 
-    def businesses(ids: DataFrame) -> Column:
-        return ids.agg(F.count_distinct(CV)).scalar()
 
-    return changes.select(
-        businesses(old_ids).alias("old_businesses"),
-        businesses(new_ids).alias("new_businesses"),
-        "added",
-        "removed",
-    )
+def snapshot_summary(old_ids: DataFrame, new_ids: DataFrame) -> DataFrame:
+    """How many businesses each version has, and how many came and went, from one pass."""
+    known, old, new = F.col("cv_customer_id").isNotNull(), F.col("old") == 1, F.col("new") == 1
+    return _sides(old_ids, new_ids).agg(
+        F.count_if(known & old).alias("old_businesses"),
+        F.count_if(known & new).alias("new_businesses"),
+        F.count_if(new & ~old).alias("added"),
+        F.count_if(old & ~new).alias("removed"),
+    )
+
+
+def list_checks(listed: DataFrame, tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
+    """All checks of one stored list."""
+    parts = [
+        layout_checks(listed, spec),
+        key_checks(listed),
+        row_checks(listed),
+        population_checks(listed, tables, spec, settings),
+        recount_checks(listed, tables, spec, settings),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def removal_check(

@@ -24,6 +24,7 @@ from rollcall.operators.aggregates import (
 )
 from rollcall.operators.picks import keep_first
 from rollcall.settings import Settings
+from rollcall.sinks import staged
 from rollcall.sources.tables import Tables
 
 # Statuses (lower case) in display order, and their count columns.
@@ -120,14 +121,28 @@ def _display(flagship: str) -> dict[str, str]:
 
 
 def product_tickets(tables: Tables, product: str) -> DataFrame:
-    """The product's tickets that are not deleted, with the status in lower case."""
+    """The product's tickets that are not deleted and have a business, status in lower case."""
     return (
         tables["tickets"]
-        .filter(F.col("product_name").contains(product) & (F.col("is_deleted") == 0))
+        .filter(
+            F.col("product_name").contains(product)
+            & (F.col("is_deleted") == 0)
+            & F.col("customer_id").isNotNull()
+        )
         .withColumn("status", F.lower("status"))
     )
 
 
+def with_sale(tickets: DataFrame, sales: DataFrame) -> DataFrame:
+    """Tickets with their sales; those without one have nothing to match and are not shuffled."""
+    sold = F.col("transaction_id").isNotNull()
+    return (
+        tickets.filter(sold)
+        .join(sales, "transaction_id", "left")
+        .unionByName(tickets.filter(~sold), allowMissingColumns=True)
+    )
+
+
 def scope(tables: Tables, product: str) -> DataFrame:
     """The product's tickets, each with its sale.
 
@@ -140,7 +155,7 @@ def scope(tables: Tables, product: str) -> DataFrame:
         F.col("purchaser_email").alias("sale_email"),
         F.col("purchaser_phone").alias("sale_phone"),
     )
-    return product_tickets(tables, product).join(sales, "transaction_id", "left")
+    return with_sale(product_tickets(tables, product), sales)
 
 
 def ticket_rollup(scoped: DataFrame, settings: Settings) -> DataFrame:
@@ -223,7 +238,7 @@ def ticket_ids(scoped: DataFrame) -> DataFrame:
 
 
 def sales_orders(scoped: DataFrame) -> DataFrame:
-    numbered = scoped.filter(has_text(F.col("sales_order_id"), trim=True))
+    numbered = scoped.filter(has_text(F.col("sales_order_id")))
     return distinct_list(numbered, ["customer_id"], "sales_order_id", "sales_orders")
 
 
@@ -441,11 +456,30 @@ def unscheduled_group(open_count: Column, undecided: Column, at_sale: Column, ex
     )
 
 
+def of_businesses_with(tables: Tables, product: str) -> Tables:
+    """The tables with the tickets, attendees and master data of businesses that hold the product.
+
+    Everything a list aggregates is cut to them first. Their tickets and customers
+    are stored, since several branches read them, each its own columns.
+    """
+    holders = product_tickets(tables, product).select("customer_id").distinct()
+    tickets = staged(tables["tickets"].join(holders, "customer_id", "left_semi"))
+    ids = tickets.select("customer_id").distinct()
+    customers = tables["customers"].join(
+        ids.withColumnRenamed("customer_id", "id"), "id", "left_semi"
+    )
+    return tables.replaced(
+        tickets=tickets,
+        attendees=tables["attendees"].join(ids, "customer_id", "left_semi"),
+        customers=staged(customers),
+    )
+
+
 def customer_list(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
     """The list of one product, longest in queue first."""
-    known = F.col("customer_id").isNotNull()
-    tickets = product_tickets(tables, spec.product).filter(known)
-    scoped = scope(tables, spec.product).filter(known)
+    tables = of_businesses_with(tables, spec.product)
+    tickets = product_tickets(tables, spec.product)
+    scoped = scope(tables, spec.product)
     if spec.counted_types:
         types = types_counted(tickets if settings.sales_are_unique else scoped)
     else:

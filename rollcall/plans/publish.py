@@ -11,10 +11,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from rollcall.plans import actions, lists, measures, reports
+from rollcall.plans import actions, checks, lists, measures, reports
 from rollcall.plans.tickets import tickets_all
 from rollcall.settings import Settings
-from rollcall.sinks import write_report
+from rollcall.sinks import write_change_file, write_report
+from rollcall.sources.schemas import CONFIRMATION_ACTIONS
 from rollcall.sources.tables import Tables
 
 
@@ -23,10 +24,12 @@ def publish(
     specs: Mapping[str, lists.ListSpec],
     settings: Settings,
     root: str,
+    earlier: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, str]:
-    """Writes facts, reports, lists and measure totals under ``root``.
+    """Writes facts, reports, lists with their checks, and measure totals under ``root``.
 
-    Returns the folder of each output.
+    ``earlier`` holds lists of an earlier version; their changes are written
+    too. Returns the folder of each output.
     """
     written: dict[str, str] = {}
 
@@ -36,9 +39,12 @@ def publish(
         return df.sparkSession.read.parquet(written[name])
 
     all_tickets = write("tickets_all", tickets_all(tables))
-    log = write("confirmation_actions", actions.confirmation_actions(tables, settings))
-
-    done = actions.on_live_tickets(log, all_tickets)
+    # The log with what reports take from its ticket, clustered by ticket: no report joins
+    # the two facts again. Touches of one ticket may lie in several files.
+    detail = actions.action_detail(tables, settings).repartitionByRange("ticket_id", "action_time_az")
+    detail = write("action_detail", detail.sortWithinPartitions("ticket_id"))
+    log = write("confirmation_actions", detail.select(*CONFIRMATION_ACTIONS))
+    done = actions.of_live_tickets(detail)
     events, attendees, customers = (
         tables[name] for name in ("dim_event", "attendees", "customers")
     )
@@ -54,7 +60,6 @@ def publish(
             all_tickets, events, attendees, customers, settings
         ),
         "roster": reports.roster(all_tickets, events, attendees, customers),
-        **{f"list_{n}": lists.customer_list(tables, s, settings) for n, s in specs.items()},
     }
     totals = {
         "confirmations": measures.confirmations(log, [], settings),
@@ -69,6 +74,14 @@ def publish(
     }
     for name, df in outputs.items():
         write(name, df)
+    for name, spec in specs.items():
+        listed = write(f"list_{name}", lists.customer_list(tables, spec, settings))
+        write(f"checks_{name}", checks.list_checks(listed, tables, spec, settings))
+        if earlier and name in earlier:
+            write(f"summary_{name}", checks.snapshot_summary(earlier[name], listed))
+            written[f"changes_{name}"] = f"{root.rstrip('/')}/changes_{name}"
+            changes = checks.snapshot_diff(earlier[name], listed)
+            write_change_file(changes, written[f"changes_{name}"])
     for name, df in totals.items():
         write(f"measures_{name}", measures.with_titles(df))
     return written

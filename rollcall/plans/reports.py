@@ -32,14 +32,22 @@ def _live(all_tickets: DataFrame) -> DataFrame:
 
 
 def _events(events: DataFrame, *more: Column) -> DataFrame:
-    """The event columns a report shows, keyed for the join on event_id."""
+    """The event columns a report shows, keyed for the join on event_id.
+
+    An event that is recorded twice repeats what is joined with it.
+    """
     return events.select(
         F.col("CVEventID").alias("event_id"),
         F.col("EventName").alias("event_name"),
         F.col("StartDate").alias("event_date"),
         F.col("EventType").alias("event_type"),
         *more,
-    ).distinct()
+    )
+
+
+def _different_events(events: DataFrame, *more: Column) -> DataFrame:
+    """The same for reports that group by all of the columns: equal rows are one group."""
+    return _events(events, *more).distinct()
 
 
 def _rep_actions(actions: DataFrame) -> DataFrame:
@@ -63,7 +71,7 @@ def event_overview(all_tickets: DataFrame, events: DataFrame, settings: Settings
         },
         settings.tickets_are_unique,
     )
-    dimension = _events(
+    dimension = _different_events(
         events,
         F.col("EventCode").alias("event_code"),
         F.col("TargetAttendance").alias("target_attendance"),
@@ -103,7 +111,7 @@ def rep_performance(actions: DataFrame, employees: DataFrame, events: DataFrame)
     return (
         _rep_actions(actions)
         .filter(F.col("user_email").isNotNull())
-        .join(_events(events), "event_id")
+        .join(_different_events(events), "event_id")
         .groupBy(
             F.col("user_email").alias("rep_email"),
             F.col("action_date_az").alias("action_date"),
@@ -180,7 +188,7 @@ def depth_per_ticket(actions: DataFrame, events: DataFrame) -> DataFrame:
             F.col("ticket_status_action_count").alias("times_confirmed_to_this_status"),
         )
         .agg(F.count_distinct("ticket_id").alias("ticket_count"))
-        .join(_events(events), "event_id")
+        .join(_different_events(events), "event_id")
         .orderBy(
             F.desc_nulls_last("event_date"),
             "confirmation_status",
@@ -217,11 +225,12 @@ def depth_per_company(
         },
         settings.tickets_are_unique,
     ).filter(F.col("total_confirmed_tickets") > 0)
+    # A company that is recorded twice is one group as well.
     companies = customers.select(
         F.col("id").alias("customer_id"), F.col("name").alias("company_name"), "vertical"
-    )
+    ).distinct()
     return (
-        counted.join(_events(events), "event_id")
+        counted.join(_different_events(events), "event_id")
         .join(companies, "customer_id")
         .orderBy(
             F.desc_nulls_last("event_date"),
@@ -253,7 +262,7 @@ def attendance_outcomes(actions: DataFrame, events: DataFrame, settings: Setting
         )
         .groupBy("event_id", "confirmation_status", "ticket_status")
         .agg(F.count_distinct("ticket_id").alias("tickets"))
-        .join(_events(events), "event_id")
+        .join(_different_events(events), "event_id")
         .orderBy(
             F.desc_nulls_last("event_date"), "confirmation_status", "ticket_status", "event_id"
         )
@@ -281,7 +290,7 @@ def travel_status(all_tickets: DataFrame, events: DataFrame, settings: Settings)
         settings.tickets_are_unique,
     )
     return (
-        counted.join(_events(events), "event_id")
+        counted.join(_different_events(events), "event_id")
         .orderBy(
             F.asc_nulls_first("event_date"),
             F.asc_nulls_first("travel_details"),

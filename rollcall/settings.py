@@ -19,8 +19,9 @@ class Settings:
     """
 
     as_of: datetime
-    # Purchaser fields holding one of these were filled in by an import job.
-    junk: tuple[str, ...] = ("ImportJob", "")
+    # Purchaser fields holding one of these are no purchaser: blank ones, and what
+    # an import job has filled in.
+    junk: tuple[str, ...] = ("",)
     machine_actors: tuple[str, ...] = ("System", "bulk-import")
     week_anchor: date = date(2024, 1, 1)
     local_zone: str = "America/Phoenix"
@@ -34,11 +35,6 @@ class Settings:
     # tickets, and tickets are not joined to sales just to count the repeats.
     tickets_are_unique: bool = False
     sales_are_unique: bool = False
-    # A ticket with at least this many touches is ranked in hourly slices; at
-    # most max_hot_tickets (the heaviest) are treated so, which bounds what is
-    # broadcast. Neither value changes a result.
-    hot_ticket_rows: int = 1_000_000
-    max_hot_tickets: int = 1_000
 
     @property
     def now(self) -> Column:

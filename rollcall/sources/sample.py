@@ -7,6 +7,7 @@ source may differ per engine.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -15,8 +16,13 @@ from rollcall.settings import Settings
 from rollcall.sources.tables import Tables
 
 SETTINGS = Settings(
-    as_of=datetime(2024, 1, 20, 15, 30), tickets_are_unique=True, sales_are_unique=True
+    as_of=datetime(2024, 1, 20, 15, 30),
+    junk=("ImportJob", ""),
+    tickets_are_unique=True,
+    sales_are_unique=True,
 )
+# The same without declared keys, for tables that repeat rows.
+UNDECLARED = replace(SETTINGS, tickets_are_unique=False, sales_are_unique=False)
 PATTERNS = {"alpha": "Alpha", "beta": "Beta", "gamma": "Gamma"}
 FLAGSHIP = "Alpha"
 
@@ -35,9 +41,10 @@ SOURCES: dict[str, str] = {
     "attendees": "(SELECT c_custkey, explode(array(0, 1, 2)) AS j FROM {customer}) x",
     "attendee_tickets": "{events}",
     "customers": "{customer}",
-    "dim_event": "{part} WHERE p_partkey < 40",
-    "dim_employee": "{supplier} JOIN {nation} ON n_nationkey = s_nationkey WHERE s_suppkey < 5",
-    "dim_customer": "{customer} JOIN {nation} ON n_nationkey = c_nationkey WHERE c_custkey % 8 <> 0",
+    # Some events are recorded twice.
+    "dim_event": "(SELECT * FROM {part} UNION ALL SELECT * FROM {part} WHERE p_partkey % 50 = 3) x",
+    "dim_employee": "{supplier} JOIN {nation} ON n_nationkey = s_nationkey",
+    "dim_customer": "{customer} JOIN {nation} ON n_nationkey = c_nationkey",
     "dim_customer_contact": "{customer}",
     "dim_person": "{customer}",
     "fact_gl": "{lineitem} JOIN {orders} ON o_orderkey = l_orderkey",
@@ -53,7 +60,11 @@ DUCKDB_SOURCES = {
 COLUMNS: dict[str, dict[str, str]] = {
     "tickets": {
         "ticket_id": "CAST(k AS STRING)",
-        "event_id": "CASE WHEN k % 37 = 0 THEN NULL ELSE 'EV-' || CAST(k % 40 AS STRING) END",
+        # Eight orders an event, so that events grow with the data.
+        "event_id": (
+            "CASE WHEN k % 37 = 0 THEN NULL "
+            "ELSE 'EV-' || CAST(CAST(floor(k / 8) AS BIGINT) AS STRING) END"
+        ),
         "event_type_id": "CAST(k % 3 AS INT)",
         "attendee_id": "CASE WHEN k % 11 = 0 THEN NULL ELSE cust * 10 + k % 3 END",
         "customer_id": "CASE WHEN k % 23 = 0 THEN NULL ELSE cust END",
@@ -62,7 +73,7 @@ COLUMNS: dict[str, dict[str, str]] = {
             "CASE k % 3 WHEN 0 THEN 'Alpha Workshop' WHEN 1 THEN 'Beta Bootcamp' "
             "ELSE 'Gamma Summit' END || CASE WHEN k % 7 = 0 THEN ' VIP' ELSE '' END"
         ),
-        "scheduled_event_name": "'Event ' || CAST(k % 40 AS STRING)",
+        "scheduled_event_name": "'Event ' || CAST(CAST(floor(k / 8) AS BIGINT) AS STRING)",
         "ticket_type": "CASE k % 4 WHEN 0 THEN 'General' WHEN 1 THEN 'VIP' WHEN 2 THEN 'Staff' END",
         "status": (
             "CASE (k * 7 + CAST(floor(k / 13) AS BIGINT)) % 10 WHEN 0 THEN 'Open' "
@@ -79,14 +90,15 @@ COLUMNS: dict[str, dict[str, str]] = {
         "confirmation_method": "CASE k % 3 WHEN 0 THEN 'Phone' WHEN 1 THEN 'Text' END",
         "confirmed_by": (
             "CASE CAST(floor(k / 5) AS BIGINT) % 3 "
-            "WHEN 0 THEN 'rep' || CAST(k % 6 AS STRING) || '@x.com' WHEN 1 THEN 'System' END"
+            "WHEN 0 THEN 'rep' || CAST(CAST(floor(k / 160) AS BIGINT) AS STRING) || '@x.com' "
+            "WHEN 1 THEN 'System' END"
         ),
         "confirmed_date": (
             "CASE WHEN k % 31 = 0 THEN NULL ELSE date '2024-01-01' + CAST(k % 25 AS INT) END"
         ),
         "double_confirmed_by": (
             "CASE WHEN CAST(floor(k / 3) AS BIGINT) % 4 = 3 AND k % 2 = 0 "
-            "THEN 'rep' || CAST(k % 4 AS STRING) || '@x.com' END"
+            "THEN 'rep' || CAST(CAST(floor(k / 160) AS BIGINT) + 1 AS STRING) || '@x.com' END"
         ),
         "double_confirmed_date": (
             "CASE WHEN CAST(floor(k / 3) AS BIGINT) % 4 = 3 "
@@ -125,11 +137,11 @@ COLUMNS: dict[str, dict[str, str]] = {
         "is_deleted": "CASE WHEN k % 17 = 0 THEN 1 ELSE 0 END",
     },
     "history": {
-        "history_id": "event_id",
         "ticket_id": "CAST(user_id * 4 + event_id % 4 AS STRING)",
         "changed_by": (
             "CASE event_id % 9 WHEN 6 THEN 'System' WHEN 7 THEN 'bulk-import' "
-            "WHEN 8 THEN NULL ELSE 'rep' || CAST(event_id % 9 AS STRING) || '@x.com' END"
+            "WHEN 8 THEN NULL WHEN 5 THEN 'temp@x.com' ELSE 'rep' || CAST(CAST(floor(user_id / 2) "
+            "AS BIGINT) + event_id % 3 AS STRING) || '@x.com' END"
         ),
         "action": (
             "CASE event_type WHEN 'purchase' THEN 'Confirmation status updated' "
@@ -145,15 +157,17 @@ COLUMNS: dict[str, dict[str, str]] = {
     "ticket_no_show_resets": {
         "ticket_id": "CAST(k AS STRING) || '-' || CAST(ln AS STRING)",
         "root_ticket_id": "CASE WHEN k % 97 = 0 THEN NULL ELSE CAST(k AS STRING) END",
-        "event_id": "'EV-' || CAST((k + ln % 2) % 40 AS STRING)",
+        "event_id": "'EV-' || CAST(CAST(floor(k / 8) AS BIGINT) + ln % 2 AS STRING)",
         "event_type_id": "CAST(k % 3 AS INT)",
-        "attendee_id": "k % 100 * 10 + ln % 3",
-        "customer_id": "k % 100",
+        "attendee_id": "CAST(floor(k / 10) AS BIGINT) * 10 + ln % 3",
+        "customer_id": "CAST(floor(k / 10) AS BIGINT)",
         "product_name": (
             "CASE k % 3 WHEN 0 THEN 'Alpha Workshop' WHEN 1 THEN 'Beta Bootcamp' "
             "ELSE 'Gamma Summit' END"
         ),
-        "scheduled_event_name": "'Event ' || CAST((k + ln % 2) % 40 AS STRING)",
+        "scheduled_event_name": (
+            "'Event ' || CAST(CAST(floor(k / 8) AS BIGINT) + ln % 2 AS STRING)"
+        ),
         "ticket_type": "'General'",
         "confirmation_status": (
             "CASE ln % 3 WHEN 0 THEN 'Confirmed' WHEN 1 THEN 'DOUBLE CONFIRMED' "
@@ -166,7 +180,7 @@ COLUMNS: dict[str, dict[str, str]] = {
         "double_confirm_type": "CASE ln % 3 WHEN 1 THEN 'Both' END",
         "outreach_restriction": "CASE k % 29 WHEN 0 THEN 'Do Not Contact' END",
         "sales_order_id": "'SO' || CAST(floor(k / 2) AS BIGINT)",
-        "purchaser_email": "'buyer' || CAST(k % 100 AS STRING) || '@x.com'",
+        "purchaser_email": "'buyer' || CAST(CAST(floor(k / 10) AS BIGINT) AS STRING) || '@x.com'",
         "is_comped": "CASE WHEN k % 10 = 1 THEN 1 END",
         "attendance_type": "'In-Person'",
         "reset_at": "sd",
@@ -219,7 +233,7 @@ COLUMNS: dict[str, dict[str, str]] = {
         "EventName": "p_name",
         "EventCode": "'CV-' || CAST(p_partkey AS STRING)",
         "EventType": "p_type",
-        "StartDate": "date '2024-01-01' + CAST(p_partkey AS INT)",
+        "StartDate": "date '2024-01-01' + CAST(p_partkey % 60 AS INT)",
         "TargetAttendance": (
             "CASE WHEN p_size % 5 = 0 THEN 0 WHEN p_size % 7 = 0 THEN NULL ELSE p_size * 10 END"
         ),
@@ -232,7 +246,7 @@ COLUMNS: dict[str, dict[str, str]] = {
         "Team": "n_name",
     },
     "dim_customer": {
-        "CVCustomerID": "'CV' || CAST(c_custkey AS STRING)",
+        "CVCustomerID": "CASE WHEN c_custkey % 8 <> 0 THEN 'CV' || CAST(c_custkey AS STRING) END",
         "NetSuiteID": "c_custkey + 100000",
         "EliteStatus": "CASE c_custkey % 6 WHEN 0 THEN '3' WHEN 1 THEN '4' END",
         "EliteStatusName": "CASE c_custkey % 6 WHEN 0 THEN 'E125' WHEN 1 THEN 'E250' END",
@@ -275,7 +289,7 @@ COLUMNS: dict[str, dict[str, str]] = {
         "EntityID": "c_custkey + 100000",
         "BusinessOwnerName": "'Entity ' || CAST(c_custkey AS STRING)",
         "Email": (
-            "CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' "
+            "CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' "
             "ELSE 'ns' || CAST(c_custkey AS STRING) || '@x.com' END"
         ),
         "Phone": "'559-' || CAST(c_custkey AS STRING)",

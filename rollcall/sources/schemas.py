@@ -41,8 +41,8 @@ BASE_TABLES: dict[str, T.StructType] = {
         "is_deleted int"
     ),
     "history": _schema(
-        "history_id bigint, ticket_id string, changed_by string, action string, "
-        "new_value string, changed_at timestamp_ntz"
+        "ticket_id string, changed_by string, action string, new_value string, "
+        "changed_at timestamp_ntz"
     ),
     "ticket_no_show_resets": _schema(
         "ticket_id string, root_ticket_id string, event_id string, event_type_id int, "

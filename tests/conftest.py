@@ -36,7 +36,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def settings():
-    return Settings(as_of=datetime(2024, 1, 20, 15, 30))
+    return Settings(as_of=datetime(2024, 1, 20, 15, 30), junk=("ImportJob", ""))
 
 
 @pytest.fixture(scope="session")

@@ -55,11 +55,24 @@ def test_layout(listed):
     assert failed(missing) == {"columns_match_layout", "returns_rows"}
     swapped = listed.select(*reversed(listed.columns))
     assert failed(checks.layout_checks(swapped, SPEC)) == {"columns_match_layout"}
-    assert failed(checks.same_layout_check({"a": listed, "b": listed})) == set()
-    different = checks.same_layout_check({"a": listed, "b": swapped})
+    assert failed(checks.same_layout_check({"a": listed, "b": listed}, "Alpha")) == set()
+    different = checks.same_layout_check({"a": listed, "b": swapped}, "Alpha")
     assert verdict(different)["lists_share_layout"] == (False, 1, "b")
 
 
+def test_layout_is_agreed_apart_from_the_list(spark, monkeypatch):
+    made = lists._display
+
+    def swapped(flagship):
+        names = made(flagship)
+        return names | {"elite_status": names["vertical"], "vertical": names["elite_status"]}
+
+    monkeypatch.setattr(lists, "_display", swapped)
+    worse = lists.customer_list(sample_tables(spark, SMALL), SPEC, SETTINGS)
+    assert worse.columns == SPEC.columns  # the list agrees with its own code
+    assert failed(checks.layout_checks(worse, SPEC)) == {"columns_match_layout"}
+
+
 def test_keys(listed):
     twice = listed.union(listed.limit(3)).union(
         listed.limit(1).withColumn(checks.CV, F.lit(None).cast("string"))

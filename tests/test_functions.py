@@ -12,7 +12,6 @@ from rollcall.operators.aggregates import (
     rank_of_label,
     text_list,
 )
-from rollcall.operators.hot import hot_keys, only_hot, without_hot
 from rollcall.operators.picks import keep_first
 
 
@@ -142,15 +141,3 @@ def test_keep_first_limits_groups_before_the_shuffle(spark, rows):
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert rows(first) == [(0, 999), (1, 997), (2, 998)]
-
-
-def test_hot_keys_are_the_heaviest_and_bounded(spark, rows):
-    df = spark.createDataFrame(
-        [(None, n) for n in range(9)] + [("a", n) for n in range(5)] + [("b", 0)],
-        "k string, n int",
-    )
-    assert rows(hot_keys(df, "k", 2, 10)) == [("a",), (None,)]
-    hot = hot_keys(df, "k", 2, 1)
-    assert rows(hot) == [(None,)]
-    assert only_hot(df, "k", hot).count() == 9
-    assert rows(without_hot(df, "k", hot).groupBy("k").count()) == [("a", 5), ("b", 1)]

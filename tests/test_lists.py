@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from rollcall.plans import lists
+from rollcall.sinks import staged
 from rollcall.sources.sample import SETTINGS, sample_tables
 
 SPEC = lists.ListSpec("Alpha", "Alpha")
@@ -259,5 +260,21 @@ def test_aggregates_meet_without_another_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     by_business = [line for line in plan.splitlines() if "hashpartitioning(customer_id#" in line]
     single = [line for line in by_business if line.split("hashpartitioning(")[1].count("#") == 1]
-    # One per branch: rollup, contacts, profile, types, orders, activity, purchase, summary.
-    assert len(single) == 8
+    # One per branch: rollup, contacts, profile, types, orders, activity, purchase, summary; and
+    # two to cut the attendees to the businesses in scope.
+    assert len(single) == 10
+
+
+def test_a_list_scans_the_tickets_twice(spark, monkeypatch):
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return staged(df)
+
+    monkeypatch.setattr(lists, "staged", noted)
+    listed = lists.customer_list(sample_tables(spark, SMALL), SPEC, SETTINGS)
+    plans.append(listed._jdf.queryExecution().optimizedPlan().toString())
+    # The first stores the tickets in scope; product names are made in no other plan.
+    assert "LeftSemi" in plans[0] and plans[0].count("Relation [o_orderkey") == 2
+    assert not any("Beta Bootcamp" in plan for plan in plans[1:])

@@ -7,8 +7,9 @@ from rollcall.sources.sample import SETTINGS, sample_tables
 def test_publish_writes_what_the_pipelines_compute(spark, rows, tmp_path):
     tables = sample_tables(spark, SMALL)
     specs = {"alpha": lists.ListSpec("Alpha", "Alpha")}
-    written = publish(tables, specs, SETTINGS, str(tmp_path))
-    assert len(written) == 21
+    before = spark.createDataFrame([("CV1",), ("gone",)], ["CV Customer ID"])
+    written = publish(tables, specs, SETTINGS, str(tmp_path), {"alpha": before})
+    assert len(written) == 25
 
     def stored(name):
         return spark.read.parquet(written[name])
@@ -20,3 +21,11 @@ def test_publish_writes_what_the_pipelines_compute(spark, rows, tmp_path):
     assert rows(stored("depth_per_ticket")) == rows(depth)
     assert stored("list_alpha").columns == specs["alpha"].columns
     assert stored("measures_confirmations").columns[0] == "Confirmations"
+    verdicts = stored("checks_alpha").collect()
+    assert len({r["check"] for r in verdicts}) == 16 and all(r["passed"] for r in verdicts)
+    changes = spark.read.option("header", True).csv(written["changes_alpha"])
+    summary = stored("summary_alpha").first()
+    assert changes.filter("change = 'removed'").collect()[0][0] == "gone"
+    assert changes.filter("change = 'added'").count() == summary["added"]
+    assert (summary["old_businesses"], summary["removed"]) == (2, summary["removed"])
+    assert summary["new_businesses"] == stored("list_alpha").count()
