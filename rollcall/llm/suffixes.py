@@ -17,6 +17,11 @@ at a time down to a shallow depth; what is still tied has a long common prefix a
 blind tries: an insertion goes down by branching bytes alone, compares once with the leaf that it
 finds, and branches at the first difference.
 
+A bucket holds one member for each class of its anchor, so its size is bounded by `BUCKET` classes.
+For an anchor with more (a passage shorter than `length` in very many surroundings) the windows are
+counted by two hashes of all their bytes instead, which combines on the map side and needs no task
+to hold them. Both ways give the same answer.
+
 Nulls count as empty texts; texts shorter than `length` lose nothing. Matches never cross texts;
 repeated rows are copies of each other. Extra columns are ignored and an empty table gives an empty
 result. A text of any length is hashed in linear time. Anchors and surroundings are compared by two
@@ -36,10 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.seeds import anchor_table, first_and_count, repeated_anchors, unpacked
-from rollcall.llm.shared import text_or_empty
+from rollcall.llm.shared import stored, text_or_empty
 
 #: Windows in a block, whose common core is their bucket, and depth of the quicksort.
 BLOCK, SHALLOW = 128, 32
+#: Classes of one anchor that are sorted by one task.
+BUCKET = 20_000
 _KEYS = ["h", "t"]
 _WORD = 8
 _BYTES = np.random.default_rng(400).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -147,21 +154,31 @@ def repeated_starts(data: bytes, starts: np.ndarray, groups: np.ndarray, length:
 
 
 def _blocks(asked: DataFrame, length: int) -> DataFrame:
-    """core, h, t, first, phase, content: blocks of neighbouring windows of the asked anchors.
+    """core, check, h, t, first, phase, content: blocks of neighbouring windows of the asked anchors.
 
-    `first` is the block's first window start and `phase` its place in the aligned block.
+    `first` is the block's first window start and `phase` its place in the aligned block. Of
+    crowded anchors, every window is a block of its own, with two hashes and no content.
     """
     block = block_size(length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, cores, firsts, phases, contents = [], [], [], [], []
+            rows, cores, checks, firsts, phases, contents = [], [], [], [], [], []
             asked = zip(batch.column("text").to_pylist(), batch.column("asks").to_pylist(), strict=True)
             for i, (text, asks) in enumerate(asked):
                 data = utf8(text)
                 for ask in asks:
                     first, more, lead = unpacked(ask["at"])
                     place = first + lead
+                    if ask["crowded"]:
+                        windows = [data[a : a + length] for a in range(first, first + more + 1)]
+                        rows += [i] * len(windows)
+                        cores += [xxhash.xxh64_intdigest(w, 1) for w in windows]
+                        checks += [xxhash.xxh64_intdigest(w, 2) >> 1 for w in windows]
+                        firsts += range(first, first + more + 1)
+                        phases += [0] * len(windows)
+                        contents += [None] * len(windows)
+                        continue
                     # Windows by how far before the anchor they start, in aligned blocks of that.
                     for b in range((lead - more) // block, lead // block + 1):
                         high = place - b * block
@@ -169,6 +186,7 @@ def _blocks(asked: DataFrame, length: int) -> DataFrame:
                         begin, last = max(first, low), min(first + more, high)
                         core = data[high : low + length]
                         rows.append(i)
+                        checks.append(None)
                         cores.append(xxhash.xxh64_intdigest(core, (ask["anchor"] + b) & 0xFFFFFFFF))
                         firsts.append(begin)
                         phases.append(begin - low)
@@ -177,14 +195,17 @@ def _blocks(asked: DataFrame, length: int) -> DataFrame:
                 taken = pa.array(rows)
                 arrays = [
                     pa.array(np.array(cores, dtype=np.uint64).view(np.int64)),
+                    pa.array(checks, pa.int64()),
                     *(batch.column(k).take(taken) for k in _KEYS),
                     pa.array(firsts, pa.int64()),
                     pa.array(phases, pa.int32()),
                     pa.array(contents, pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, names=["core", *_KEYS, "first", "phase", "content"])
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return asked.mapInArrow(cut, "core long, h long, t int, first long, phase int, content binary")
+    kind = "core long, check long, h long, t int, first long, phase int, content binary"
+    names = [c.split()[0] for c in kind.split(", ")]
+    return asked.mapInArrow(cut, kind)
 
 
 def _sorted_buckets(blocks: DataFrame, length: int) -> DataFrame:
@@ -236,6 +257,13 @@ def _sorted_buckets(blocks: DataFrame, length: int) -> DataFrame:
     return bucketed.mapInArrow(sort, "h long, t int, first long, n long")
 
 
+def _counted_windows(windows: DataFrame) -> DataFrame:
+    """h, t, first, n of the crowded windows whose hashes are found twice or more."""
+    often = windows.groupBy("core", "check").agg(F.count("*").alias("m")).filter("m > 1")
+    found = windows.join(stored(often.drop("m")), ["core", "check"])
+    return found.select(*_KEYS, "first", F.lit(1).cast("long").alias("n"))
+
+
 def removed_bytes(runs: list | None, n: int, length: int) -> np.ndarray:
     """Which of n bytes lie in a repeated window; a run is (first, n) of window starts."""
     steps = np.zeros(n + 1, dtype=np.int64)
@@ -245,30 +273,38 @@ def removed_bytes(runs: list | None, n: int, length: int) -> np.ndarray:
     return np.cumsum(steps[:n]) > 0
 
 
-def without_repeats(docs: DataFrame, length: int = 400, k: int = 200, texts: bool = True) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, length: int = 400, k: int = 200, texts: bool = True, bucket: int = BUCKET
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if `texts`, kept (binary): one row per
     row of docs."""
     known = _identified(docs)
     # Copies of a text are one here, reduced before they are shuffled.
     single = known.select("h", "t", "text").dropDuplicates(_KEYS)
     seeds = repeated_anchors(anchor_table(known, _KEYS, byte_tokens, length, k))
-    classes = seeds.groupBy("anchor", "context").agg(
-        F.count("*").alias("members"), F.min(F.struct("h", "t", "at")).alias("one")
+    # What follows joins stored tables, so that large keys are split between tasks.
+    classes = stored(
+        seeds.groupBy("anchor", "context").agg(
+            F.count("*").alias("members"), F.min(F.struct("h", "t", "at")).alias("one")
+        )
     )
     equal = classes.filter("members > 1").select("anchor", "context")
     first, n = first_and_count(F.col("at"))
     whole = seeds.join(equal, ["anchor", "context"]).select(*_KEYS, first.alias("first"), n.alias("n"))
-    differing = (
+    differing = stored(
         classes.groupBy("anchor")
-        .agg(F.min("context").alias("low"), F.max("context").alias("high"))
-        .filter("low <> high")
-        .select("anchor")
+        .agg(F.count("*").alias("n_classes"))
+        .filter("n_classes > 1")
+        .select("anchor", (F.col("n_classes") > bucket).alias("crowded"))
     )
-    asked = classes.join(differing, "anchor").select("anchor", "one.*")
-    asks = asked.groupBy(*_KEYS).agg(F.collect_list(F.struct("anchor", "at")).alias("asks"))
-    blocks = _blocks(single.join(asks, _KEYS), length)
+    asked = classes.join(differing, "anchor").select("anchor", "one.*", "crowded")
+    asks = asked.groupBy(*_KEYS).agg(F.collect_list(F.struct("anchor", "at", "crowded")).alias("asks"))
+    blocks = stored(_blocks(single.join(asks, _KEYS), length))
+    sorted_runs = _sorted_buckets(blocks.filter("check IS NULL").drop("check"), length)
+    counted_runs = _counted_windows(blocks.filter("check IS NOT NULL"))
     runs = (
-        whole.unionByName(_sorted_buckets(blocks, length))
+        whole.unionByName(sorted_runs)
+        .unionByName(counted_runs)
         .groupBy(*_KEYS)
         .agg(F.collect_set(F.struct("first", "n")).alias("runs"))
     )
@@ -288,4 +324,4 @@ def without_repeats(docs: DataFrame, length: int = 400, k: int = 200, texts: boo
     kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts
     names = [c.split()[0] for c in kind.split(", ")]
     cleaned = single.join(runs, _KEYS, "left").select(*_KEYS, F.pandas_udf(keep, kind)("text", "runs").alias("found"))
-    return known.select("doc_id", *_KEYS).join(cleaned, _KEYS).select("doc_id", "found.*")
+    return known.select("doc_id", *_KEYS).join(stored(cleaned), _KEYS).select("doc_id", "found.*")

@@ -57,8 +57,10 @@ def test_seed_and_extend(docs_of, rows, given):
 
 def test_deep_and_shallow(docs_of, rows, given):
     for length, k in ((400, 200), (100, 30)):
-        got = rows(suffixes.without_repeats(docs_of(given, extra=True), length, k, texts=False))
-        assert got == by_bytes(given, length)
+        for bucket in (2, 1000):  # crowded anchors, and none
+            df = docs_of(given, extra=True)
+            got = rows(suffixes.without_repeats(df, length, k, texts=False, bucket=bucket))
+            assert got == by_bytes(given, length)
 
 
 def test_kept_texts(docs_of):
