@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm.seeds import anchor_table, repeated_anchors, unpacked
-from rollcall.llm.shared import text_or_empty, word_list
+from rollcall.llm.shared import stored, text_or_empty, word_list
 from rollcall.llm.winnowing import Rolling
 
 _REMEMBERED_WORDS = 500_000
@@ -113,11 +113,14 @@ def without_repeats(
     doc_type = docs.schema["doc_id"].dataType
     known = _identified(docs).filter("doc_id IS NOT NULL")
     seeds = repeated_anchors(anchor_table(known, ["doc_id", "t"], word_hashes, length, k))
-    classes = seeds.groupBy("anchor", "context").agg(
-        F.min(F.struct("doc_id", "t", "at")).alias("first"), F.max("doc_id").alias("last_doc")
+    # What follows joins stored tables, so that large keys are split between tasks.
+    classes = stored(
+        seeds.groupBy("anchor", "context").agg(
+            F.min(F.struct("doc_id", "t", "at")).alias("first"), F.max("doc_id").alias("last_doc")
+        )
     )
     # Anchors with different surroundings: their first documents are extended window by window.
-    differing = (
+    differing = stored(
         classes.groupBy("anchor")
         .agg(F.min("context").alias("low"), F.max("context").alias("high"))
         .filter("low <> high")
@@ -125,15 +128,20 @@ def without_repeats(
     )
     asked = classes.join(differing, "anchor").select("anchor", "context", "first.*")
     asks = asked.groupBy("doc_id", "t").agg(F.collect_list(F.struct("anchor", "context", "at")).alias("asks"))
-    windows = _window_rows(known.join(asks, ["doc_id", "t"]), length, doc_type)
-    earliest = windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("earliest"))
+    windows = stored(_window_rows(known.join(asks, ["doc_id", "t"]), length, doc_type))
+    earliest = stored(
+        windows.groupBy("anchor", "window")
+        .agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest"))
+        .filter("earliest < latest")
+        .drop("latest")
+    )
     extended = (
         windows.join(earliest, ["anchor", "window"])
         .filter("earliest < doc_id")
         .groupBy("anchor", "context")
         .agg(F.collect_list("offset").alias("offsets"))
     )
-    decided = (
+    decided = stored(
         classes.select("anchor", "context", F.col("first.doc_id").alias("first_doc"), "last_doc")
         .join(extended, ["anchor", "context"], "left")
         .filter("last_doc > first_doc OR offsets IS NOT NULL")
