@@ -108,7 +108,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3, segments
     roots = components(links(classes, max_bits, segments)).select(F.col("u").alias("fp"), "root")
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    found = rooted.join(smallest, "root").select("fp", "component_id")
+    # A table of its own, so that the copies of one fingerprint are split between tasks.
+    found = stored(rooted.join(smallest, "root").select("fp", "component_id"))
     return prints.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
