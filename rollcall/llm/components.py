@@ -2,8 +2,8 @@
 
 Every round joins each node's neighbours to the smallest node among them; the links shrink to one
 star per component in a number of rounds that grows as the logarithm of the largest component.
-Links stay in tables: a node's neighbours are reduced to their minimum, never gathered, so a node
-with very many links is no single task's load.
+Links stay in tables: a node's neighbours are reduced to their minimum, never gathered, and the
+minima are stored before they are joined, so that Spark can split a node with very many links.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from rollcall.llm.shared import stored
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.join(stored(least), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(links.groupBy("u").agg(F.min("v").alias("m")))
     moved = links.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.withColumnRenamed("m", "v")).distinct()
 
