@@ -208,10 +208,15 @@ def fit(
     rate = (F.col("t") + prior * parent_rate) / (F.col("t") + F.col("c") + prior)
     odds = F.log(rate / (1 - rate))
     spread = F.sqrt(1 / (F.col("t") + prior * parent_rate) + 1 / (F.col("c") + prior * (1 - parent_rate)))
+    candidates = counts.filter("unit <> '' and t + c >= 3").withColumn("parent", parent)
+    # The empty prefix is the parent of very many units, and its counts are known.
+    of_all = candidates.filter("parent = ''").withColumns(
+        {"pt": F.lit(toxic_all).cast("long"), "pc": F.lit(clean_all).cast("long")}
+    )
     kept = (
-        counts.filter("unit <> '' and t + c >= 3")
-        .withColumn("parent", parent)
+        candidates.filter("parent <> ''")
         .join(parents, "parent")
+        .unionByName(of_all)
         .withColumn("odds", odds - math.log(base / (1 - base)))
         .filter(F.abs(odds - parent_odds) >= clear * spread)
         .select("unit", "odds", "t", "c")
