@@ -109,7 +109,8 @@ def flight(p: np.ndarray, sizes: np.ndarray, draws: np.ndarray) -> np.ndarray:
 
 def _flights(units: DataFrame, block: int, seed: int, round_no: int) -> DataFrame:
     """One round: blocks of about `block` units of a source, each flown in one task."""
-    counts = units.groupBy("source_no").agg(F.count("*").alias("n_units"))
+    # Stored, so that the join knows its size, or splits a large source where it is none to send.
+    counts = stored(units.groupBy("source_no").agg(F.count("*").alias("n_units")))
     blocks = F.ceil(F.col("n_units") / block)
     block_no = F.pmod(F.xxhash64("unit", F.lit(seed + round_no)), blocks)
     # One key for source and block, so that the blocks of a large source are dealt to many tasks.
