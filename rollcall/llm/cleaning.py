@@ -15,12 +15,12 @@ linear in the text; a very long text is one value of one task and is judged whol
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +28,11 @@ from rollcall.llm.shared import word_list
 
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
-_SEPARATORS = re.compile(r"\s[|»›•·>/]\s|\s->\s")
-_SENTENCE_END = re.compile(r"[.!?。！？…:;]")
+_SEPARATOR = r"[ \t\r\f\v](?:[|»›•·>/]|->)[ \t\r\f\v]"
+_END = r"[.!?。！？…:;]"
+_SMALL, _CAPITAL = r"\p{Ll}", r"\p{Lu}"
+_SEPARATORS, _SENTENCE_END = regex.compile(_SEPARATOR), regex.compile(_END)
+_SMALL_LETTER, _CAPITAL_LETTER = regex.compile(_SMALL), regex.compile(_CAPITAL)
 
 #: Stock phrases of page furniture; fixed values.
 BOILERPLATE = (
@@ -48,7 +51,8 @@ BOILERPLATE = (
     "terms of use",
     "we use cookies",
 )
-_BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)))
+_FURNITURE = "(?i)" + "|".join(BOILERPLATE)
+_BOILERPLATE = regex.compile(_FURNITURE)
 
 
 @dataclass(frozen=True)
@@ -58,7 +62,6 @@ class LineRules:
     symbols_per_word: float = 0.3
     words_without_end: int = 120
     shouts_per_word: float = 0.5
-    capitals: float = 0.8
     least_words: int = 5
     separators: int = 3
     words_per_label: float = 3.0
@@ -67,21 +70,21 @@ class LineRules:
 
     def fails(self, line: str, n: int) -> str:
         """The rule that a line of n words fails; empty if none."""
-        if sum(map(line.count, SYMBOLS)) > self.symbols_per_word * n and n >= self.least_words:
-            if len(_SEPARATORS.findall(line)) < self.separators:
-                return "punctuation"
+        separators = len(_SEPARATORS.findall(line))
         if n >= self.least_words:
-            letters = [c for c in line if c.isalpha()] if line.upper() == line else []
-            if letters and sum(map(str.isupper, letters)) >= self.capitals * len(letters):
+            symbols = sum(map(line.count, SYMBOLS))
+            if symbols > self.symbols_per_word * n and separators < self.separators:
+                return "punctuation"
+            if not _SMALL_LETTER.search(line) and _CAPITAL_LETTER.search(line):
                 return "punctuation"
             if line.count("!") > self.shouts_per_word * n:
                 return "punctuation"
         if n >= self.words_without_end and not _SENTENCE_END.search(line):
             return "punctuation"
-        labels = len(_SEPARATORS.findall(line)) + 1
-        if labels > self.separators and n - labels + 1 <= self.words_per_label * labels:
+        labels = separators + 1
+        if separators >= self.separators and n - separators <= self.words_per_label * labels:
             return "navigation"
-        if n <= self.boilerplate_words and _BOILERPLATE.search(line.lower()):
+        if n <= self.boilerplate_words and _BOILERPLATE.search(line):
             return "boilerplate"
         return ""
 
@@ -155,3 +158,48 @@ def cleaned_text(text: str | None, rules: LineRules | None = None) -> str:
             kept.append(line)
         seen.add(line)
     return "\n".join(kept)
+
+
+def line_first_sql(rules: LineRules | None = None) -> str:
+    """The same over the view `documents`, for DuckDB: words and lines as rows, windows over them."""
+    r, word = rules or LineRules(), r"[^\x20\x09-\x0D]+"
+
+    def count(pattern: str, text: str = "line") -> str:
+        return f"len(regexp_extract_all({text}, '{pattern}'))"
+
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS n FROM documents),
+words AS (SELECT n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+          FROM (SELECT n, regexp_extract_all(text, '{word}') AS ws FROM docs) x),
+windows AS (SELECT n, i, w AS a, lead(w) OVER o AS b, lead(w, 2) OVER o AS c FROM words
+            WINDOW o AS (PARTITION BY n ORDER BY i)),
+often AS (SELECT n, i, count(*) OVER (PARTITION BY n, a, b, c) AS times FROM windows
+          WHERE c IS NOT NULL),
+repeats AS (SELECT n, count(DISTINCT i + j) AS n_repeat FROM often, (VALUES (0), (1), (2)) t(j)
+            WHERE times > 1 GROUP BY n),
+cut AS (SELECT n, unnest(ls) AS line, generate_subscripts(ls, 1) AS place
+        FROM (SELECT n, string_split(text, chr(10)) AS ls FROM docs) x),
+counted AS (SELECT n, line, {count(word)} AS k, {count(_SEPARATOR)} AS seps,
+                   {count("[" + SYMBOLS + "]")} AS symbols, {count("!")} AS shouts,
+                   row_number() OVER (PARTITION BY n, line ORDER BY place) > 1 AS again FROM cut),
+judged AS (SELECT n, k, again, again
+    OR (k >= {r.least_words} AND (
+         (symbols > {r.symbols_per_word}::DOUBLE * k AND seps < {r.separators})
+         OR (NOT regexp_matches(line, '{_SMALL}') AND regexp_matches(line, '{_CAPITAL}'))
+         OR shouts > {r.shouts_per_word}::DOUBLE * k))
+    OR (k >= {r.words_without_end} AND NOT regexp_matches(line, '{_END}'))
+    OR (seps >= {r.separators} AND k - seps <= {r.words_per_label}::DOUBLE * (seps + 1))
+    OR (k <= {r.boilerplate_words} AND regexp_matches(line, '{_FURNITURE}')) AS lost
+  FROM counted WHERE k > 0),
+totals AS (SELECT n, sum(k) AS words, count(*) FILTER (again) AS dups, count(*) FILTER (lost) AS lost_lines,
+                  coalesce(sum(k) FILTER (lost), 0) AS lost_words FROM judged GROUP BY n),
+figures AS (SELECT d.doc_id, d.text, coalesce(words, 0)::BIGINT AS n_words, coalesce(dups, 0) AS n_dup_lines,
+                   coalesce(n_repeat, 0) AS n_repeat_words, coalesce(lost_lines, 0) AS n_lost_lines,
+                   coalesce(lost_words, 0)::BIGINT AS n_lost_words
+            FROM docs d LEFT JOIN totals USING (n) LEFT JOIN repeats USING (n))
+SELECT doc_id, n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+       {count("[" + SYMBOLS + "]", "text")} AS n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT base_failed AND n_lost_words <= {r.lost_share}::DOUBLE * n_words AS kept,
+       n_lost_lines, n_lost_words
+FROM figures"""

@@ -48,4 +48,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_licence_sentences": licences.licences_sql()}
+    return {
+        "op6_line_first": cleaning.line_first_sql(),
+        "op8_licence_sentences": licences.licences_sql(),
+    }
