@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from oracle import duckdb_sql as sql
 from rollcall.plans import actions, checks, lists, measures, reports
 from rollcall.plans.tickets import ghost_tickets, tickets_all
-from rollcall.sinks import staged
+from rollcall.sinks import shared_path, staged, write_change_file
 from rollcall.sources.sample import FLAGSHIP, PATTERNS, SETTINGS, UNDECLARED, sample_tables
 from rollcall.sources.tables import Tables
 
@@ -294,7 +294,14 @@ def _check_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     def versions(t: Tables) -> tuple[DataFrame, DataFrame]:
         return listed(_earlier(t)), listed(t)
 
+    def change_file(t: Tables) -> DataFrame:
+        changes = checks.snapshot_diff(*versions(t))
+        path = shared_path(changes.sparkSession)
+        write_change_file(changes, path)
+        return changes.sparkSession.read.option("header", True).csv(path)
+
     return {
+        "change_file": change_file,
         "checks_consistency": of_every_list(consistency),
         "checks_population": of_every_list(
             lambda df, spec, t: checks.population_checks(df, t, spec, s)
@@ -673,6 +680,7 @@ SELECT '{name}' AS "column", count(*) FILTER ("{name}" IS NULL OR "{name}"::VARC
             f"SELECT count(*) FILTER (\"{FLAGSHIP} Customer\" = 'Yes') AS flagship_customers, "
             f"count(*) AS businesses FROM {listed}"
         ),
+        "change_file": q(f"SELECT * FROM {diff} d"),
         "snapshot_diff": q(f"SELECT * FROM {diff} d"),
         "snapshot_summary": q(f"""
 SELECT (SELECT count(*) FROM d_old_ids) AS old_businesses,

@@ -5,23 +5,30 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """The rows, written once to the folder that all executors share and read back.
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the folder that all executors share.
 
-    For what several steps read: it is computed once, and a lost executor costs
-    no more than a stage. The folder is the session's checkpoint folder; a
-    temporary one only where none is set.
+    That is the session's checkpoint folder; a temporary one only where none is
+    set.
     """
-    spark = df.sparkSession
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     folder = folder or f"file://{tempfile.gettempdir()}/rollcall-staged"
-    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The rows, written once to the shared folder and read back.
+
+    For what several steps read: it is computed once, and a lost executor costs
+    no more than a stage.
+    """
+    path = shared_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:
