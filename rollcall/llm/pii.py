@@ -22,7 +22,6 @@ and messages are linear in the length of a text, whatever repeats in it.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import cleaning, decontam, licences, mixing, pii, simhash, substrings, suffixes, tokens, toxicity
+from rollcall.llm import (
+    cleaning,
+    decontam,
+    licences,
+    mixing,
+    pii,
+    simhash,
+    substrings,
+    suffixes,
+    tokens,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

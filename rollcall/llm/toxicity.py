@@ -72,7 +72,10 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
             while j >= 0 and left[j] >= level:
                 j = below[j]
             if j < 0 or right[j] >= total:
-                left.append(level), right.append(total), spans.append((start, i + 1)), below.append(j)
+                left.append(level)
+                right.append(total)
+                spans.append((start, i + 1))
+                below.append(j)
                 break
             start, level = spans[j][0], left[j]
             del left[j:], right[j:], spans[j:], below[j:]
