@@ -1,7 +1,5 @@
 from datetime import date, datetime
 
-import pytest
-
 from conftest import SMALL
 from rollcall.plans import actions
 from rollcall.plans.tickets import tickets_all
