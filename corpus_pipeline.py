@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import decontam, mixing, pii, simhash, toxicity
-from rollcall.llm.shared import stored
+from rollcall.llm.shared import importable, stored
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,6 +59,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies, source of the documents that stay."""
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))

@@ -18,11 +18,13 @@ from rollcall.llm import (
     tokens,
     toxicity,
 )
+from rollcall.llm.shared import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
