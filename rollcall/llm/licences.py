@@ -118,6 +118,8 @@ RULES = (
 #: Every known sentence has one of these; other sentences with one of the first two are UNKNOWN.
 SPEAKS = "licen[cs]e|copyright"
 HINTS = f"{SPEAKS}|rights reserved|redistribut|free software|unencumbered|provided that|permission"
+#: The hints as they may stand in a text before it is normalised.
+RAW_HINTS = f"(?i){HINTS.replace(' ', '[^A-Za-z0-9]+')}"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WRAP, END, OTHER = r"\n[ \t]*([a-z(])", r"[.!?;:]+[ \t\r\n\f]+|\n+", r"[^a-z0-9\n]+"
 
@@ -151,7 +153,7 @@ def sentence_ids(text: Column) -> Column:
 
     ids = F.filter(F.transform(normalised_sentences(text), identifier), lambda x: x.isNotNull())
     # Most texts have no hint of a licence and are not cut at all.
-    return F.when(text.rlike(f"(?i){HINTS}"), ids).otherwise(F.array().cast("array<string>"))
+    return F.when(text.rlike(RAW_HINTS), ids).otherwise(F.array().cast("array<string>"))
 
 
 def licences(docs: DataFrame) -> DataFrame:

@@ -53,3 +53,19 @@ def test_every_known_sentence_is_one_and_is_hinted():
 
 def test_empty(docs_of):
     assert licences.licences(docs_of([])).count() == 0
+
+
+def test_texts_are_cut_whatever_stands_between_the_words_of_a_hint(docs_of, rows):
+    reserved = ["All rights\nreserved.", "All rights  reserved.", "All rights\treserved", "All-rights-reserved", "All rights reserved."]
+    grants = ["This program is free\nsoftware:", "This program is FREE -- software: x"]
+    df = docs_of([*enumerate(reserved), *enumerate(grants, 10), (20, "Provided he reserved free seats, that is all.")])
+    got = {r.doc_id: (r.sentence_ids, r.licences) for r in licences.licences(df).collect()}
+    assert got == {
+        **{i: ("reserved", "all-rights-reserved") for i in range(len(reserved))},
+        10: ("gpl-grant", ""), 11: ("gpl-grant", ""), 20: ("", ""),
+    }
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    names = ["doc_id", "sentence_ids", "licences", "n_unknown"]
+    expected = con.execute(f"SELECT {', '.join(names)} FROM ({licences.licences_sql()})").fetchall()
+    assert rows(licences.licences(df), *names) == sorted(expected, key=repr)
