@@ -8,9 +8,13 @@ an at sign) are labelled by a conditional random field over all mentions of a do
           base spans are observed, their label is fixed;
   chain   neighbouring mentions have a potential for each pair of labels;
   skips   a mention and the next one with the same or a similar text (the same last digits, the
-          same letters) share a potential for equal labels, however far apart they are.
+          same letters) share a potential for equal labels, however far apart they are; so does
+          a mention with every base span of such a text. Labels of base spans are fixed, so these
+          links are a sum per text and label, and their number stays linear.
 
-Loopy message passing in both directions over chain and skips gives each mention's marginals; a
+Loopy message passing in both directions over chain and skips, until no message moves, gives each
+mention's marginals (messages that never settle end after four rounds a mention, twice what it
+takes to cross the document); a
 mention whose most probable label is a kind of personal data becomes a span. Node and chain
 potentials are learned by counting over the whole corpus, with the base patterns as labels; the
 counts are few (labels times shapes) and come from one pass.
@@ -173,28 +177,42 @@ class Field:
                 for feature in mention.shape:
                     node[i] += self.nodes.get(feature, (0.0,) * k)
         chain, same = np.array(self.chain), self.equal * np.eye(k)
+        # What the base spans of a key tell each other mention of it: one link for each of them.
+        told: dict[str, np.ndarray] = {}
+        for mention in found:
+            if mention.label is not None:
+                told.setdefault(mention.key, np.zeros(k))[mention.label] += self.equal
         last: dict[str, int] = {}
         pairs = [(i, i + 1, chain) for i in range(n - 1)]
         for i, mention in enumerate(found):
-            if mention.key in last:
-                pairs.append((last[mention.key], i, same))
-            last[mention.key] = i
+            if mention.label is None:
+                key = mention.key
+                if key in told:
+                    node[i] += told[key]
+                if key in last:
+                    pairs.append((last[key], i, same))
+                last[key] = i
         source = np.array([a for a, _, _ in pairs] + [b for _, b, _ in pairs], dtype=np.int64)
         target = np.array([b for _, b, _ in pairs] + [a for a, _, _ in pairs], dtype=np.int64)
         potential = np.array([p for _, _, p in pairs] + [p.T for _, _, p in pairs]).reshape(-1, k, k)
         back = np.roll(np.arange(2 * len(pairs)), len(pairs))
         message = np.zeros((2 * len(pairs), k))
-        belief = node
-        for _ in range(self.rounds if pairs else 0):
-            cavity = belief[source] - message[back]
-            fresh = np.logaddexp.reduce(cavity[:, :, None] + potential, axis=1)
-            fresh -= np.logaddexp.reduce(fresh, axis=1, keepdims=True)
-            moved = float(np.abs(fresh - message).max())
-            message = 0.5 * message + 0.5 * fresh  # damped, so that loops settle
-            belief = node.copy()
-            np.add.at(belief, target, message)
-            if moved < 1e-4:
+        belief = node.copy()
+        active = np.arange(2 * len(pairs))
+        for _ in range(self.rounds + 4 * n):
+            if not len(active):
                 break
+            cavity = belief[source[active]] - message[back[active]]
+            fresh = np.logaddexp.reduce(cavity[:, :, None] + potential[active], axis=1)
+            fresh -= np.logaddexp.reduce(fresh, axis=1, keepdims=True)
+            moved = fresh - message[active]
+            message[active] += 0.5 * moved  # damped, so that loops settle
+            np.add.at(belief, target[active], 0.5 * moved)
+            # Those that moved go on, and so do those sent by the mentions that they reach.
+            going = active[np.abs(moved).max(axis=1) >= 1e-4]
+            reached, again = np.zeros(n, dtype=bool), np.zeros(len(source), dtype=bool)
+            reached[target[going]] = again[going] = True
+            active = np.flatnonzero(again | reached[source])
         return belief - np.logaddexp.reduce(belief, axis=1, keepdims=True)
 
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from rollcall.llm import pii
 
 
@@ -84,3 +86,33 @@ def test_long_runs_and_empty_tables(docs_of):
     for text in ("1" * 200_000, "a" * 200_000 + "@", "+1" + " " * 100_000, "1.2." * 50_000, "1 " * 100_000):
         pii.Field().spans(text)
     assert pii.personal_data(docs_of([])).count() == 0
+
+
+def test_every_copy_of_a_base_span_hears_of_it_directly():
+    for against in (1.0, 2.0, 3.0):
+        for marked_first in (True, False):
+            field = pii.Field(nodes={"number": (against, 0, 0, 0, 0)})
+            copies = ["743-555-3824"] * 10
+            text = " x ".join(["+1 743 555 3824", *copies] if marked_first else [*copies, "+1 743 555 3824"])
+            base, spans = field.spans(text)
+            assert len(base) == 1 and [k for *_, k in spans] == ["phone"] * 11
+    # A stronger word against it than the link's stays, however often the number is written.
+    assert len(pii.Field(nodes={"number": (5.0, 0, 0, 0, 0)}).spans(text)[1]) == 1
+
+
+def test_messages_go_on_until_they_settle():
+    chain = tuple(tuple(6.0 * (a == b) for b in range(5)) for a in range(5))
+    field = pii.Field(nodes={"number": (0.002, 0, 0, 0, 0)}, chain=chain)
+    text = "+1 743 555 3824 " + " ".join(f"x {n}" for n in range(555_0000, 555_0060))
+    found = pii.mentions(text, pii.base_spans(text))
+    belief = field.marginals(found)
+    # The chain has no loops, so that sums of products forwards and backwards are exact.
+    pair, node = np.exp(np.array(chain)), np.array([[np.exp(0.002), 1, 1, 1, 1]] * len(found))
+    node[0] = [0, 0, 0, 0, 1]
+    forth, back = [node[0]], [np.ones(5)]
+    for i in range(1, len(found)):
+        forth.append(node[i] * (pair.T @ forth[-1]) / forth[-1].sum())
+        back.append(pair @ (node[-i] * back[-1]) / back[-1].sum())
+    exact = np.array(forth) * np.array(back[::-1])
+    exact /= exact.sum(axis=1, keepdims=True)
+    assert len(found) == 61 and np.abs(np.exp(belief) - exact).max() < 0.01
