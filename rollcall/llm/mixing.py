@@ -148,6 +148,31 @@ def _landed(units: DataFrame) -> DataFrame:
     return units.groupBy("source_no").applyInPandas(land, columns)
 
 
+def _numbered(sized: DataFrame) -> DataFrame:
+    """sized with `copy_no` instead of `dealt`: equal rows are told apart by a number within them, so
+    that every row is a unit of its own. Rows of size 0 are never flown and have none.
+
+    Rows are numbered within the part of the table that they are `dealt` to, after the counts of
+    earlier parts; so no task holds all rows that are equal.
+    """
+    key = ["doc_id", "source", "size"]
+    within = Window.partitionBy(*key, "dealt").orderBy("doc_id")
+    earlier = Window.partitionBy(*key).orderBy("dealt").rowsBetween(Window.unboundedPreceding, -1)
+    flown = sized.filter("size > 0")
+    counts = flown.groupBy(*key, "dealt").agg(F.count("*").alias("n"))
+    # Stored, so that the join knows its size; most keys are in one part and have no row here.
+    before = stored(counts.withColumn("n_before", F.sum("n").over(earlier)).filter("n_before > 0").drop("n"))
+    numbers = flown.withColumn("place", F.row_number().over(within))
+    same = numbers["doc_id"].eqNullSafe(before["doc_id"])
+    for column in ("source", "size", "dealt"):
+        same &= numbers[column].eqNullSafe(before[column])
+    numbered = numbers.join(before, same, "left").select(
+        *(numbers[c] for c in key), (F.coalesce("n_before", F.lit(0)) + F.col("place")).alias("copy_no")
+    )
+    empty = sized.filter("size = 0").select(*key, F.lit(None).cast("long").alias("copy_no"))
+    return numbered.unionByName(empty)
+
+
 def cube_mix(
     docs: DataFrame,
     weights: Sequence[float] = (5.0, 2.0, 1.0),
@@ -157,14 +182,12 @@ def cube_mix(
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken (words, repeats counted), copies, source."""
     words = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
-    sized = stored(docs.select("doc_id", "source", words.alias("size")))
+    sized = stored(docs.select("doc_id", "source", words.alias("size"), F.spark_partition_id().alias("dealt")))
     targets = source_targets(sized, weights, most)
-    # Equal rows are told apart by a number within them, so that every row is a unit of its own.
-    same = Window.partitionBy("doc_id", "source", "size").orderBy("doc_id")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "copy_no")
     mixed = stored(
-        sized.withColumn("copy_no", F.row_number().over(same))
+        _numbered(sized)
         .join(
             targets.withColumnRenamed("source", "its_source"),
             F.col("source").eqNullSafe(F.col("its_source")),

@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 
@@ -61,3 +62,15 @@ def test_flight_keeps_both_totals():
     moved = mixing.flight(p, sizes, r.uniform(0, 1, 300))
     assert moved.sum() == pytest.approx(p.sum()) and moved @ sizes == pytest.approx(p @ sizes)
     assert ((moved > 1e-9) & (moved < 1 - 1e-9)).sum() <= mixing.LANDING + 2
+
+
+def test_equal_rows_are_numbered_in_parts(spark):
+    rows = [(None, "s", 3, i % 5) for i in range(40)] + [(None, "s", 0, i % 5) for i in range(40)]
+    rows += [(1, None, 2, 0), (1, None, 2, 4), (2, "s", 2, 1)]
+    numbered = mixing._numbered(spark.createDataFrame(rows, "doc_id long, source string, size long, dealt int"))
+    got = sorted([(r.doc_id, r.source, r.size, r.copy_no) for r in numbered.collect()], key=repr)
+    expected = [(None, "s", 3, i + 1) for i in range(40)] + [(None, "s", 0, None)] * 40
+    assert got == sorted([*expected, (1, None, 2, 1), (1, None, 2, 2), (2, "s", 2, 1)], key=repr)
+    # No window that numbers rows is over all that are equal.
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert re.findall(r"row_number\(\) windowspecdefinition\(doc_id#\d+L?, source#\d+, size#\d+L?, dealt#", plan)
