@@ -120,13 +120,20 @@ def simhash_components(docs: DataFrame, width: int = 3, max_bits: int = 3) -> Da
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of docs whose doc_id is their component's id: one document of each group.
+def one_of_each(docs: DataFrame, width: int = 3, max_bits: int = 3, segments: int = 4, seed: int = 42) -> DataFrame:
+    """One row of docs of each component: the smallest doc_id, and of its texts the smallest digest.
 
-    Rows that are equal in doc_id and text count once. Rows without a doc_id stay, since no group
-    can be named by them.
+    Rows that are equal in doc_id and text count once. A component whose rows have no doc_id keeps
+    the one of the smallest digest.
     """
-    found = near_duplicates(docs, width, max_bits)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return one.unionByName(docs.filter("doc_id IS NULL"))
+    digest = F.md5(docs["text"])
+    # Nulls come last as doc_id; the digest tells apart the texts that share one.
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    texts = docs.select("doc_id", "text", digest.alias("digest"))
+    prints = fingerprints(texts, width, seed).select("fp", first.alias("first"))
+    classes = stored(prints.groupBy("fp").agg(F.min("first").alias("first")))
+    roots = components(links(classes, max_bits, segments)).select(F.col("u").alias("fp"), "root")
+    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    kept = stored(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*"))
+    same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & digest.eqNullSafe(kept["digest"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])

@@ -91,3 +91,17 @@ def test_long_text_in_pieces(monkeypatch):
     whole = simhash.fingerprint(text)
     monkeypatch.setattr(simhash, "_PIECE", 64)
     assert simhash.fingerprint(text) == whole == plain(text)
+
+
+def test_one_of_each_keeps_one_row_of_each_component(docs_of):
+    words = [f"w{i}" for i in range(400)]
+    long, near, other = " ".join(words), " ".join(words[:3] + words[4:]), "something else altogether"
+    assert 0 < (plain(long) ^ plain(near)).bit_count() <= 3
+    # A doc_id on two texts, one of them a near copy of another document's.
+    kept = simhash.one_of_each(docs_of([(3, long), (7, near), (7, other), (None, other.upper())], extra=True))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(3, long), (7, other)]
+    # Rows without doc_id: near copies of a kept document, near copies among them, null and empty texts.
+    given = [(None, long), (None, near), (None, near), (4, near), (None, other), (None, other.upper()), (None, None), (None, ""), (None, None)]
+    for rows in (given, given[::-1]):
+        kept = [(r.doc_id, (r.text or "").lower()) for r in simhash.one_of_each(docs_of(rows)).collect()]
+        assert sorted(kept, key=repr) == sorted([(4, near), (None, other), (None, "")], key=repr)
