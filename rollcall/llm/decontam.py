@@ -213,7 +213,8 @@ def matches_of(benchmark: DataFrame, errors: float = 0.1, block_chars: int = BLO
     found = F.array().cast(_MATCH)
     for block in range(blocks):
         rows = usable.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        items = sorted((r["item_id"], t) for r in rows if (t := normalised(r["text"])))
+        named = ((r["item_id"], t) for r in rows if (t := normalised(r["text"])))
+        items = sorted(named, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         if items:
             found = F.concat(found, _matches(tuple(items), errors))
     return found

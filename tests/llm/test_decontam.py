@@ -79,3 +79,11 @@ def test_planted_passages(spark):
     for row in docs.collect():
         inside = {i for i, t in named if t in decontam.normalised(row["text"])}
         assert inside <= {int(i) for i in got[row["doc_id"]].split(",") if i}
+
+
+def test_an_item_without_id_beside_others(spark, docs_of, rows):
+    items = [(None, "a passage of no name"), (None, "another one of no name"), (3, "a passage with a name")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of([(1, "So: a passage of no name."), (2, "A passage with a name!"), (3, "none")])
+    assert rows(decontam.contaminated_docs(docs, benchmark)) == [(1, True, 1, ""), (2, True, 1, "3"), (3, False, 0, "")]
+    assert [r.doc_id for r in decontam.without_contaminated(docs, benchmark).collect()] == [3]
