@@ -12,8 +12,8 @@ with several classes.
 
 The array is sorted in buckets, each sorted by one task. A bucket's key is the core that a block
 of neighbouring windows has in common, a stretch of bytes that holds the anchor: suffixes of one
-block can only be equal if their cores are. Within buckets, multikey quicksort works on eight bytes
-at a time down to a shallow depth; what is still tied has a long common prefix and is ordered by
+block can only be equal if their cores are. Within buckets, a library sort by group and eight bytes takes
+one level after another down to a shallow depth; what is still tied has a long common prefix and is ordered by
 blind tries: an insertion goes down by branching bytes alone, compares once with the leaf that it
 finds, and branches at the first difference.
 
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from rollcall.llm.seeds import anchor_table, first_and_count, repeated_anchors, unpacked
 from rollcall.llm.shared import stored, text_or_empty
 
-#: Windows in a block, whose common core is their bucket, and depth of the quicksort.
+#: Windows in a block, whose common core is their bucket, and depth of the shallow sort.
 BLOCK, SHALLOW = 128, 32
 #: Classes of one anchor that are sorted by one task.
 BUCKET = 20_000
@@ -113,7 +113,7 @@ class BlindTrie:
 
 
 def tied_suffixes(data: bytes, starts: np.ndarray, groups: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Multikey quicksort of suffixes within groups, eight bytes at a time, down to `depth`.
+    """Suffixes sorted within groups, a library sort for each eight bytes, down to `depth`.
 
     Returns the order of those not alone by then, and their groups.
     """
