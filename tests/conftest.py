@@ -13,8 +13,6 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 from rollcall import Settings, Tables
 from rollcall.sources.schemas import BASE_TABLES
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

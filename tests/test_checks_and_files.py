@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from compare import SMALL
 from rollcall.plans import checks, lists
 from rollcall.sinks import write_change_file, write_report
 from rollcall.sources.sample import SETTINGS, sample_tables

@@ -1,6 +1,6 @@
 from datetime import date, datetime
 
-from conftest import SMALL
+from compare import SMALL
 from rollcall.plans import actions
 from rollcall.plans.tickets import tickets_all
 from rollcall.sinks import staged

@@ -4,7 +4,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from compare import SMALL
 from rollcall.plans import lists
 from rollcall.sinks import staged
 from rollcall.sources.sample import SETTINGS, sample_tables

@@ -1,4 +1,4 @@
-from conftest import SMALL
+from compare import SMALL
 from rollcall.plans import actions, lists, reports
 from rollcall.plans.publish import publish
 from rollcall.sources.sample import SETTINGS, sample_tables

@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as registry
-from compare import connect, differences
-from conftest import SMALL
+from compare import SMALL, connect, differences
 
 # The text operators have tests of their own.
 TEXT = {"pipeline", *registry.text_queries.queries()} if registry.text_queries else set()
