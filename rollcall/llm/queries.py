@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from rollcall.llm import (
     cleaning,
     decontam,
+    fingerprints,
     licences,
     mixing,
+    periods,
     pii,
     simhash,
     substrings,
@@ -57,6 +59,8 @@ def queries() -> dict[str, Query]:
         "op8_licence_sentences": _over_documents(licences.licences),
         "op9_simhash_pigeonring": _over_documents(simhash.simhash_components),
         "op10_personal_data": _over_documents(pii.personal_data),
+        "op12_periodic_runs": _over_documents(periods.period_digests),
+        "op13_scaled_sketch": _over_documents(fingerprints.edited_fingerprints),
     }
 
 
@@ -64,4 +68,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_line_first": cleaning.line_first_sql(),
         "op8_licence_sentences": licences.licences_sql(),
+        "op13_scaled_sketch": fingerprints.edited_fingerprints_sql(),
     }

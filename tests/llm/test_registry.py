@@ -9,7 +9,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator_and_the_pipeline():
     names = [n.split("_")[0] for n in queries.queries()]
-    assert sorted(names) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(names) == sorted(f"op{i}" for i in range(1, 14))
     assert {*queries.queries(), "pipeline"} <= set(registry.queries())
 
 
