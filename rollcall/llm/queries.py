@@ -13,6 +13,7 @@ from rollcall.llm import (
     licences,
     mixing,
     periods,
+    phrases,
     pii,
     simhash,
     substrings,
@@ -59,6 +60,9 @@ def queries() -> dict[str, Query]:
         "op8_licence_sentences": _over_documents(licences.licences),
         "op9_simhash_pigeonring": _over_documents(simhash.simhash_components),
         "op10_personal_data": _over_documents(pii.personal_data),
+        "op11_collocations": _over_documents(
+            lambda docs: phrases.collocations(docs).drop("first_doc", "first_word")
+        ),
         "op12_periodic_runs": _over_documents(periods.period_digests),
         "op13_scaled_sketch": _over_documents(fingerprints.edited_fingerprints),
     }
@@ -68,5 +72,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_line_first": cleaning.line_first_sql(),
         "op8_licence_sentences": licences.licences_sql(),
+        "op11_collocations": phrases.collocations_sql(),
         "op13_scaled_sketch": fingerprints.edited_fingerprints_sql(),
     }
