@@ -120,7 +120,7 @@ def _before(keyed: DataFrame) -> DataFrame:
     return placed.join(borders, "part").select("k", found["k"].alias("before"), found["n"].alias("n"))
 
 
-def next_texts(docs: DataFrame) -> DataFrame:
+def next_texts(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     """doc_id, text, next_fingerprint, head, copies: each row with what it needs of the one that follows.
 
     `head` is the start of that text, a third as long as the row's own; `copies` says how many rows
@@ -134,7 +134,7 @@ def next_texts(docs: DataFrame) -> DataFrame:
     followers = single.filter("copies > 0 AND isnotnull(row.text)").join(_before(keyed), "k")
     third = F.floor(F.col("n") / 3).cast("int")
     sent = with_fingerprint(
-        followers.select("before", "n", F.col("row.text").alias("text")), "text", "next_fingerprint"
+        followers.select("before", "n", F.col("row.text").alias("text")), "text", "next_fingerprint", scale
     ).select(
         F.col("before").alias("k"),
         F.substring("text", F.lit(1), third).alias("head"),
@@ -153,7 +153,7 @@ def edited_fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     """
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
-    rows = with_fingerprint(next_texts(docs), "text", "fingerprint", scale)
+    rows = with_fingerprint(next_texts(docs, scale), "text", "fingerprint", scale)
     # A repeated row is followed by itself, but for the last of them.
     like = F.struct(
         (F.col("copies") - 1).alias("times"),
@@ -188,9 +188,11 @@ def edited_fingerprints_sql(scale: int = SCALE) -> str:
 
     def hashes(text: str) -> str:
         words = f"regexp_extract_all({text}, '{WORDS}')"
+        shifted = ", ".join(f"w[{k}:]" for k in range(1, SHINGLE + 1))
+        shingle = ", ".join(f"z[{k}]" for k in range(1, SHINGLE + 1))
         hashed = (
-            f"list_transform(range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1), "
-            f"lambda i: substr(md5(array_to_string(w[i:i + {SHINGLE - 1}], ' ')), 1, {_DIGITS}))"
+            f"list_transform(list_zip({shifted})[1:greatest(len(w) - {SHINGLE - 1}, 1)], "
+            f"lambda z: substr(md5(concat_ws(' ', {shingle})), 1, {_DIGITS}))"
         )
         return f"(SELECT CASE WHEN len(w) = 0 THEN [] ELSE {hashed} END FROM (SELECT {words} AS w))"
 

@@ -362,26 +362,34 @@ def collocations(
 def collocations_sql(least: int = FREQUENT, listed: int = LISTED, within: int = WITHIN) -> str:
     """The same without the pointers over a view named documents, in DuckDB SQL."""
     capitals = _CAPITALS.decode()
+    leads = ", ".join(f"lead(word, {k}) OVER here AS w{k + 1}" for k in range(1, LONGEST))
+    runs = " UNION ALL ".join(
+        f"SELECT lang, {k} AS k, concat_ws(' ', {', '.join(f'w{j}' for j in range(1, k + 1))}) AS phrase "
+        f"FROM y WHERE w{k} IS NOT NULL"
+        for k in range(1, LONGEST + 1)
+    )
     return rf"""
 WITH d AS (SELECT coalesce(lang, '{UNKNOWN}') AS lang,
                   translate(coalesce(text, ''), '{capitals}', '{capitals.lower()}') AS text FROM documents),
      p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
-     w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
-     o AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
-                  lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
-           FROM w, (SELECT unnest(range(1, {LONGEST + 1})) AS k) WHERE len(w) >= k),
-     f AS (SELECT lang, k, phrase, count(*) AS a FROM o GROUP BY ALL HAVING count(*) >= {least}),
+     w AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+     x AS (SELECT lang, id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+     y AS (SELECT lang, word AS w1, {leads} FROM x WINDOW here AS (PARTITION BY id ORDER BY i)),
+     o AS ({runs}),
+     f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM o GROUP BY ALL HAVING count(*) >= {least}),
      n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
      c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
-     cuts AS (SELECT c.lang, c.phrase, c.a, i, x.a AS l, y.a AS r,
-                     (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
-              FROM c JOIN (SELECT unnest(range(1, {LONGEST})) AS i) ON i < c.k
-              JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:i], ' ')
-              JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[i + 1:c.k], ' ')),
+     ends AS MATERIALIZED (SELECT lang, phrase, a, i, array_to_string(w[1:i], ' ') AS first,
+                                  array_to_string(w[i + 1:k], ' ') AS rest
+                           FROM (SELECT *, unnest(range(1, k)) AS i FROM c)),
+     cuts AS (SELECT e.lang, e.phrase, e.a, i, x.a AS l, y.a AS r,
+                     (2000000::HUGEINT * e.a) // (x.a + y.a) AS score
+              FROM ends e JOIN f x ON x.lang = e.lang AND x.phrase = e.first
+              JOIN f y ON y.lang = e.lang AND y.phrase = e.rest),
      best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
-     parts AS (SELECT c.lang, array_to_string(c.w[i:i + m - 1], ' ') AS phrase, max(c.a) AS most
-               FROM c JOIN (SELECT unnest(range(2, {LONGEST})) AS m) ON m < c.k
-               JOIN (SELECT unnest(range(1, {LONGEST})) AS i) ON i <= c.k - m + 1 GROUP BY ALL),
+     parts AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS most
+               FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c))
+               GROUP BY ALL),
      kept AS (SELECT b.* FROM best b LEFT JOIN parts q ON q.lang = b.lang AND q.phrase = b.phrase
               WHERE q.most IS NULL OR 100::HUGEINT * q.most < {within}::HUGEINT * b.a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
