@@ -28,13 +28,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.shared import stored, text_or_empty
+from rollcall.llm.shared import WORD, stored, text_or_empty
 
 #: Words of a shingle; one hash in so many is kept.
 SHINGLE, SCALE = 5, 8
 #: Characters that are words of their own: kana, Han, Hangul.
-_ALONE = r"\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7AF}"
-WORDS = rf"[{_ALONE}]|[^\x20\x09-\x0D{_ALONE}]+"
+ALONE = r"[\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7AF}]"
 _DIGITS = 16
 
 
@@ -45,21 +44,24 @@ def threshold(scale: int) -> str:
 
 def with_fingerprint(df: DataFrame, text: str, name: str, scale: int = SCALE) -> DataFrame:
     """Adds the fingerprint of a text column as column `name`."""
-    words, hashes = f"{name}_words", f"{name}_hashes"
-    n = F.size(words)
+    # Each step is a column of its own, so that it is computed once and not for each of its uses.
+    words, hashes, below = (f"{name}_{step}" for step in ("words", "hashes", "below"))
+    given = F.col(text)
+    spaced = F.when(given.rlike(ALONE), F.regexp_replace(given, f"({ALONE})", " $1 ")).otherwise(given)
 
     def hashed(i: Column) -> Column:
-        return F.substring(F.md5(F.concat_ws(" ", F.slice(words, i, SHINGLE))), 1, _DIGITS)
+        shingle = F.concat_ws(" ", *[F.get(words, i + k) for k in range(SHINGLE)])
+        return F.substring(F.md5(shingle), 1, _DIGITS)
 
-    shingles = F.transform(F.sequence(F.lit(1), F.greatest(n - SHINGLE + 1, F.lit(1))), hashed)
-    below = F.filter(hashes, lambda h: h < F.lit(threshold(scale)))
-    least = F.slice(F.sort_array(hashes), 1, 1)
-    kept = F.when(F.exists(hashes, lambda h: h < F.lit(threshold(scale))), below).otherwise(least)
+    n = F.size(words)
+    shingles = F.transform(F.sequence(F.lit(0), F.greatest(n - SHINGLE, F.lit(0))), hashed)
+    kept = F.when(F.size(below) > 0, F.array_distinct(below)).otherwise(F.slice(F.sort_array(hashes), 1, 1))
     return (
-        df.withColumn(words, F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)))
+        df.withColumn(words, F.regexp_extract_all(spaced, F.lit(WORD), F.lit(0)))
         .withColumn(hashes, F.when(n > 0, shingles).otherwise(F.array().cast("array<string>")))
-        .withColumn(name, F.array_join(F.sort_array(F.array_distinct(kept)), ""))
-        .drop(words, hashes)
+        .withColumn(below, F.filter(hashes, lambda h: h < F.lit(threshold(scale))))
+        .withColumn(name, F.array_join(F.sort_array(kept), ""))
+        .drop(words, hashes, below)
     )
 
 
@@ -187,7 +189,7 @@ def edited_fingerprints_sql(scale: int = SCALE) -> str:
     """The same over a view named documents, in DuckDB SQL."""
 
     def hashes(text: str) -> str:
-        words = f"regexp_extract_all({text}, '{WORDS}')"
+        words = f"regexp_extract_all(regexp_replace({text}, '({ALONE})', ' \\1 ', 'g'), '{WORD}')"
         shifted = ", ".join(f"w[{k}:]" for k in range(1, SHINGLE + 1))
         shingle = ", ".join(f"z[{k}]" for k in range(1, SHINGLE + 1))
         hashed = (
