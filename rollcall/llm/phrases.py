@@ -51,7 +51,7 @@ FILTER_BITS = 26
 UNKNOWN = "und"
 _CHUNK = 1 << 16
 #: Bytes of text treated at a time, and of a window of prefix sums.
-_GROUP, _WINDOW = 12 << 20, 4 << 20
+_GROUP, _WINDOW = 3 << 20, 1 << 20
 _PARTS = 64
 _CAPITALS = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_CAPITALS, _CAPITALS.lower())
