@@ -6,8 +6,8 @@ time and, over the words' hashes, that of every run of words within a piece: its
 that also hold language and number of words.
 
   count        fingerprints are counted in each batch and shuffled with their counts. A phrase can only
-               be frequent if both its parts without the last and without the first word are, so two
-               words are counted first, then those three whose pairs are frequent, then four.
+               be frequent if its parts are, so pairs of words are counted first, then those phrases of
+               three and four words all of whose pairs are frequent.
   filter       frequent fingerprints are marked in a bitmap of `filter_bits` bits, which is all that
                tasks are given; its size does not grow with the data. A mark can stand for another
                fingerprint too: then more is counted than need be, nothing is missed.
@@ -172,11 +172,12 @@ def _frequent(docs: DataFrame, lengths: list[int], marks, least: int) -> DataFra
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, words in _groups(batch):
+                pairs = marks.value.holds(words.phrases(2)[0]) if marks is not None else None
                 for k in lengths:
                     found, wanted = words.phrases(k)
-                    if marks is not None and len(found):
-                        shorter = marks.value.holds(words.phrases(k - 1)[0])
-                        wanted &= shorter[:-1] & shorter[1:]
+                    if pairs is not None:
+                        for j in range(k - 1 if len(found) else 0):
+                            wanted &= pairs[j : j + len(found)]
                     fp, n = np.unique(found[wanted], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n)], names=["fp", "n"])
 
@@ -281,7 +282,7 @@ def frequent_phrases(docs: DataFrame, least: int = FREQUENT, filter_bits: int =
     context = docs.sparkSession.sparkContext
     chunks: dict[int, bytes] = {}
     marks = None
-    for lengths in ([1, 2], *([k] for k in range(3, LONGEST + 1))):
+    for lengths in ([1, 2], list(range(3, LONGEST + 1))):
         for chunk, content in _marked(_frequent(docs, lengths, marks, least), filter_bits).items():
             known = np.frombuffer(chunks.get(chunk, bytes(_CHUNK // 8)), dtype=np.uint8)
             chunks[chunk] = (known | np.frombuffer(content, dtype=np.uint8)).tobytes()
