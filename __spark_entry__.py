@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracle import duckdb_sql as sql
-from rollcall.plans import actions, checks, lists, measures, reports
+from rollcall.plans import actions, checks, contexts, lists, measures, reports
 from rollcall.plans.tickets import ghost_tickets, tickets_all
 from rollcall.sinks import shared_path, staged, write_change_file
 from rollcall.sources.sample import FLAGSHIP, PATTERNS, SETTINGS, UNDECLARED, sample_tables
@@ -234,6 +234,92 @@ def _measure_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     }
 
 
+# --- measures in a restricted report -------------------------------------------------
+
+
+def _of_vip_product() -> contexts.Filters:
+    return {"product_name": F.col("product_name").contains("VIP")}
+
+
+def _of_standard_events() -> contexts.Filters:
+    return {"EventType": F.col("EventType").startswith("STANDARD")}
+
+
+def _of_some_teams() -> contexts.Filters:
+    return {"Team": F.col("Team") < "NATION_15"}
+
+
+def _of_pr_customers() -> contexts.Filters:
+    return {"PR": F.col("PR") == "No"}
+
+
+def _context_queries() -> dict[str, Callable[[Tables], DataFrame]]:
+    s = SETTINGS
+
+    def model(t: Tables) -> contexts.Model:
+        # The log is read for groups and for values, so it is stored.
+        return contexts.Model(
+            staged(actions.confirmation_actions(t, s)), tickets_all(t), t["dim_event"], t["customers"],
+            t["dim_employee"],
+        )
+
+    def within(name: str, *group_cols: str, **tests: Callable[[], contexts.Filters]):
+        def build(t: Tables) -> DataFrame:
+            context = contexts.Context(**{table: test() for table, test in tests.items()})
+            return contexts.measured(name, model(t), context, list(group_cols), s)
+
+        return build
+
+    return {
+        "measures_confirmations_of_product_by_rep": within(
+            "confirmations", "user_email", tickets=_of_vip_product
+        ),
+        "measures_confirmations_of_all": within(
+            "confirmations", tickets=_of_vip_product, events=_of_standard_events,
+            employees=_of_some_teams, customers=_of_pr_customers,
+        ),
+        "measures_depth_of_event_type": within(
+            "depth", "week_start_date", "confirmation_status", events=_of_standard_events
+        ),
+        "measures_depth_of_status_by_rep": within(
+            "depth", "user_email", employees=_of_some_teams,
+            actions=lambda: {
+                "confirmation_status": F.col("confirmation_status") == "Confirmed",
+                "ticket_outcome": F.col("ticket_outcome") == "Attended",
+            },
+        ),
+        "measures_outcomes_of_team": within("outcomes", employees=_of_some_teams),
+        "measures_outcomes_of_customers_by_rep": within(
+            "outcomes", "user_email", customers=_of_pr_customers
+        ),
+        "measures_week_over_week_of_week": within(
+            "week_over_week", "user_email", tickets=_of_vip_product,
+            actions=lambda: {"week_label": F.col("week_label") == "Last Week"},
+        ),
+        "measures_travel_of_type": within(
+            "travel", "week_start_date", events=_of_standard_events,
+            tickets=lambda: {"travel_type": F.col("travel_type") == "Both"},
+        ),
+        "measures_travel_of_team": within("travel", employees=_of_some_teams),
+        "measures_event_health_of_event_type": within(
+            "event_health", events=_of_standard_events, customers=_of_pr_customers,
+            tickets=lambda: {"confirmation_status": F.lower("confirmation_status") == "confirmed"},
+        ),
+        "measures_event_health_of_product_by_event": within(
+            "event_health", "event_id", tickets=_of_vip_product
+        ),
+        "measure_days_to_dc_of_customers_by_rep": within(
+            "days_to_double", "user_email", customers=_of_pr_customers,
+            actions=lambda: {
+                "confirmation_status": F.col("confirmation_status") == "Double Confirmed",
+                "confirmation_touch_source": F.col("confirmation_touch_source") != "Date Update",
+            },
+        ),
+        "measure_data_status_of_team": within("data_status", employees=_of_some_teams),
+        "measures_businesses_of_customers": within("businesses", "vertical", customers=_of_pr_customers),
+    }
+
+
 # --- checks ----------------------------------------------------------------------
 
 
@@ -323,7 +409,8 @@ def _check_queries() -> dict[str, Callable[[Tables], DataFrame]]:
 def queries() -> dict[str, Query]:
     """One entry per query, each taking (spark, folder of parquet files)."""
     groups = [
-        _fact_queries(), _report_queries(), _list_queries(), _measure_queries(), _check_queries(),
+        _fact_queries(), _report_queries(), _list_queries(), _measure_queries(), _context_queries(),
+        _check_queries(),
     ]
     found = {name: _over(build) for group in groups for name, build in group.items()}
     if text_queries:
@@ -561,6 +648,89 @@ FROM {facts} GROUP BY week_label"""),
     }
 
 
+def _context_sql() -> dict[str, str]:
+    q = sql.query
+    vip = "contains(product_name, 'VIP')"
+    standard = "event_id IN (SELECT CVEventID FROM b_dim_event WHERE starts_with(EventType, 'STANDARD'))"
+    pr = "customer_id IN (SELECT id FROM b_customers WHERE PR = 'No')"
+    team = "user_email IN (SELECT Email FROM b_dim_employee WHERE Team < 'NATION_15')"
+
+    def on(*tests: str) -> str:
+        return f"ticket_id IN (SELECT ticket_id FROM d_tickets_all WHERE {' AND '.join(tests)})"
+
+    def facts(*tests: str, source: str = "d_actions") -> str:
+        return f"(SELECT * FROM {source} WHERE {' AND '.join(tests)}) f"
+
+    def spread(keys: str, groups: str, values: str, source: str, more: str = "") -> str:
+        """The groups of some facts with values of others."""
+        same = " AND ".join(f"v.{k} IS NOT DISTINCT FROM g.{k}" for k in keys.split(", "))
+        return f"""
+SELECT g.*, v.* EXCLUDE ({keys}){more} FROM (SELECT DISTINCT {keys} FROM {groups}) g
+LEFT JOIN (SELECT {keys}, {values} FROM {source} GROUP BY {keys}) v ON {same}"""
+
+    attended = facts(team, "ticket_outcome = 'Attended'")
+    vip_actions = facts(on(vip))
+    both, first = on(standard, "travel_type = 'Both'"), "is_first_travel_action = 1"
+    health_tickets = facts(standard, pr, source="d_tickets_all")
+    days_facts = facts(on(pr), "confirmation_touch_source <> 'Date Update'")
+    return {
+        "measures_confirmations_of_product_by_rep": sql.by("user_email", sql.CONFIRMATIONS, vip_actions),
+        "measures_confirmations_of_all": q(
+            f"SELECT {sql.CONFIRMATIONS} FROM {facts(on(vip, standard, pr), team)}"
+        ),
+        "measures_depth_of_event_type": q(f"""
+SELECT g.*, v.* EXCLUDE (week_start_date)
+FROM (SELECT DISTINCT week_start_date, confirmation_status FROM {facts(on(standard))}) g
+JOIN (SELECT week_start_date, {sql.DEPTH} FROM {facts(on(standard))} GROUP BY ALL) v
+  ON v.week_start_date IS NOT DISTINCT FROM g.week_start_date"""),
+        "measures_depth_of_status_by_rep": q(
+            spread("user_email", f"(SELECT * FROM {attended} WHERE {sql.C})", sql.DEPTH, attended)
+        ),
+        "measures_outcomes_of_team": q(f"SELECT {sql.OUTCOMES} FROM {facts(team)}"),
+        "measures_outcomes_of_customers_by_rep": sql.by("user_email", sql.OUTCOMES, facts(on(pr))),
+        "measures_week_over_week_of_week": q(
+            spread(
+                "user_email", f"(SELECT * FROM {vip_actions} WHERE week_label = 'Last Week')", sql.WEEKS,
+                vip_actions, f", {sql.WOW}",
+            )
+        ),
+        "measures_travel_of_type": q(
+            spread(
+                "week_start_date", facts(both),
+                sql.tickets_where(f"{first} AND {both}", "rt_travel_confirmed")
+                + sql.TRAVEL[sql.TRAVEL.index(", ") :],
+                facts(on(standard)),
+            )
+        ),
+        "measures_travel_of_team": q(f"SELECT {sql.TRAVEL} FROM {facts(team)}"),
+        "measures_event_health_of_event_type": q(f"""
+SELECT {sql.tickets_where(f"NOT is_reset_ghost AND {sql.C}", "total_tickets")},
+       {sql.tickets_where(f"NOT is_reset_ghost AND {sql.ANY}", "confirmed_tickets")},
+       nullif(confirmed_tickets, 0)::DOUBLE / nullif(total_tickets, 0) AS pct_confirmed
+FROM {health_tickets}"""),
+        "measures_event_health_of_product_by_event": sql.by(
+            "event_id", sql.HEALTH, facts(vip, source="d_tickets_all")
+        ),
+        "measure_days_to_dc_of_customers_by_rep": q(f"""
+SELECT g.user_email, avg(d.days) AS avg_days_to_dc
+FROM (SELECT DISTINCT user_email FROM {days_facts} WHERE {sql.DC}) g
+LEFT JOIN (SELECT user_email, ticket_id,
+                  date_diff('day', min(action_date_az) FILTER (confirmation_status = 'Confirmed'),
+                            min(action_date_az) FILTER (confirmation_status = 'Double Confirmed')) AS days
+           FROM {days_facts} WHERE is_rep_action = 1 GROUP BY ALL) d
+  ON d.user_email IS NOT DISTINCT FROM g.user_email
+GROUP BY g.user_email"""),
+        "measure_data_status_of_team": q(f"""
+SELECT 'Data through ' || strftime(max(action_time_az), '%b %-d at %-I:%M %p')
+       || ' AZ  •  Viewed ' || strftime({sql.AS_OF} - INTERVAL 7 HOUR, '%b %-d at %-I:%M %p')
+       AS data_status
+FROM {facts(team)}"""),
+        "measures_businesses_of_customers": q("""
+SELECT vertical, count(DISTINCT ifnull('=' || lower(name), 'none')) AS total_businesses
+FROM b_customers WHERE PR = 'No' GROUP BY vertical"""),
+    }
+
+
 def _check_sql() -> dict[str, str]:
     q = sql.query
     listed, cv = "d_alpha_list", '"CV Customer ID"'
@@ -699,7 +869,9 @@ SELECT (SELECT count(*) FROM d_old_ids) AS old_businesses,
 
 def oracle_sql() -> dict[str, str]:
     """The expected result of each query as DuckDB SQL over the same files."""
-    groups = [_fact_sql(), _report_sql(), _list_sql(), _measure_sql(), _check_sql()]
+    groups = [
+        _fact_sql(), _report_sql(), _list_sql(), _measure_sql(), _context_sql(), _check_sql(),
+    ]
     found = {name: text for group in groups for name, text in group.items()}
     if text_queries:
         found |= text_queries.oracle_sql()

@@ -6,11 +6,16 @@ fixes the status shows the same figure on every status row. So a measure is
 evaluated over the group columns it leaves alone and then spread over the
 groups. Counts without rows are 0, ratios without a numerator or denominator
 are NULL. Text is compared in any casing.
+
+``shown`` holds the report's own tests on columns of the facts. They decide which
+groups there are; those that no measure replaces are a filter below the first
+aggregate, the others count for the measures that leave their column alone.
+(`contexts.py` has the tests on related tables.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
@@ -29,7 +34,8 @@ from rollcall.operators.aggregates import count_distinct_where, together
 from rollcall.settings import Settings
 
 # Restrictions by column: column name -> test on the row.
-Filters = dict[str, Column]
+Filters = Mapping[str, Column]
+NOTHING: Filters = {}
 
 # Fixed values.
 WEEK_FILTER_COLUMNS = [
@@ -103,6 +109,15 @@ def _all(filters: Filters) -> Column:
     return reduce(lambda a, b: a & b, filters.values())
 
 
+def where(rows: DataFrame, tests: Filters) -> DataFrame:
+    """The rows that pass every test."""
+    return rows.filter(_all(tests)) if tests else rows
+
+
+def _but(tests: Filters, columns: Collection[str]) -> Filters:
+    return {column: test for column, test in tests.items() if column not in columns}
+
+
 def _left_alone(group_cols: Sequence[str], filters: Filters) -> tuple[str, ...]:
     return tuple(c for c in group_cols if c not in filters)
 
@@ -119,11 +134,13 @@ def _spread(groups: DataFrame, values: DataFrame, grain: Sequence[str]) -> DataF
     return groups.join(renamed, same, "left").drop(*[f"_g_{c}" for c in grain])
 
 
-def _per_group(facts: DataFrame, group_cols: Sequence[str], by_grain: dict) -> DataFrame:
-    """Joins the values of each grain onto the groups of the facts."""
-    if list(by_grain) == [tuple(group_cols)]:
+def _per_group(
+    facts: DataFrame, group_cols: Sequence[str], by_grain: dict, shown: Filters = NOTHING
+) -> DataFrame:
+    """Joins the values of each grain onto the groups of the facts that are shown."""
+    if list(by_grain) == [tuple(group_cols)] and (not shown or not group_cols):
         return by_grain[tuple(group_cols)]
-    groups = facts.select(*group_cols).distinct()
+    groups = where(facts, shown).select(*group_cols).distinct()
     return reduce(lambda left, item: _spread(left, item[1], item[0]), by_grain.items(), groups)
 
 
@@ -132,16 +149,21 @@ def count_tickets(
     group_cols: Sequence[str],
     measures: dict[str, Filters],
     id_is_unique: bool = False,
+    shown: Filters = NOTHING,
 ) -> DataFrame:
     """Distinct tickets per group for each measure."""
+    replaced = {column for filters in measures.values() for column in filters}
+    partly = {column: test for column, test in shown.items() if column in replaced}
+    facts = where(facts, _but(shown, replaced))
     grains: dict[tuple[str, ...], dict[str, Column]] = {}
     for name, filters in measures.items():
-        grains.setdefault(_left_alone(group_cols, filters), {})[name] = _all(filters)
+        test = _all({**_but(partly, filters), **filters})
+        grains.setdefault(_left_alone(group_cols, filters), {})[name] = test
     counted = {
         grain: count_distinct_where(facts, grain, "ticket_id", tests, id_is_unique)
         for grain, tests in grains.items()
     }
-    wide = _per_group(facts, group_cols, counted)
+    wide = _per_group(facts, group_cols, counted, partly)
     return wide.select(*group_cols, *[F.coalesce(n, F.lit(0)).alias(n) for n in measures])
 
 
@@ -151,7 +173,9 @@ def ratio(part: str, whole: str) -> Column:
     return share.cast("double")
 
 
-def confirmations(actions: DataFrame, group_cols: Sequence[str], settings: Settings) -> DataFrame:
+def confirmations(
+    actions: DataFrame, group_cols: Sequence[str], settings: Settings, shown: Filters = NOTHING
+) -> DataFrame:
     """Tickets confirmed by people: at either level, and at each."""
     doubled = {**_by_rep(), **_with_status(is_double_confirmed)}
     return count_tickets(
@@ -163,19 +187,24 @@ def confirmations(actions: DataFrame, group_cols: Sequence[str], settings: Setti
             "double_confirmed": doubled,
             "double_confirmations": doubled,
         },
+        shown=shown,
     )
 
 
-def businesses(customers: DataFrame, group_cols: Sequence[str], settings: Settings) -> DataFrame:
+def businesses(
+    customers: DataFrame, group_cols: Sequence[str], settings: Settings, shown: Filters = NOTHING
+) -> DataFrame:
     """Distinct business names; a missing name counts as one."""
-    return customers.groupBy(*group_cols).agg(
+    return where(customers, shown).groupBy(*group_cols).agg(
         (F.count_distinct(F.lower("name")) + F.max(flag(F.col("name").isNull()))).alias(
             "total_businesses"
         )
     )
 
 
-def week_over_week(actions: DataFrame, group_cols: Sequence[str], settings: Settings) -> DataFrame:
+def week_over_week(
+    actions: DataFrame, group_cols: Sequence[str], settings: Settings, shown: Filters = NOTHING
+) -> DataFrame:
     """Confirmations of this week and the last, whatever week the group shows."""
 
     def in_week(offset: int) -> Filters:
@@ -187,27 +216,30 @@ def week_over_week(actions: DataFrame, group_cols: Sequence[str], settings: Sett
             **_equals("week_offset", offset),
         }
 
-    counted = count_tickets(
-        actions, group_cols, {"confirmations_tw": in_week(0), "confirmations_lw": in_week(-1)}
-    )
+    weeks = {"confirmations_tw": in_week(0), "confirmations_lw": in_week(-1)}
+    counted = count_tickets(actions, group_cols, weeks, shown=shown)
     change = F.col("confirmations_tw") - F.col("confirmations_lw")
     return counted.withColumn("wow_change", change).withColumn(
         "wow_pct", F.try_divide(F.col("wow_change").cast("double"), F.col("confirmations_lw"))
     )
 
 
-def data_status(actions: DataFrame, group_cols: Sequence[str], settings: Settings) -> DataFrame:
+def data_status(
+    actions: DataFrame, group_cols: Sequence[str], settings: Settings, shown: Filters = NOTHING
+) -> DataFrame:
     """How recent the data is and when it was looked at, in local time."""
     viewed = F.lit((settings.as_of - timedelta(hours=7)).isoformat(" ")).cast("timestamp_ntz")
     latest = F.coalesce(clock_text(F.max("action_time_az")), F.lit(""))
-    return actions.groupBy(*group_cols).agg(
+    return where(actions, shown).groupBy(*group_cols).agg(
         F.concat(
             F.lit("Data through "), latest, F.lit(" AZ  •  Viewed "), clock_text(viewed)
         ).alias("data_status")
     )
 
 
-def depth(actions: DataFrame, group_cols: Sequence[str], settings: Settings) -> DataFrame:
+def depth(
+    actions: DataFrame, group_cols: Sequence[str], settings: Settings, shown: Filters = NOTHING
+) -> DataFrame:
     """First-time and repeated confirmations.
 
     The highest touch counts are over all actors, the ticket counts over people.
@@ -226,10 +258,12 @@ def depth(actions: DataFrame, group_cols: Sequence[str], settings: Settings) ->
             "net_new_confirmed_today": {**confirmed, **first, **today},
             "tickets_confirmed_2plus": {**confirmed, **repeated},
         },
+        shown=shown,
     )
     touches, status = F.col("ticket_status_action_count"), F.col("confirmation_status")
-    grain = _left_alone(group_cols, _with_status(is_confirmed))
-    most = actions.groupBy(*grain).agg(
+    fixed = _with_status(is_confirmed)
+    grain = _left_alone(group_cols, fixed)
+    most = where(actions, _but(shown, fixed)).groupBy(*grain).agg(
         F.max(F.when(is_confirmed(status), touches)).alias("times_confirmed"),
         F.max(F.when(is_double_confirmed(status), touches)).alias("times_double_confirmed"),
     )
@@ -243,37 +277,53 @@ def depth(actions: DataFrame, group_cols: Sequence[str], settings: Settings) ->
 
 
 def travel(
-    actions: DataFrame, all_tickets: DataFrame, group_cols: Sequence[str], settings: Settings
+    actions: DataFrame,
+    all_tickets: DataFrame,
+    group_cols: Sequence[str],
+    settings: Settings,
+    shown: Filters = NOTHING,
+    of_type: Column | None = None,
 ) -> DataFrame:
     """Tickets by their first travel confirmation, in all and per travel type.
 
     The type is the ticket's, so a restriction on tickets reaches the actions
     through the ticket id. Both sides are cut to what is needed before they
     meet: tickets of the four types, one row each; actions to one row per
-    group and ticket.
+    group and ticket. ``of_type`` is the report's test on the type, which the
+    measures per type replace.
     """
     has_type = {
         name: any_case_in(F.col("travel_type"), [label]) for name, label in TRAVEL_TYPES.items()
     }
+    wanted = any_case_in(F.col("travel_type"), TRAVEL_TYPES.values())
+    if of_type is not None:
+        has_type["of_type"] = of_type
+        wanted = wanted | of_type
     typed = (
-        all_tickets.filter(any_case_in(F.col("travel_type"), TRAVEL_TYPES.values()))
+        all_tickets.filter(wanted)
         .groupBy("ticket_id")
         .agg(*[F.max(flag(test)).alias(f"_{name}") for name, test in has_type.items()])
     )
     first = _equals("is_first_travel_action", 1)
+    of_report = {} if of_type is None else {"travel_type": F.col("_of_type") == 1}
+    in_first = {c: F.col("_in_group") == 1 for c in first if c in shown}
     flagged = (
-        actions.groupBy(*together(group_cols, "ticket_id"))
-        .agg(F.max(flag(_all(first))).alias("is_first_travel_action"))
+        where(actions, _but(shown, first))
+        .groupBy(*together(group_cols, "ticket_id"))
+        .agg(
+            F.max(flag(_all(first))).alias("is_first_travel_action"),
+            *[F.max(flag(shown[c])).alias("_in_group") for c in in_first],
+        )
         .join(typed, "ticket_id", "left")
     )
     measures = {"rt_travel_confirmed": first}
     for name in TRAVEL_TYPES:
         measures[name] = {**first, "travel_type": F.col(f"_{name}") == 1}
-    return count_tickets(flagged, group_cols, measures)
+    return count_tickets(flagged, group_cols, measures, shown={**in_first, **of_report})
 
 
 def event_health(
-    all_tickets: DataFrame, group_cols: Sequence[str], settings: Settings
+    all_tickets: DataFrame, group_cols: Sequence[str], settings: Settings, shown: Filters = NOTHING
 ) -> DataFrame:
     """Live tickets and how many are confirmed at either level."""
     live = {"is_reset_ghost": ~F.col("is_reset_ghost")}
@@ -285,11 +335,14 @@ def event_health(
             "confirmed_tickets": {**live, **_with_status(is_any_confirmed)},
         },
         settings.tickets_are_unique,
+        shown,
     )
     return counted.withColumn("pct_confirmed", ratio("confirmed_tickets", "total_tickets"))
 
 
-def outcomes(actions: DataFrame, group_cols: Sequence[str], settings: Settings) -> DataFrame:
+def outcomes(
+    actions: DataFrame, group_cols: Sequence[str], settings: Settings, shown: Filters = NOTHING
+) -> DataFrame:
     """What became of past tickets, by the person who confirmed them last.
 
     An event of the as-of day is past, since the day has begun.
@@ -316,6 +369,7 @@ def outcomes(actions: DataFrame, group_cols: Sequence[str], settings: Settings)
             "confirmed_no_shows": {**confirmed, **missed},
             "dc_no_shows": {**doubled, **missed},
         },
+        shown=shown,
     )
     return counted.withColumns(
         {
@@ -327,12 +381,17 @@ def outcomes(actions: DataFrame, group_cols: Sequence[str], settings: Settings)
     )
 
 
-def days_to_double(actions: DataFrame, group_cols: Sequence[str], settings: Settings) -> DataFrame:
+def days_to_double(
+    actions: DataFrame, group_cols: Sequence[str], settings: Settings, shown: Filters = NOTHING
+) -> DataFrame:
     """Mean days from a ticket's first confirmation to its first double one.
 
     Negative where the double confirmation came first.
     """
-    grain = _left_alone(group_cols, {**_by_rep(), **_with_status(is_any_confirmed)})
+    fixed = {**_by_rep(), **_with_status(is_any_confirmed)}
+    grain = _left_alone(group_cols, fixed)
+    actions = where(actions, _but(shown, fixed))
+    partly = {column: test for column, test in shown.items() if column in fixed}
     day, status = F.col("action_date_az"), F.col("confirmation_status")
     by_rep = F.col("is_rep_action") == 1
     per_ticket = actions.groupBy(*together(grain, "ticket_id")).agg(
@@ -341,4 +400,5 @@ def days_to_double(actions: DataFrame, group_cols: Sequence[str], settings: Sett
     )
     days = days_between(F.col("first_confirmed"), F.col("first_double"))
     mean = per_ticket.groupBy(*grain).agg(F.avg(days).alias("avg_days_to_dc"))
-    return _per_group(actions, group_cols, {grain: mean}).select(*group_cols, "avg_days_to_dc")
+    wide = _per_group(actions, group_cols, {grain: mean}, partly)
+    return wide.select(*group_cols, "avg_days_to_dc")
