@@ -38,6 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rollcall.llm.shared import stored
 from rollcall.llm.winnowing import Rolling, spread
@@ -53,6 +54,8 @@ _CHUNK = 1 << 16
 #: Bytes of text treated at a time, and of a window of prefix sums.
 _GROUP, _WINDOW = 3 << 20, 1 << 20
 _PARTS = 64
+#: Phrases that a task counts before it passes them on.
+_HELD = 100_000
 _CAPITALS = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_CAPITALS, _CAPITALS.lower())
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -105,9 +108,10 @@ class Words:
         spans = zip(self.begins.tolist(), self.ends.tolist(), strict=True)
         return np.array([known.setdefault(self.data[a:b], len(known)) for a, b in spans], dtype=np.int64)
 
-    def text(self, first: int, k: int) -> str:
-        spans = zip(self.begins[first : first + k].tolist(), self.ends[first : first + k].tolist(), strict=True)
-        return b" ".join(self.data[a:b] for a, b in spans).decode("utf-8", "surrogatepass")
+    def texts(self, first: np.ndarray, k: int) -> list[str]:
+        """The runs of k words that begin at these words, with one space between."""
+        spans = zip(self.begins[first].tolist(), self.ends[first + k - 1].tolist(), strict=True)
+        return [b" ".join(self.data[a:b].split()).decode("utf-8", "surrogatepass") for a, b in spans]
 
 
 def split_words(texts: list[str], langs: list[str]) -> Words:
@@ -136,14 +140,15 @@ def split_words(texts: list[str], langs: list[str]) -> Words:
 
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Words]]:
     """Stretches of a batch of bounded size (or of one row) and their words."""
-    texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
     a = size = 0
-    for i, text in enumerate([*texts, ""]):
-        if i == len(texts) or (size and size + len(text) > _GROUP):
+    sizes = pc.binary_length(batch.column("text")).to_pylist()
+    for i, n in enumerate([*sizes, 0]):
+        if i == len(sizes) or (size and size + n > _GROUP):
             if i > a:
-                yield batch.slice(a, i - a), split_words(texts[a:i], langs[a:i])
+                part = batch.slice(a, i - a)
+                yield part, split_words(part.column("text").to_pylist(), part.column("lang").to_pylist())
             a, size = i, 0
-        size += len(text)
+        size += n
 
 
 class Marks:
@@ -222,46 +227,54 @@ def _occurrences(words: Words, k: int, numbers: np.ndarray, marks: Marks) -> tup
 
 
 def _materialised(docs: DataFrame, marks) -> DataFrame:
-    """lang, k, phrase, n, doc_id, word: the marked phrases of each batch; k = 0 has all words of a language."""
+    """lang, k, phrase, n, doc_id, word: the marked phrases of each task, at most `_HELD` at a time;
+    k = 0 has all words of a language."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
         for batch in batches:
             # In the order of doc_id, so that the first occurrence is that of the least.
             batch = batch.take(pc.sort_indices(batch.column("doc_id"), null_placement="at_end"))
             for part, words in _groups(batch):
-                numbers = words.numbers()
-                offset = np.searchsorted(words.rows, words.rows)
-                langs = part.column("lang").to_pylist()
-                rows, lengths, texts, counts, places = [], [], [], [], []
-                for lang, n in _totals(words, langs).items():
-                    rows.append(lang)
-                    lengths.append(0)
-                    texts.append(None)
-                    counts.append(n)
-                    places.append(None)
-                for k in range(1, LONGEST + 1):
-                    pointer, n = _occurrences(words, k, numbers, marks.value)
-                    rows += words.rows[pointer].tolist()
-                    lengths += [k] * len(pointer)
-                    texts += [words.text(p, k) for p in pointer.tolist()]
-                    counts += n.tolist()
-                    places += (pointer - offset[pointer]).tolist()
-                taken = pa.array(rows, pa.int64())
-                columns = [
-                    part.column("lang").take(taken),
-                    pa.array(lengths, pa.int32()),
-                    pa.array(texts, pa.string()),
-                    pa.array(counts, pa.int64()),
-                    part.column("doc_id").take(taken),
-                    pa.array(places, pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=kind.names)
-
-    kind = T.StructType.fromDDL("lang string, k int, phrase string, n long")
-    kind = kind.add("doc_id", docs.schema["doc_id"].dataType).add("word", T.LongType())
+                langs, ids = part.column("lang").to_pylist(), part.column("doc_id").to_pylist()
+                for key, n, pointer in _phrases(words, langs, ids, marks.value):
+                    if found := held.get(key):
+                        found[0] += n
+                        found[1] = min(found[1], pointer)
+                    else:
+                        held[key] = [n, pointer]
+                if len(held) > _HELD:
+                    yield emitted(held)
+                    held = {}
+        yield emitted(held)
+
+    def emitted(held: dict[tuple, list]) -> pa.RecordBatch:
+        keys = list(zip(*held, strict=True)) or [(), (), ()]
+        found = [(n, doc, word) for n, (_, doc, word) in held.values()]
+        rest = list(zip(*found, strict=True)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip((*keys, *rest), types, strict=True)], names=kind.names
+        )
+
+    of_id = docs.schema["doc_id"].dataType
+    kind = T.StructType.fromDDL("lang string, k int, phrase string, n long").add("doc_id", of_id).add("word", T.LongType())
+    types = [pa.string(), pa.int32(), pa.string(), pa.int64(), to_arrow_type(of_id), pa.int64()]
     return docs.mapInArrow(read, kind)
 
 
+def _phrases(words: Words, langs: list[str], ids: list, marks: Marks) -> Iterator[tuple[tuple, int, tuple]]:
+    """(lang, k, phrase), how often and where first: the marked phrases of some texts."""
+    for row, n in _totals(words, langs).items():
+        yield (langs[row], 0, None), n, (True, None, 0)
+    numbers = words.numbers()
+    offset = np.searchsorted(words.rows, words.rows)
+    for k in range(1, LONGEST + 1):
+        first, counts = _occurrences(words, k, numbers, marks)
+        rows, places = words.rows[first].tolist(), (first - offset[first]).tolist()
+        for text, n, row, word in zip(words.texts(first, k), counts.tolist(), rows, places, strict=True):
+            yield (langs[row], k, text), n, (ids[row] is None, ids[row], word)
+
+
 def _totals(words: Words, langs: list[str]) -> dict[int, int]:
     """Number of words of each language, under one of its rows."""
     count = np.bincount(words.rows, minlength=len(langs)).tolist()

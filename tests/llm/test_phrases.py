@@ -106,13 +106,13 @@ def test_colliding_hashes_are_told_apart():
     words = phrases.split_words(texts, ["en", "en"])
     words.hashes = np.zeros_like(words.hashes)
     numbers = words.numbers()
-    assert [words.text(i, 1) for i in range(len(numbers))] == " ".join(texts).split()
+    assert words.texts(np.arange(len(numbers)), 1) == " ".join(texts).split()
     assert len(set(numbers.tolist())) == 3
     everything = phrases.Marks(4, {0: b"\xff" * 8192})
     for k in (1, 2, 3):
         pointer, n = phrases._occurrences(words, k, numbers, everything)
         plain = Counter(" ".join(w[i : i + k]) for w in (t.split() for t in texts) for i in range(len(w) - k + 1))
-        assert dict(zip((words.text(p, k) for p in pointer.tolist()), n.tolist(), strict=True)) == plain
+        assert dict(zip(words.texts(pointer, k), n.tolist(), strict=True)) == plain
 
 
 def test_windows_and_groups(spark, rows, monkeypatch, given):
