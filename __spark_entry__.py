@@ -333,33 +333,26 @@ def _check_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     s = SETTINGS
 
     def listed(t: Tables) -> DataFrame:
-        return lists.customer_list(t, ALPHA, s)
-
-    def of_every_list(check: Callable[[DataFrame, lists.ListSpec, Tables], DataFrame]):
-        """The verdicts on each list; a list is made once and stored."""
-
-        def build(t: Tables) -> DataFrame:
-            parts = [
-                check(staged(lists.customer_list(t, spec, s)), spec, t).withColumn(
-                    "list", F.lit(name)
-                )
-                for name, spec in SPECS.items()
-            ]
-            return reduce(DataFrame.unionByName, parts)
-
-        return build
-
-    def consistency(listed: DataFrame, spec: lists.ListSpec, t: Tables) -> DataFrame:
-        return (
-            checks.layout_checks(listed, spec)
-            .unionByName(checks.key_checks(listed))
-            .unionByName(checks.row_checks(listed))
-            .unionByName(checks.same_layout_check({spec.product: listed}, spec.flagship))
-        )
+        """The rows of every list; all lists are made in one pass."""
+        return checks.together(lists.customer_lists(t, SPECS, s), SPECS)
+
+    def consistency(t: Tables) -> DataFrame:
+        made = lists.customer_lists(t, SPECS, s)
+        rows = checks.together(made, SPECS)
+        layouts = [
+            check.withColumn("list", F.lit(name))
+            for name, df in made.items()
+            for check in (
+                checks.layout_checks(df, SPECS[name]),
+                checks.same_layout_check({name: df}, SPECS[name].flagship),
+            )
+        ]
+        parts = [*layouts, checks.key_checks(rows, SPECS), checks.row_checks(rows, SPECS)]
+        return reduce(DataFrame.unionByName, parts)
 
     def damaged(t: Tables) -> DataFrame:
         """A list with wrong counts, repeated and missing keys and other casing fails its checks."""
-        alpha = staged(listed(t))
+        alpha = staged(lists.customer_list(t, ALPHA, s))
         more = F.when(F.col("Total Tickets") >= 3, 1).otherwise(0)
         worse = alpha.withColumn("Open Tickets", F.col("Open Tickets") + more)
         worse = worse.unionByName(worse.filter(F.col("Expired Tickets") > 0)).withColumn(
@@ -375,33 +368,40 @@ def _check_queries() -> dict[str, Callable[[Tables], DataFrame]]:
 
     def rerun(t: Tables) -> DataFrame:
         again = t.replaced(**{n: t[n].repartition(7) for n in ("tickets", "attendees")})
-        return checks.rerun_check(listed(t), listed(again))
+        return checks.rerun_check(listed(t), listed(again), SPECS)
 
     def versions(t: Tables) -> tuple[DataFrame, DataFrame]:
         return listed(_earlier(t)), listed(t)
 
     def change_file(t: Tables) -> DataFrame:
-        changes = checks.snapshot_diff(*versions(t))
-        path = shared_path(changes.sparkSession)
-        write_change_file(changes, path)
-        return changes.sparkSession.read.option("header", True).csv(path)
+        """The change file of each list, read back."""
+        changes = staged(checks.snapshot_diff(*versions(t)))
+        spark, folder = changes.sparkSession, shared_path(changes.sparkSession)
+        for name in SPECS:
+            write_change_file(changes.filter(F.col("list") == name), f"{folder}/{name}")
+        files = [
+            spark.read.option("header", True)
+            .schema("cv_customer_id string, change string")
+            .csv(f"{folder}/{name}")
+            .withColumn("list", F.lit(name))
+            for name in SPECS
+        ]
+        return reduce(DataFrame.unionByName, files)
 
     return {
         "change_file": change_file,
-        "checks_consistency": of_every_list(consistency),
-        "checks_population": of_every_list(
-            lambda df, spec, t: checks.population_checks(df, t, spec, s)
-        ),
-        "checks_recount": of_every_list(lambda df, spec, t: checks.recount_checks(df, t, spec, s)),
+        "checks_consistency": consistency,
+        "checks_population": lambda t: checks.population_checks(listed(t), t, SPECS, s),
+        "checks_recount": lambda t: checks.recount_checks(listed(t), t, SPECS, s),
         "checks_damaged": damaged,
         "checks_rerun": rerun,
         "checks_profile": lambda t: checks.blank_shares(listed(t)),
         "checks_profile_labels": lambda t: checks.group_histogram(listed(t)),
-        "checks_profile_flagship": lambda t: checks.flagship_share(listed(t), ALPHA),
+        "checks_profile_flagship": lambda t: checks.flagship_share(listed(t), SPECS),
         "snapshot_diff": lambda t: checks.snapshot_diff(*versions(t)),
         "snapshot_summary": lambda t: checks.snapshot_summary(*versions(t)),
         "snapshot_removals": lambda t: checks.removal_check(
-            checks.snapshot_diff(*versions(t)), t, ALPHA, s
+            checks.snapshot_diff(*versions(t)), t, SPECS, s
         ),
     }
 
@@ -805,6 +805,11 @@ UNION ALL BY NAME
         tests = {check: f"bad_{check}" for check in sql._RECOUNT_CHECKS}
         return sql.verdict_union(f"d_{name}_recounted", cv, tests)
 
+    def of_each(statement: Callable[[str], str]) -> str:
+        """A statement over each list, for its name."""
+        parts = [f"SELECT *, '{n}' AS list FROM ({statement(n)}) v" for n in PATTERNS]
+        return q("\nUNION ALL BY NAME\n".join(parts))
+
     shouted = sql.verdict_union(
         listed,
         cv,
@@ -818,50 +823,56 @@ UNION ALL BY NAME
         "SELECT '{check}' AS \"check\", count(*) = 0 AS passed, count(*) AS failing_count, "
         "NULL::VARCHAR AS sample FROM {failing}"
     )
-    blank = "UNION ALL BY NAME".join(
-        f"""
+    def blank(list_name: str) -> str:
+        return "UNION ALL BY NAME".join(
+            f"""
 SELECT '{name}' AS "column", count(*) FILTER ("{name}" IS NULL OR "{name}"::VARCHAR IN ('', '0')) AS blank,
-       count(*) AS rows, blank::DOUBLE / nullif(rows, 0) AS blank_share FROM {listed}
+       count(*) AS rows, blank::DOUBLE / nullif(rows, 0) AS blank_share FROM d_{list_name}_list
 """
-        for name in checks.PROFILED_COLUMNS
-    )
-    new_ids = f"(SELECT {cv} AS cv_customer_id FROM {listed})"
-    diff = f"""
-(SELECT cv_customer_id, 'removed' AS change FROM (FROM d_old_ids EXCEPT FROM {new_ids}) x
+            for name in checks.PROFILED_COLUMNS
+        )
+
+    def diff(name: str) -> str:
+        old, new = f"d_{name}_old_ids", f"(SELECT {cv} AS cv_customer_id FROM d_{name}_list)"
+        return f"""
+(SELECT cv_customer_id, 'removed' AS change FROM (FROM {old} EXCEPT FROM {new}) x
  UNION ALL
- SELECT cv_customer_id, 'added' FROM (FROM {new_ids} EXCEPT FROM d_old_ids) y)"""
+ SELECT cv_customer_id, 'added' FROM (FROM {new} EXCEPT FROM {old}) y)"""
+
     return {
         "checks_consistency": of_every_list(consistency),
         "checks_population": of_every_list(population),
         "checks_recount": of_every_list(recount),
         "checks_damaged": q(f"{rows(worse)}\nUNION ALL BY NAME\n{shouted}"),
-        "checks_rerun": q(
-            nothing_wrong.format(
+        "checks_rerun": of_each(
+            lambda n: nothing_wrong.format(
                 check="same_contacts_on_rerun",
-                failing=f"(SELECT {cv} FROM {listed} GROUP BY ALL HAVING count(*) > 1) x",
+                failing=f"(SELECT {cv} FROM d_{n}_list GROUP BY ALL HAVING count(*) > 1) x",
             )
         ),
-        "checks_profile": q(blank),
-        "checks_profile_labels": q(
-            f'SELECT "Unscheduled Ticket Group" AS label, count(*) AS businesses FROM {listed} '
-            "GROUP BY ALL"
-        ),
-        "checks_profile_flagship": q(
-            f"SELECT count(*) FILTER (\"{FLAGSHIP} Customer\" = 'Yes') AS flagship_customers, "
-            f"count(*) AS businesses FROM {listed}"
-        ),
-        "change_file": q(f"SELECT * FROM {diff} d"),
-        "snapshot_diff": q(f"SELECT * FROM {diff} d"),
-        "snapshot_summary": q(f"""
-SELECT (SELECT count(*) FROM d_old_ids) AS old_businesses,
-       (SELECT count(*) FROM {listed}) AS new_businesses,
+        "checks_profile": of_each(blank),
+        "checks_profile_labels": of_each(
+            lambda n: 'SELECT "Unscheduled Ticket Group" AS label, count(*) AS businesses '
+            f"FROM d_{n}_list GROUP BY ALL"
+        ),
+        "checks_profile_flagship": of_each(
+            lambda n: f"SELECT count(*) FILTER (\"{FLAGSHIP} Customer\" = 'Yes') AS flagship_customers, "
+            f"count(*) AS businesses FROM d_{n}_list"
+        ),
+        "change_file": of_each(lambda n: f"SELECT * FROM {diff(n)} d"),
+        "snapshot_diff": of_each(lambda n: f"SELECT * FROM {diff(n)} d"),
+        "snapshot_summary": of_each(
+            lambda n: f"""
+SELECT (SELECT count(*) FROM d_{n}_old_ids) AS old_businesses,
+       (SELECT count(*) FROM d_{n}_list) AS new_businesses,
        count(*) FILTER (change = 'added') AS added,
-       count(*) FILTER (change = 'removed') AS removed FROM {diff} d"""),
-        "snapshot_removals": q(
-            nothing_wrong.format(
+       count(*) FILTER (change = 'removed') AS removed FROM {diff(n)} d"""
+        ),
+        "snapshot_removals": of_each(
+            lambda n: nothing_wrong.format(
                 check="every_removal_is_explained",
-                failing=f"(SELECT * FROM {diff} d WHERE change = 'removed' AND cv_customer_id IN "
-                f"(SELECT cv FROM {holders('alpha')} WHERE has_contact)) x",
+                failing=f"(SELECT * FROM {diff(n)} d WHERE change = 'removed' AND cv_customer_id IN "
+                f"(SELECT cv FROM {holders(n)} WHERE has_contact)) x",
             )
         ),
     }

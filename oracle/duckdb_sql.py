@@ -364,20 +364,22 @@ FROM b_customers c LEFT JOIN b_dim_customer d ON d.CVCustomerID = c.cv_customer_
 for _product, _counted in (("Alpha", True), ("Beta", True), ("Gamma", False)):
     CTES.update(_list_ctes(_product, _counted))
 
-# --- checks: an earlier version of the Alpha list ----------------------------------
+# --- checks: an earlier version of the lists ----------------------------------
 
 # Before deletions, and with the tickets registered by then.
 OLD_TICKETS = "registration_date < TIMESTAMP '1999-01-01 00:00:00'"
 
-CTES["d_old_ids"] = f"""
+for _product in ("Alpha", "Beta", "Gamma"):
+    CTES[f"d_{_product.lower()}_old_ids"] = f"""
 SELECT DISTINCT c.cv_customer_id
 FROM b_customers c JOIN (
     SELECT customer_id, transaction_id, purchaser_email FROM b_tickets
-    WHERE {OLD_TICKETS} AND contains(product_name, 'Alpha')) t ON t.customer_id = c.id
+    WHERE {OLD_TICKETS} AND contains(product_name, '{_product}')) t ON t.customer_id = c.id
 LEFT JOIN b_transactions s ON s.cv_transaction_id = t.transaction_id
 WHERE coalesce(t.purchaser_email NOT IN ('ImportJob', ''), false)
    OR coalesce(s.purchaser_email NOT IN ('ImportJob', ''), false)
-   OR c.id IN (SELECT customer_id FROM d_alpha_candidates WHERE contact_source <> 'purchaser')"""
+   OR c.id IN (SELECT customer_id FROM d_{_product.lower()}_candidates
+               WHERE contact_source <> 'purchaser')"""
 
 _RECOUNT_CHECKS = {
     "status_counts_match": " OR ".join(

@@ -3,11 +3,16 @@
 Every check yields (check, passed, failing_count, sample). Failing businesses
 are found by joins and grouping on the business id; ``sample`` names the first
 few. The recounts are keyed by CRM id and share no code with the lists.
+
+All checks take one list, or several at once: rows of several lists (``together``)
+have a column ``list``, and so have their verdicts. A recount then reads each table
+once: a ticket is tagged with all lists that it belongs to, rows are reduced by
+business and tags, and only what is left is dealt to the lists.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,7 +40,7 @@ COUNT_COLUMNS = {
     "no show": "No Show Tickets",
     "cancelled": "Cancelled Tickets",
 }
-# The agreed columns of a list, in order.
+# The agreed columns of a list, in order.
 LAYOUT = """
 Business Name
 CV Customer ID
@@ -92,6 +97,39 @@ PROFILED_COLUMNS = [
 ]
 
 
+Specs = Mapping[str, ListSpec]
+BUYER, BOUGHT_ON = "Flagship Customer", "First Flagship Purchase Date"
+
+
+def together(lists: Mapping[str, DataFrame], specs: Specs) -> DataFrame:
+    """The rows of several lists, told apart by column ``list``; the two columns that are named
+    after a list's flagship product have common names."""
+    parts = [
+        _common(df, specs[name].flagship).withColumn("list", F.lit(name)) for name, df in lists.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _common(listed: DataFrame, flagship: str) -> DataFrame:
+    names = {f"{flagship} Customer": BUYER, f"First {flagship} Purchase Date": BOUGHT_ON}
+    return listed.withColumnsRenamed(names)
+
+
+def _prepared(listed: DataFrame, spec: ListSpec | Specs) -> tuple[DataFrame, Specs]:
+    """Rows with a column ``list`` and the lists' parameters, of one list or of several."""
+    if isinstance(spec, ListSpec):
+        return _common(listed, spec.flagship).withColumn("list", F.lit("")), {"": spec}
+    return listed, spec
+
+
+def _as_given(verdicts: DataFrame, spec: ListSpec | Specs) -> DataFrame:
+    return verdicts.drop("list") if isinstance(spec, ListSpec) else verdicts
+
+
+def _by_list(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c == "list"]
+
+
 def _verdict(check: str | Column, failing: Column, sample: Column) -> list[Column]:
     name = F.lit(check) if isinstance(check, str) else check
     return [
@@ -102,42 +140,47 @@ def _verdict(check: str | Column, failing: Column, sample: Column) -> list[Colum
     ]
 
 
-def verdicts(rows: DataFrame, id_col: str, tests: Mapping[str, Column]) -> DataFrame:
-    """One verdict per test over the rows; a NULL test fails.
+def verdicts(
+    rows: DataFrame, id_col: str, tests: Mapping[str, Column], lists: Collection[str] = ()
+) -> DataFrame:
+    """One verdict per test over the rows (and per list, of rows that have one); a NULL test fails.
 
     Counts and samples read the same columns of the same failing rows, so they
     share the shuffles beneath. The samples keep the first few ids per test on
     the map side, before anything is shuffled.
     """
+    keys = [*_by_list(rows), "check"]
     outcomes = F.array(
         *[
             F.struct(F.lit(name).alias("check"), F.coalesce(test, F.lit(False)).alias("ok"))
             for name, test in tests.items()
         ]
     )
-    failing = rows.select(F.col(id_col).alias("id"), F.inline(outcomes)).filter(~F.col("ok"))
-    counted = failing.groupBy("check").agg(
+    failing = rows.select(*keys[:-1], F.col(id_col).alias("id"), F.inline(outcomes)).filter(~F.col("ok"))
+    counted = failing.groupBy(*keys).agg(
         (F.count("id") + F.count_if(F.col("id").isNull())).alias("failing")
     )
-    in_order = Window.partitionBy("check").orderBy("id")
+    in_order = Window.partitionBy(*keys).orderBy("id")
     first = (
         failing.filter(F.col("id").isNotNull())
         .withColumn("place", F.row_number().over(in_order))
         .filter(F.col("place") <= SAMPLE_SIZE + 1)
         .withColumn("shown", F.when(F.col("place") <= SAMPLE_SIZE, F.col("id")))
     )
-    samples = first.groupBy("check").agg(
+    samples = first.groupBy(*keys).agg(
         F.concat(
             text_list("shown", order="place"),
             F.when(F.max("place") > SAMPLE_SIZE, " ...").otherwise(""),
         ).alias("sample")
     )
-    names = rows.sparkSession.createDataFrame([(name,) for name in tests], "check string")
+    named = [(*one, name) for one in ([(x,) for x in lists] if lists else [()]) for name in tests]
+    names = rows.sparkSession.createDataFrame(named, ", ".join(f"{k} string" for k in keys))
     return (
-        names.join(counted, "check", "left")
-        .join(samples, "check", "left")
+        names.join(counted, keys, "left")
+        .join(samples, keys, "left")
         .select(
-            *_verdict(F.col("check"), F.coalesce("failing", F.lit(0)), F.col("sample"))
+            *keys[:-1],
+            *_verdict(F.col("check"), F.coalesce("failing", F.lit(0)), F.col("sample")),
         )
     )
 
@@ -145,24 +188,46 @@ def verdicts(rows: DataFrame, id_col: str, tests: Mapping[str, Column]) -> DataF
 # --- independent recounts, keyed by CRM id -------------------------------------
 
 
-def _product_tickets(tables: Tables, spec: ListSpec) -> DataFrame:
-    return tables["tickets"].filter(
-        F.col("product_name").contains(spec.product)
-        & (F.col("is_deleted") == 0)
-        & F.col("customer_id").isNotNull()
+def _tags(column: str, texts: Mapping[str, str]) -> Column:
+    """Names of the lists whose text the column contains."""
+    return F.array_compact(
+        F.array(*[F.when(F.col(column).contains(text), name) for name, text in texts.items()])
+    )
+
+
+def _of_some(column: str, texts: Mapping[str, str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(column).contains(t) for t in set(texts.values())])
+
+
+def _tagged_tickets(tables: Tables, specs: Specs) -> DataFrame:
+    """Live tickets of a business, with the ``lists`` whose product they are for."""
+    products = {name: spec.product for name, spec in specs.items()}
+    return (
+        tables["tickets"]
+        .filter(
+            _of_some("product_name", products)
+            & (F.col("is_deleted") == 0)
+            & F.col("customer_id").isNotNull()
+        )
+        .withColumn("lists", _tags("product_name", products))
     )
 
 
 def _with_cv(per_business: DataFrame, tables: Tables) -> DataFrame:
-    """Adds the CRM id to rows that are already reduced to one per business."""
+    """Adds the CRM id to rows that are already reduced to one per business and tags."""
     customers = tables["customers"].select(
         F.col("id").alias("customer_id"), F.col("cv_customer_id").alias("cv")
     )
     return per_business.join(customers, "customer_id").drop("customer_id")
 
 
-def recount(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
-    """Status counts and purchase and event dates per business."""
+def _dealt(tagged: DataFrame) -> DataFrame:
+    """A row for each list that a row is tagged with."""
+    return tagged.withColumn("list", F.explode("lists")).drop("lists")
+
+
+def recount(tables: Tables, specs: Specs, settings: Settings) -> DataFrame:
+    """Status counts and purchase and event dates per list and business."""
     sales = tables["transactions"].select(
         F.col("cv_transaction_id").alias("transaction_id"),
         F.to_date("transaction_date").alias("bought"),
@@ -171,8 +236,8 @@ def recount(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
     booked = status.isin("scheduled", "reserved") & (event >= settings.today)
     counts = [f"n_{s}" for s in COUNT_COLUMNS]
     per_business = (
-        with_sale(_product_tickets(tables, spec), sales)
-        .groupBy("customer_id")
+        with_sale(_tagged_tickets(tables, specs), sales)
+        .groupBy("customer_id", "lists")
         .agg(
             *[F.count_if(status == s).alias(f"n_{s}") for s in COUNT_COLUMNS],
             F.min("bought").alias("first_bought"),
@@ -182,8 +247,8 @@ def recount(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
         )
     )
     return (
-        _with_cv(per_business, tables)
-        .groupBy("cv")
+        _dealt(_with_cv(per_business, tables))
+        .groupBy("list", "cv")
         .agg(
             *[F.sum(n).alias(n) for n in counts],
             *[F.min(d).alias(d) for d in ("first_bought", "next_event")],
@@ -192,19 +257,21 @@ def recount(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
     )
 
 
-def flagship_dates(tables: Tables, spec: ListSpec) -> DataFrame:
-    flagship = tables["dim_product"].filter(F.col("ProductName").contains(spec.flagship))
-    return (
+def flagship_dates(tables: Tables, specs: Specs, listed: DataFrame) -> DataFrame:
+    """First paid flagship line per list and business; the ledger is cut to the businesses listed."""
+    flagships = {name: spec.flagship for name, spec in specs.items()}
+    products = tables["dim_product"].filter(_of_some("ProductName", flagships))
+    tagged = products.select("CVProductID", _tags("ProductName", flagships).alias("lists"))
+    per_business = (
         tables["fact_gl"]
-        .filter(
-            (F.col("GLLineID") != 0)
-            & (F.col("SalesOrderCashCollected") > 0)
-            & F.col("CVCustomerID").isNotNull()
-        )
-        .join(flagship, "CVProductID")
-        .groupBy(F.col("CVCustomerID").alias("cv"))
+        .filter((F.col("GLLineID") != 0) & (F.col("SalesOrderCashCollected") > 0))
+        .join(tagged, "CVProductID")
+        .withColumnRenamed("CVCustomerID", "cv")
+        .join(listed.select("cv"), "cv", "left_semi")
+        .groupBy("cv", "lists")
         .agg(F.min("GLDate").alias("flagship_date"))
     )
+    return _dealt(per_business).groupBy("list", "cv").agg(F.min("flagship_date").alias("flagship_date"))
 
 
 def master_data(tables: Tables) -> DataFrame:
@@ -220,27 +287,42 @@ def master_data(tables: Tables) -> DataFrame:
     )
 
 
-def touch_dates(tables: Tables, spec: ListSpec) -> DataFrame:
-    """Latest blast and call per business, for the product and for all."""
-    of_product = F.col("product_name").contains(spec.product)
-    log = tables["attendee_tickets"]
-    per_ticket = log.groupBy("ticket_id").agg(*[F.max(c).alias(c) for c in log.columns[1:]])
+def touch_dates(tables: Tables, specs: Specs, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Latest blast and call per list and business, and per business for all products.
+
+    The contact log is cut to tickets of the businesses listed before it is aggregated.
+    """
+    products = {name: spec.product for name, spec in specs.items()}
+    customers = tables["customers"].select(
+        F.col("id").alias("customer_id"), F.col("cv_customer_id").alias("cv")
+    )
+    # An id that stands for several CRM ids stands for each of them.
+    tickets = (
+        tables["tickets"]
+        .select("ticket_id", "customer_id", _tags("product_name", products).alias("lists"))
+        .join(customers.join(listed.select("cv"), "cv", "left_semi"), "customer_id")
+    )
+    log = tables["attendee_tickets"].join(tickets.select("ticket_id"), "ticket_id", "left_semi")
+    per_ticket = log.groupBy("ticket_id").agg(
+        F.max("blast_date").alias("blast"), F.max("last_called_date").alias("call")
+    )
     per_business = (
-        per_ticket.join(tables["tickets"], "ticket_id")
-        .groupBy("customer_id")
-        .agg(
-            F.max(F.when(of_product, F.col("blast_date"))).alias("blast_product"),
-            F.max(F.when(of_product, F.col("last_called_date"))).alias("call_product"),
-            F.max("blast_date").alias("blast_all"),
-            F.max("last_called_date").alias("call_all"),
-        )
+        tickets.withColumn("lists", F.coalesce("lists", F.array().cast("array<string>")))
+        .join(per_ticket, "ticket_id")
+        .groupBy("cv", "lists")
+        .agg(F.max("blast").alias("blast"), F.max("call").alias("call"))
     )
-    dates = per_business.columns[1:]
-    return _with_cv(per_business, tables).groupBy("cv").agg(*[F.max(d).alias(d) for d in dates])
+    of_product = _dealt(per_business).groupBy("list", "cv").agg(
+        F.max("blast").alias("blast_product"), F.max("call").alias("call_product")
+    )
+    of_all = per_business.groupBy("cv").agg(
+        F.max("blast").alias("blast_all"), F.max("call").alias("call_all")
+    )
+    return of_product, of_all
 
 
-def reachable(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
-    """Ids of the businesses with any contact, from any source."""
+def buyers(tables: Tables, specs: Specs, settings: Settings) -> DataFrame:
+    """list, cv: businesses with a ticket for the product whose buyer can be reached."""
 
     def usable(email: str) -> Column:
         blank = [marker.rstrip(" ") for marker in settings.junk]
@@ -250,11 +332,15 @@ def reachable(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
         F.col("cv_transaction_id").alias("transaction_id"),
         F.col("purchaser_email").alias("sale_email"),
     )
-    buyers = with_sale(_product_tickets(tables, spec), sales).filter(
+    found = with_sale(_tagged_tickets(tables, specs), sales).filter(
         usable("purchaser_email") | usable("sale_email")
     )
+    return _dealt(_with_cv(found.select("customer_id", "lists").distinct(), tables))
+
+
+def reachable(tables: Tables) -> DataFrame:
+    """Ids of the businesses with a contact that does not come from a ticket."""
     attendees = tables["attendees"].filter(~F.col("attendee_email").contains(PLACEHOLDER_EMAIL))
-    people = buyers.select("customer_id").union(attendees.select("customer_id")).distinct()
     entities = (
         tables["dim_customer"]
         .select(F.col("CVCustomerID").alias("cv"), F.col("NetSuiteID").alias("EntityID"))
@@ -266,16 +352,18 @@ def reachable(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
         .select(F.col("Customer").alias("cv"), F.col("Person").alias("CVPersonID"))
         .join(tables["dim_person"].filter(F.rtrim("Email") != ""), "CVPersonID")
     )
-    ids = [df.select("cv") for df in (_with_cv(people, tables), entities, owners)]
-    return reduce(DataFrame.union, ids).filter(F.col("cv").isNotNull()).distinct()
+    people = _with_cv(attendees.select("customer_id").distinct(), tables)
+    return reduce(DataFrame.union, [df.select("cv") for df in (people, entities, owners)])
 
 
-def expected_businesses(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
-    """Businesses that have both a ticket for the product and a contact."""
-    holders = _with_cv(
-        _product_tickets(tables, spec).select("customer_id").distinct(), tables
-    ).distinct()
-    return reachable(tables, spec, settings).join(holders, "cv", "left_semi")
+def expected_businesses(tables: Tables, specs: Specs, settings: Settings) -> DataFrame:
+    """list, cv: businesses that have both a ticket for the product and a contact."""
+    holders = _dealt(
+        _with_cv(_tagged_tickets(tables, specs).select("customer_id", "lists").distinct(), tables)
+    )
+    with_contact = holders.join(reachable(tables), "cv", "left_semi").select("list", "cv")
+    bought = buyers(tables, specs, settings).select("list", "cv")
+    return with_contact.union(bought).filter(F.col("cv").isNotNull()).distinct()
 
 
 # --- checks ---------------------------------------------------------------------
@@ -311,16 +399,17 @@ def layout_checks(listed: DataFrame, spec: ListSpec) -> DataFrame:
     )
 
 
-def key_checks(listed: DataFrame) -> DataFrame:
-    keys = listed.groupBy(CV).agg(F.count("*").alias("rows"))
+def key_checks(listed: DataFrame, lists: Collection[str] = ()) -> DataFrame:
+    keys = listed.groupBy(*_by_list(listed), CV).agg(F.count("*").alias("rows"))
     return verdicts(
         keys,
         CV,
         {"key_is_present": F.col(CV).isNotNull(), "one_row_per_business": F.col("rows") == 1},
+        lists,
     )
 
 
-def row_checks(listed: DataFrame) -> DataFrame:
+def row_checks(listed: DataFrame, lists: Collection[str] = ()) -> DataFrame:
     """Agreement between the columns of a row."""
     c = COUNT_COLUMNS
     active = _total([c["open"], c["undecided"], c["undecided_at_sale"]])
@@ -346,41 +435,52 @@ def row_checks(listed: DataFrame) -> DataFrame:
             "group_label_matches": F.col("Unscheduled Ticket Group") == label,
             "summary_adds_up": in_summary == F.col("Total Tickets"),
         },
+        lists,
     )
 
 
 def population_checks(
-    listed: DataFrame, tables: Tables, spec: ListSpec, settings: Settings
+    listed: DataFrame, tables: Tables, spec: ListSpec | Specs, settings: Settings
 ) -> DataFrame:
     """The listed businesses are the expected ones, no more and no fewer."""
+    rows, specs = _prepared(listed, spec)
     both = (
-        listed.select(F.col(CV).alias("cv"), F.lit(1).alias("listed"), F.lit(0).alias("expected"))
+        rows.select("list", F.col(CV).alias("cv"), F.lit(1).alias("listed"), F.lit(0).alias("expected"))
         .filter(F.col("cv").isNotNull())
         .unionByName(
-            expected_businesses(tables, spec, settings).select(
-                "cv", F.lit(0).alias("listed"), F.lit(1).alias("expected")
+            expected_businesses(tables, specs, settings).select(
+                "list", "cv", F.lit(0).alias("listed"), F.lit(1).alias("expected")
             )
         )
-        .groupBy("cv")
+        .groupBy("list", "cv")
         .agg(F.max("listed").alias("listed"), F.max("expected").alias("expected"))
     )
-    return verdicts(
+    found = verdicts(
         both,
         "cv",
         {
             "every_expected_is_listed": F.col("listed") >= F.col("expected"),
             "every_listed_is_expected": F.col("expected") >= F.col("listed"),
         },
+        specs,
     )
+    return _as_given(found, spec)
 
 
 def recount_checks(
-    listed: DataFrame, tables: Tables, spec: ListSpec, settings: Settings
+    listed: DataFrame, tables: Tables, spec: ListSpec | Specs, settings: Settings
 ) -> DataFrame:
     """Counts, dates and master data equal their recounts on every row."""
-    side = [flagship_dates(tables, spec), master_data(tables), touch_dates(tables, spec)]
-    rows = listed.withColumnRenamed(CV, "cv").join(recount(tables, spec, settings), "cv")
-    rows = reduce(lambda left, right: left.join(right, "cv", "left"), side, rows)
+    rows, specs = _prepared(listed, spec)
+    rows = rows.withColumnRenamed(CV, "cv")
+    touched, touched_at_all = touch_dates(tables, specs, rows)
+    rows = (
+        rows.join(recount(tables, specs, settings), ["list", "cv"])
+        .join(flagship_dates(tables, specs, rows), ["list", "cv"], "left")
+        .join(touched, ["list", "cv"], "left")
+        .join(touched_at_all, "cv", "left")
+        .join(master_data(tables), "cv", "left")
+    )
 
     counts = [
         F.coalesce(F.col(shown), F.lit(0)) == F.col(f"n_{s}") for s, shown in COUNT_COLUMNS.items()
@@ -406,17 +506,14 @@ def recount_checks(
     def every(tests: Sequence[Column]) -> Column:
         return reduce(lambda a, b: a & b, tests)
 
-    return verdicts(
+    found = verdicts(
         rows,
         "cv",
         {
             "status_counts_match": every(counts),
             "dates_match": every(dates),
             "first_flagship_purchase_matches": every(
-                [
-                    _same(f"First {spec.flagship} Purchase Date", "flagship_date"),
-                    F.col(f"{spec.flagship} Customer") == bought,
-                ]
+                [_same(BOUGHT_ON, "flagship_date"), F.col(BUYER) == bought]
             ),
             "elite_label_matches": _blank_as_null(F.col("Elite Status")).eqNullSafe(
                 F.col("elite_label")
@@ -424,21 +521,24 @@ def recount_checks(
             "verticals_match": every(verticals),
             "touch_dates_match": every(touches),
         },
+        specs,
     )
+    return _as_given(found, spec)
 
 
-def rerun_check(first: DataFrame, second: DataFrame) -> DataFrame:
-    """The same contact for every business in two runs of one list."""
-    fields = [CV, *CONTACT_COLUMNS]
+def rerun_check(first: DataFrame, second: DataFrame, lists: Collection[str] = ()) -> DataFrame:
+    """The same contact for every business in two runs of the lists."""
+    keys = [*_by_list(first), CV]
+    fields = [*keys, *CONTACT_COLUMNS]
     balance = (
         first.select(*fields, F.lit(1).alias("side"))
         .unionByName(second.select(*fields, F.lit(-1).alias("side")))
         .groupBy(*fields)
         .agg(F.sum("side").alias("balance"))
-        .groupBy(CV)
+        .groupBy(*keys)
         .agg(F.max(F.abs("balance")).alias("difference"))
     )
-    return verdicts(balance, CV, {"same_contacts_on_rerun": F.col("difference") == 0})
+    return verdicts(balance, CV, {"same_contacts_on_rerun": F.col("difference") == 0}, lists)
 
 
 def same_layout_check(lists: Mapping[str, DataFrame], flagship: str) -> DataFrame:
@@ -461,42 +561,46 @@ def blank_shares(listed: DataFrame) -> DataFrame:
         value = F.col(name).cast("string")
         return F.coalesce(value.isin("", "0"), F.lit(True))
 
-    counted = listed.agg(
+    keys = _by_list(listed)
+    counted = listed.groupBy(*keys).agg(
         F.count("*").alias("rows"),
         *[F.count_if(blank(name)).alias(name) for name in PROFILED_COLUMNS],
     )
     share = F.try_divide(F.col("blank").cast("double"), F.col("rows").cast("double"))
-    return counted.unpivot(["rows"], PROFILED_COLUMNS, "column", "blank").select(
-        "column", "blank", "rows", share.alias("blank_share")
+    return counted.unpivot([*keys, "rows"], PROFILED_COLUMNS, "column", "blank").select(
+        *keys, "column", "blank", "rows", share.alias("blank_share")
     )
 
 
 def group_histogram(listed: DataFrame) -> DataFrame:
-    return listed.groupBy(F.col("Unscheduled Ticket Group").alias("label")).agg(
-        F.count("*").alias("businesses")
-    )
+    label = F.col("Unscheduled Ticket Group").alias("label")
+    return listed.groupBy(*_by_list(listed), label).agg(F.count("*").alias("businesses"))
 
 
-def flagship_share(listed: DataFrame, spec: ListSpec) -> DataFrame:
-    buyers = F.count_if(F.col(f"{spec.flagship} Customer") == "Yes")
-    return listed.agg(buyers.alias("flagship_customers"), F.count("*").alias("businesses"))
+def flagship_share(listed: DataFrame, spec: ListSpec | Specs) -> DataFrame:
+    name = f"{spec.flagship} Customer" if isinstance(spec, ListSpec) else BUYER
+    customers = F.count_if(F.col(name) == "Yes")
+    return listed.groupBy(*_by_list(listed)).agg(
+        customers.alias("flagship_customers"), F.count("*").alias("businesses")
+    )
 
 
 # --- two versions ---------------------------------------------------------------
 
 
 def _sides(old_ids: DataFrame, new_ids: DataFrame) -> DataFrame:
-    """One row per business of either version, with a flag for each."""
+    """One row per business of either version (in each list), with a flag for each."""
+    keys = _by_list(old_ids)
     sides = {"old": (old_ids, 1, 0), "new": (new_ids, 0, 1)}
     marked = [
         ids.select(
-            F.col(CV).alias("cv_customer_id"), F.lit(old).alias("old"), F.lit(new).alias("new")
+            *keys, F.col(CV).alias("cv_customer_id"), F.lit(old).alias("old"), F.lit(new).alias("new")
         )
         for ids, old, new in sides.values()
     ]
     return (
         reduce(DataFrame.unionByName, marked)
-        .groupBy("cv_customer_id")
+        .groupBy(*keys, "cv_customer_id")
         .agg(F.max("old").alias("old"), F.max("new").alias("new"))
     )
 
@@ -507,14 +611,14 @@ def snapshot_diff(old_ids: DataFrame, new_ids: DataFrame) -> DataFrame:
     return (
         _sides(old_ids, new_ids)
         .filter(F.col("old") != F.col("new"))
-        .select("cv_customer_id", change.alias("change"))
+        .select(*_by_list(old_ids), "cv_customer_id", change.alias("change"))
     )
 
 
 def snapshot_summary(old_ids: DataFrame, new_ids: DataFrame) -> DataFrame:
     """How many businesses each version has, and how many came and went, from one pass."""
     known, old, new = F.col("cv_customer_id").isNotNull(), F.col("old") == 1, F.col("new") == 1
-    return _sides(old_ids, new_ids).agg(
+    return _sides(old_ids, new_ids).groupBy(*_by_list(old_ids)).agg(
         F.count_if(known & old).alias("old_businesses"),
         F.count_if(known & new).alias("new_businesses"),
         F.count_if(new & ~old).alias("added"),
@@ -534,16 +638,36 @@ def list_checks(listed: DataFrame, tables: Tables, spec: ListSpec, settings: Set
     return reduce(DataFrame.unionByName, parts)
 
 
+def checks_of_lists(
+    lists: Mapping[str, DataFrame], tables: Tables, specs: Specs, settings: Settings
+) -> DataFrame:
+    """All checks of several stored lists, with one recount for all of them."""
+    rows = together(lists, specs)
+    parts = [
+        *[layout_checks(df, specs[name]).withColumn("list", F.lit(name)) for name, df in lists.items()],
+        key_checks(rows, specs),
+        row_checks(rows, specs),
+        population_checks(rows, tables, specs, settings),
+        recount_checks(rows, tables, specs, settings),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def removal_check(
-    changes: DataFrame, tables: Tables, spec: ListSpec, settings: Settings
+    changes: DataFrame, tables: Tables, spec: ListSpec | Specs, settings: Settings
 ) -> DataFrame:
     """Every removed business has lost its live tickets or its contacts."""
+    specs = {"": spec} if isinstance(spec, ListSpec) else spec
     removed = changes.filter(F.col("change") == "removed")
-    still_expected = expected_businesses(tables, spec, settings).select(
-        F.col("cv").alias("cv_customer_id"), F.lit(True).alias("still_expected")
+    if isinstance(spec, ListSpec):
+        removed = removed.withColumn("list", F.lit(""))
+    still_expected = expected_businesses(tables, specs, settings).select(
+        "list", F.col("cv").alias("cv_customer_id"), F.lit(True).alias("still_expected")
     )
-    return verdicts(
-        removed.join(still_expected, "cv_customer_id", "left"),
+    found = verdicts(
+        removed.join(still_expected, ["list", "cv_customer_id"], "left"),
         "cv_customer_id",
         {"every_removal_is_explained": F.col("still_expected").isNull()},
+        specs,
     )
+    return _as_given(found, spec)

@@ -3,10 +3,15 @@
 A list is a parameter set over one template. Every branch is reduced to one
 row per business before the branches meet, so the joins are all one to one on
 customer_id and reuse the partitioning of the aggregates.
+
+Several lists are made at once: a ticket is in each list whose product it is for,
+and what a branch reduces is then a business in a list. What is the same for all
+lists is reduced once per business and told apart by list afterwards.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -120,17 +125,57 @@ def _display(flagship: str) -> dict[str, str]:
     }
 
 
+Specs = Mapping[str, ListSpec]
+
+
+def _one(product: str = "", flagship: str = "") -> Specs:
+    return {"": ListSpec(product, flagship)}
+
+
+def keys_of(*frames: DataFrame) -> list[str]:
+    """A business, and the list where all of these tell lists apart."""
+    return [k for k in ("list", "customer_id") if all(k in df.columns for df in frames)]
+
+
+def _of_any(column: str, texts: Collection[str]) -> Column:
+    tests = [F.col(column).contains(text) for text in dict.fromkeys(texts)]
+    return reduce(lambda a, b: a | b, tests)
+
+
+def of_lists(rows: DataFrame, specs: Specs) -> DataFrame:
+    """The rows on a list's product; several lists are told apart by column ``list``, and a row
+    is there for each of its lists."""
+    rows = rows.filter(_of_any("product_name", [spec.product for spec in specs.values()]))
+    if len(specs) == 1:
+        return rows
+    names = [F.when(F.col("product_name").contains(s.product), name) for name, s in specs.items()]
+    return rows.withColumn("list", F.explode(F.array_compact(F.array(*names))))
+
+
+def told_apart(rows: DataFrame, specs: Specs, fields: Collection[str]) -> DataFrame:
+    """Rows whose columns ``field_0, field_1, ...`` are a field's values for each list, with the
+    field itself and, of several lists, a row for each."""
+    of_each = {f"{field}_{i}" for field in fields for i in range(len(specs))}
+    rest = [c for c in rows.columns if c not in of_each]
+    if len(specs) == 1:
+        return rows.select(*rest, *[F.col(f"{field}_0").alias(field) for field in fields])
+    values = [
+        F.struct(F.lit(name).alias("list"), *[F.col(f"{field}_{i}").alias(field) for field in fields])
+        for i, name in enumerate(specs)
+    ]
+    return rows.select(*rest, F.inline(F.array(*values)))
+
+
+def listed_tickets(tables: Tables, specs: Specs) -> DataFrame:
+    """The lists' tickets that are not deleted and have a business, status in lower case."""
+    of_any = _of_any("product_name", [spec.product for spec in specs.values()])
+    live = of_any & (F.col("is_deleted") == 0) & F.col("customer_id").isNotNull()
+    return of_lists(tables["tickets"].filter(live), specs).withColumn("status", F.lower("status"))
+
+
 def product_tickets(tables: Tables, product: str) -> DataFrame:
-    """The product's tickets that are not deleted and have a business, status in lower case."""
-    return (
-        tables["tickets"]
-        .filter(
-            F.col("product_name").contains(product)
-            & (F.col("is_deleted") == 0)
-            & F.col("customer_id").isNotNull()
-        )
-        .withColumn("status", F.lower("status"))
-    )
+    """The tickets of one list."""
+    return listed_tickets(tables, _one(product))
 
 
 def with_sale(tickets: DataFrame, sales: DataFrame) -> DataFrame:
@@ -144,10 +189,12 @@ def with_sale(tickets: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def scope(tables: Tables, product: str) -> DataFrame:
-    """The product's tickets, each with its sale.
+    """The product's tickets, each with its sale."""
+    return with_their_sale(product_tickets(tables, product), tables)
 
-    A sale that is recorded more than once repeats the ticket.
-    """
+
+def with_their_sale(tickets: DataFrame, tables: Tables) -> DataFrame:
+    """A sale that is recorded more than once repeats the ticket."""
     sales = tables["transactions"].select(
         F.col("cv_transaction_id").alias("transaction_id"),
         "transaction_date",
@@ -155,7 +202,7 @@ def scope(tables: Tables, product: str) -> DataFrame:
         F.col("purchaser_email").alias("sale_email"),
         F.col("purchaser_phone").alias("sale_phone"),
     )
-    return with_sale(product_tickets(tables, product), sales)
+    return with_sale(tickets, sales)
 
 
 def ticket_rollup(scoped: DataFrame, settings: Settings) -> DataFrame:
@@ -166,6 +213,7 @@ def ticket_rollup(scoped: DataFrame, settings: Settings) -> DataFrame:
     aggregate, and a large business is spread over all tasks. Status counts
     count rows, ticket counts count tickets.
     """
+    keys = keys_of(scoped)
     status, event_date = F.col("status"), F.col("event_date")
     upcoming = status.isin(BOOKED) & (event_date >= settings.today)
     severity = rank_of_label(F.col("outreach_restriction"), RESTRICTIONS)
@@ -182,10 +230,10 @@ def ticket_rollup(scoped: DataFrame, settings: Settings) -> DataFrame:
     }
     if settings.tickets_are_unique and settings.sales_are_unique:
         per_ticket = scoped.select(
-            "customer_id", "ticket_id", *[value.alias(name) for name, (value, _) in parts.items()]
+            *keys, "ticket_id", *[value.alias(name) for name, (value, _) in parts.items()]
         )
     else:
-        per_ticket = scoped.groupBy("customer_id", "ticket_id").agg(
+        per_ticket = scoped.groupBy(*keys, "ticket_id").agg(
             *[combine(value).alias(name) for name, (value, combine) in parts.items()]
         )
     known = F.col("ticket_id").isNotNull()
@@ -195,7 +243,7 @@ def ticket_rollup(scoped: DataFrame, settings: Settings) -> DataFrame:
         if name not in ("unscheduled", "severity")
     }
     return (
-        per_ticket.groupBy("customer_id")
+        per_ticket.groupBy(*keys)
         .agg(
             F.count("ticket_id").alias("ticket_count"),
             F.count_if(known & (F.col("unscheduled") == 1)).alias("unscheduled_tickets"),
@@ -225,12 +273,12 @@ def status_counts(scoped: DataFrame) -> DataFrame:
 
 
 def types_counted(scoped: DataFrame) -> DataFrame:
-    return counted_list(scoped, ["customer_id"], "product_name", "ticket_types")
+    return counted_list(scoped, keys_of(scoped), "product_name", "ticket_types")
 
 
 def types_distinct(scoped: DataFrame) -> DataFrame:
     named = scoped.filter(F.col("ticket_type").isNotNull())
-    return distinct_list(named, ["customer_id"], "ticket_type", "ticket_types")
+    return distinct_list(named, keys_of(named), "ticket_type", "ticket_types")
 
 
 def ticket_ids(scoped: DataFrame) -> DataFrame:
@@ -239,50 +287,73 @@ def ticket_ids(scoped: DataFrame) -> DataFrame:
 
 def sales_orders(scoped: DataFrame) -> DataFrame:
     numbered = scoped.filter(has_text(F.col("sales_order_id")))
-    return distinct_list(numbered, ["customer_id"], "sales_order_id", "sales_orders")
+    return distinct_list(numbered, keys_of(numbered), "sales_order_id", "sales_orders")
 
 
 def last_activity(tables: Tables, product: str) -> DataFrame:
-    """Last blast and call per business, for the product and for all.
+    """Last blast and call per business, for the product and for all."""
+    return last_activities(tables, _one(product))
+
+
+def last_activities(tables: Tables, specs: Specs) -> DataFrame:
+    """Last blast and call per business, for each list's product and for all.
 
-    Deleted tickets count. The contact log is cut to one row per ticket before
-    it meets the tickets.
+    Deleted tickets count. The contact log is cut to the tickets given here, by a
+    semi join before anything is aggregated, and to one row per ticket before it
+    meets them.
     """
-    contacted = tables["attendee_tickets"].groupBy("ticket_id").agg(
-        F.max("blast_date").alias("blast"), F.max("last_called_date").alias("call")
+    tickets = tables["tickets"].select("ticket_id", "customer_id", "product_name")
+    contacted = (
+        tables["attendee_tickets"]
+        .join(tickets.select("ticket_id"), "ticket_id", "left_semi")
+        .groupBy("ticket_id")
+        .agg(F.max("blast_date").alias("blast"), F.max("last_called_date").alias("call"))
     )
-    of_product = F.col("product_name").contains(product)
-    return (
-        tables["tickets"]
-        .select("ticket_id", "customer_id", "product_name")
-        .join(contacted, "ticket_id")
+    of_product = [F.col("product_name").contains(spec.product) for spec in specs.values()]
+    per_business = (
+        tickets.join(contacted, "ticket_id")
         .groupBy("customer_id")
         .agg(
-            F.max(F.when(of_product, F.col("blast"))).alias("last_blast_product"),
-            F.max(F.when(of_product, F.col("call"))).alias("last_call_product"),
+            *[F.max(F.when(t, F.col("blast"))).alias(f"last_blast_product_{i}") for i, t in enumerate(of_product)],
+            *[F.max(F.when(t, F.col("call"))).alias(f"last_call_product_{i}") for i, t in enumerate(of_product)],
             F.max("blast").alias("last_blast_all"),
             F.max("call").alias("last_call_all"),
         )
     )
+    return told_apart(per_business, specs, ["last_blast_product", "last_call_product"])
 
 
 def first_purchase(tables: Tables, flagship: str) -> DataFrame:
     """First paid ledger line of the flagship product per business."""
+    return first_purchases(tables, _one(flagship=flagship))
+
+
+def first_purchases(tables: Tables, specs: Specs) -> DataFrame:
+    """First paid ledger line of each list's flagship product per business.
+
+    The ledger is cut to the products and then to the businesses given here,
+    before anything is aggregated.
+    """
+    flagships = [spec.flagship for spec in specs.values()]
     paid = tables["fact_gl"].filter(
         (F.col("GLLineID") != 0) & (F.col("SalesOrderCashCollected") > 0)
     )
-    products = tables["dim_product"].filter(F.col("ProductName").contains(flagship))
+    products = tables["dim_product"].filter(_of_any("ProductName", flagships))
     customers = tables["customers"].select(
         F.col("id").alias("customer_id"), F.col("cv_customer_id").alias("CVCustomerID")
     )
-    return (
-        paid.join(products.select("CVProductID"), "CVProductID")
+    dates = [F.when(F.col("ProductName").contains(f), F.col("GLDate")) for f in flagships]
+    names = [f"first_flagship_date_{i}" for i in range(len(flagships))]
+    per_business = (
+        paid.join(products.select("CVProductID", "ProductName"), "CVProductID")
+        .join(customers.select("CVCustomerID"), "CVCustomerID", "left_semi")
         .groupBy("CVCustomerID")
-        .agg(F.min("GLDate").alias("first_flagship_date"))
+        .agg(*[F.min(date).alias(name) for date, name in zip(dates, names)])
         .join(customers, "CVCustomerID")
         .groupBy("customer_id")
-        .agg(F.min("first_flagship_date").alias("first_flagship_date"))
+        .agg(*[F.min(name).alias(name) for name in names])
     )
+    return told_apart(per_business, specs, ["first_flagship_date"])
 
 
 def profile(tables: Tables) -> DataFrame:
@@ -306,7 +377,7 @@ def purchaser_contacts(scoped: DataFrame, settings: Settings) -> DataFrame:
     junk = settings.junk
     usable = none_of(F.col("purchaser_email"), junk) | none_of(F.col("sale_email"), junk)
     return scoped.filter(usable).select(
-        "customer_id",
+        *keys_of(scoped),
         or_fallback(F.col("purchaser_name"), F.col("sale_name"), junk).alias("contact_name"),
         or_fallback(F.col("purchaser_email"), F.col("sale_email"), junk).alias("contact_email"),
         or_fallback(F.col("purchaser_phone"), F.col("sale_phone"), junk).alias("contact_phone"),
@@ -370,12 +441,12 @@ def owner_contacts(tables: Tables) -> DataFrame:
 
 def contact_candidates(tables: Tables, scoped: DataFrame, settings: Settings) -> DataFrame:
     """Every contact of every business, from the four sources, repeats included."""
-    branches = [
-        purchaser_contacts(scoped, settings),
-        attendee_contacts(tables),
-        entity_contacts(tables),
-        owner_contacts(tables),
-    ]
+    return purchaser_contacts(scoped, settings).unionByName(shared_contacts(tables))
+
+
+def shared_contacts(tables: Tables) -> DataFrame:
+    """The contacts that do not depend on the product."""
+    branches = [attendee_contacts(tables), entity_contacts(tables), owner_contacts(tables)]
     return reduce(DataFrame.unionByName, branches)
 
 
@@ -399,50 +470,65 @@ def pick_contact(candidates: DataFrame) -> DataFrame:
     preference = F.array_position(F.lit(CONTACT_SOURCES), F.col("contact_source"))
     return keep_first(
         candidates.filter(F.col("customer_id").isNotNull()),
-        ["customer_id"],
+        keys_of(candidates),
         [F.asc(preference), *_contact_order()],
     )
 
 
+def pick_contacts(tables: Tables, scoped: DataFrame, settings: Settings) -> DataFrame:
+    """The preferred contact of each business, in each of several lists.
+
+    Contacts that lists share are picked once per business and source; only those
+    few meet the lists that the business is in.
+    """
+    if "list" not in scoped.columns:
+        return pick_contact(contact_candidates(tables, scoped, settings))
+    one_each = keep_first(shared_contacts(tables), ["customer_id", "contact_source"], _contact_order())
+    holders = scoped.select("list", "customer_id").distinct()
+    purchasers = purchaser_contacts(scoped, settings)
+    return pick_contact(purchasers.unionByName(one_each.join(holders, "customer_id")))
+
+
 def status_summary(tables: Tables, product: str) -> DataFrame:
-    """``status: product xN, ... | status: ...`` per business, for the product
+    """The summaries for one product, of the businesses with a ticket for it."""
+    return status_summaries(tables, _one(product)).filter(F.col("in_scope") == 1).drop("in_scope")
+
+
+def status_summaries(tables: Tables, specs: Specs) -> DataFrame:
+    """``status: product xN, ... | status: ...`` per business, for each list's product
     and for everything the business holds.
 
-    Both texts come from one count by business, status and product. Businesses
-    without a ticket for the product are left out.
+    All texts come from one count by business, status and product.
     """
-    of_product = F.col("product_name").contains(product)
+    of_product = [F.col("product_name").contains(spec.product) for spec in specs.values()]
     counted = (
         tables["tickets"]
         .filter((F.col("is_deleted") == 0) & F.col("customer_id").isNotNull())
         .groupBy("customer_id", F.lower("status").alias("status"), "product_name")
         .agg(F.count("*").alias("n"))
         .withColumn("item", F.concat("product_name", F.lit(" x"), "n"))
-        .withColumn("product_item", F.when(of_product, F.col("item")))
+        .withColumns({f"item_{i}": F.when(t, F.col("item")) for i, t in enumerate(of_product)})
     )
+    each = range(len(of_product))
     by_status = counted.groupBy("customer_id", "status").agg(
-        F.max(flag(of_product)).alias("in_scope"),
-        text_list("product_item", order="product_name").alias("product_items"),
+        *[text_list(f"item_{i}", order="product_name").alias(f"items_{i}") for i in each],
+        *[F.max(flag(t)).alias(f"in_scope_{i}") for i, t in enumerate(of_product)],
         text_list("item", order="product_name").alias("items"),
     )
     place = F.array_position(F.lit(SUMMARY_ORDER), F.col("status"))
     lines = by_status.withColumns(
         {
             "place": F.when(place > 0, place).otherwise(len(SUMMARY_ORDER) + 1),
-            "product_line": F.concat("status", F.lit(": "), "product_items"),
+            **{f"line_{i}": F.concat("status", F.lit(": "), f"items_{i}") for i in each},
             "line": F.concat("status", F.lit(": "), "items"),
         }
     )
-    return (
-        lines.groupBy("customer_id")
-        .agg(
-            F.max("in_scope").alias("in_scope"),
-            text_list("product_line", " | ", "place, status").alias("summary_product"),
-            text_list("line", " | ", "place, status").alias("summary_all"),
-        )
-        .filter(F.col("in_scope") == 1)
-        .drop("in_scope")
+    per_business = lines.groupBy("customer_id").agg(
+        *[text_list(f"line_{i}", " | ", "place, status").alias(f"summary_product_{i}") for i in each],
+        *[F.max(f"in_scope_{i}").alias(f"in_scope_{i}") for i in each],
+        text_list("line", " | ", "place, status").alias("summary_all"),
     )
+    return told_apart(per_business, specs, ["summary_product", "in_scope"])
 
 
 def unscheduled_group(open_count: Column, undecided: Column, at_sale: Column, expired: Column):
@@ -456,13 +542,15 @@ def unscheduled_group(open_count: Column, undecided: Column, at_sale: Column, ex
     )
 
 
-def of_businesses_with(tables: Tables, product: str) -> Tables:
-    """The tables with the tickets, attendees and master data of businesses that hold the product.
+def of_businesses_with(tables: Tables, specs: Specs) -> Tables:
+    """The tables with the tickets, attendees and master data of businesses that are in a list.
 
-    Everything a list aggregates is cut to them first. Their tickets and customers
+    What the branches aggregate is cut to them first. Their tickets and customers
     are stored, since several branches read them, each its own columns.
     """
-    holders = product_tickets(tables, product).select("customer_id").distinct()
+    of_any = _of_any("product_name", [spec.product for spec in specs.values()])
+    live = (F.col("is_deleted") == 0) & F.col("customer_id").isNotNull()
+    holders = tables["tickets"].filter(of_any & live).select("customer_id").distinct()
     tickets = staged(tables["tickets"].join(holders, "customer_id", "left_semi"))
     ids = tickets.select("customer_id").distinct()
     customers = tables["customers"].join(
@@ -475,30 +563,60 @@ def of_businesses_with(tables: Tables, product: str) -> Tables:
     )
 
 
-def customer_list(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
-    """The list of one product, longest in queue first."""
-    tables = of_businesses_with(tables, spec.product)
-    tickets = product_tickets(tables, spec.product)
-    scoped = scope(tables, spec.product)
-    if spec.counted_types:
-        types = types_counted(tickets if settings.sales_are_unique else scoped)
-    else:
-        types = types_distinct(tickets)
-
-    needed = [
-        pick_contact(contact_candidates(tables, scoped, settings)),
-        profile(tables),
-    ]
+def _types(tickets: DataFrame, scoped: DataFrame, specs: Specs, settings: Settings) -> DataFrame:
+    """Ticket types in the way of each list."""
+    ways = {
+        True: (types_counted, tickets if settings.sales_are_unique else scoped),
+        False: (types_distinct, tickets),
+    }
+    parts = []
+    for counted, (types, rows) in ways.items():
+        names = [name for name, spec in specs.items() if spec.counted_types == counted]
+        if names and len(names) < len(specs):
+            rows = rows.filter(F.col("list").isin(names))
+        if names:
+            parts.append(types(rows))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def business_rows(tables: Tables, specs: Specs, settings: Settings) -> DataFrame:
+    """One row per business and list, under the names of the branches."""
+    tables = of_businesses_with(tables, specs)
+    tickets = listed_tickets(tables, specs)
+    scoped = with_their_sale(tickets, tables)
+    needed = [pick_contacts(tables, scoped, settings), profile(tables)]
     optional = [
-        types,
+        _types(tickets, scoped, specs, settings),
         sales_orders(tickets),
-        last_activity(tables, spec.product),
-        first_purchase(tables, spec.flagship),
-        status_summary(tables, spec.product),
+        last_activities(tables, specs),
+        first_purchases(tables, specs),
+        status_summaries(tables, specs).drop("in_scope"),
     ]
-    rows = ticket_rollup(scoped, settings)
-    rows = reduce(lambda left, right: left.join(right, "customer_id"), needed, rows)
-    rows = reduce(lambda left, right: left.join(right, "customer_id", "left"), optional, rows)
+
+    def met(how: str):
+        return lambda left, right: left.join(right, keys_of(left, right), how)
+
+    return reduce(met("left"), optional, reduce(met("inner"), needed, ticket_rollup(scoped, settings)))
+
+
+def customer_list(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
+    """The list of one product, longest in queue first."""
+    return _shown(business_rows(tables, {"": spec}, settings), spec, settings)
+
+
+def customer_lists(tables: Tables, specs: Specs, settings: Settings) -> dict[str, DataFrame]:
+    """Several lists, made in one pass over the tables and stored together."""
+    if len(specs) == 1:
+        return {name: staged(customer_list(tables, spec, settings)) for name, spec in specs.items()}
+    rows = staged(business_rows(tables, specs, settings))
+    return {
+        name: _shown(rows.filter(F.col("list") == name), spec, settings)
+        for name, spec in specs.items()
+    }
+
+
+def _shown(rows: DataFrame, spec: ListSpec, settings: Settings) -> DataFrame:
+    """A list with its computed columns, as it is shown."""
 
     def days_since(day: Column) -> Column:
         return days_between(day, settings.today)

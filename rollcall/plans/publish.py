@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rollcall.plans import actions, checks, lists, measures, reports
 from rollcall.plans.tickets import tickets_all
 from rollcall.settings import Settings
-from rollcall.sinks import write_change_file, write_report
+from rollcall.sinks import staged, write_change_file, write_report
 from rollcall.sources.schemas import CONFIRMATION_ACTIONS
 from rollcall.sources.tables import Tables
 
@@ -74,14 +75,16 @@ def publish(
     }
     for name, df in outputs.items():
         write(name, df)
-    for name, spec in specs.items():
-        listed = write(f"list_{name}", lists.customer_list(tables, spec, settings))
-        write(f"checks_{name}", checks.list_checks(listed, tables, spec, settings))
+    made = lists.customer_lists(tables, specs, settings) if specs else {}
+    listed = {name: write(f"list_{name}", df) for name, df in made.items()}
+    if listed:
+        verdicts = staged(checks.checks_of_lists(listed, tables, specs, settings))
+    for name, df in listed.items():
+        write(f"checks_{name}", verdicts.filter(F.col("list") == name).drop("list"))
         if earlier and name in earlier:
-            write(f"summary_{name}", checks.snapshot_summary(earlier[name], listed))
+            write(f"summary_{name}", checks.snapshot_summary(earlier[name], df))
             written[f"changes_{name}"] = f"{root.rstrip('/')}/changes_{name}"
-            changes = checks.snapshot_diff(earlier[name], listed)
-            write_change_file(changes, written[f"changes_{name}"])
+            write_change_file(checks.snapshot_diff(earlier[name], df), written[f"changes_{name}"])
     for name, df in totals.items():
         write(f"measures_{name}", measures.with_titles(df))
     return written

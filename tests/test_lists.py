@@ -278,3 +278,63 @@ def test_a_list_scans_the_tickets_twice(spark, monkeypatch):
     # The first stores the tickets in scope; product names are made in no other plan.
     assert "LeftSemi" in plans[0] and plans[0].count("Relation [o_orderkey") == 2
     assert not any("Beta Bootcamp" in plan for plan in plans[1:])
+
+
+# --- several lists at once ----------------------------------------------------------
+
+
+def test_lists_made_at_once_equal_lists_made_alone(spark, rows):
+    tables = sample_tables(spark, SMALL)
+    specs = {
+        "alpha": SPEC,
+        "beta": lists.ListSpec("Beta", "Alpha"),
+        "gamma": lists.ListSpec("Gamma", "Alpha", counted_types=False),
+        # Its products are in the other lists too, its flagship is another one.
+        "vip": lists.ListSpec("VIP", "small"),
+    }
+    undeclared = replace(SETTINGS, tickets_are_unique=False, sales_are_unique=False)
+    for settings in (SETTINGS, undeclared):
+        made = lists.customer_lists(tables, specs, settings)
+        for name, spec in specs.items():
+            alone = lists.customer_list(tables, spec, settings)
+            assert made[name].columns == alone.columns
+            assert rows(made[name]) == rows(alone)
+
+
+def test_a_ticket_is_in_each_list_of_its_product(make, rows):
+    specs = {"a": lists.ListSpec("Alpha", "Alpha"), "w": lists.ListSpec("Workshop", "Alpha")}
+    tables = make(
+        tickets=[ticket("1"), ticket("2", product_name="Workshop"), ticket("3", product_name=None), ticket("4", customer_id=None)]
+    )
+    assert rows(lists.listed_tickets(tables, specs), "list", "ticket_id") == [("a", "1"), ("w", "1"), ("w", "2")]
+
+
+def _below_aggregate(plan: str, column: str) -> bool:
+    """Whether the first aggregate of a column's table reads a semi join."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Aggregate" in line and column in line)
+    depth = lines[at].index("Aggregate")
+    inside = [line for line in lines[at + 1 :] if len(line) - len(line.lstrip(" :+-")) > depth]
+    return any("LeftSemi" in line for line in inside)
+
+
+def test_logs_are_cut_to_the_list_before_they_are_aggregated(spark):
+    tables = lists.of_businesses_with(sample_tables(spark, SMALL), {"": SPEC})
+    touched = lists.last_activity(tables, "Alpha")._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in touched.splitlines() if "Aggregate [ticket_id" in line]
+    assert len(lines) == 1 and _below_aggregate(touched, "Aggregate [ticket_id")
+    bought = lists.first_purchase(tables, "Alpha")._jdf.queryExecution().optimizedPlan().toString()
+    assert _below_aggregate(bought, "Aggregate [CVCustomerID")
+
+
+def test_activity_counts_tickets_of_every_product(make, rows):
+    tables = make(
+        tickets=[ticket("1"), ticket("2", product_name="Beta"), ticket("3", customer_id=2)],
+        attendee_tickets=[
+            {"ticket_id": "1", "blast_date": date(2024, 1, 2)},
+            {"ticket_id": "1", "blast_date": date(2024, 1, 5)},
+            {"ticket_id": "2", "blast_date": date(2024, 1, 9), "last_called_date": date(2024, 1, 1)},
+            {"ticket_id": "x", "blast_date": date(2024, 2, 9)},
+        ],
+    )
+    assert rows(lists.last_activity(tables, "Alpha")) == [(1, date(2024, 1, 9), date(2024, 1, 1), date(2024, 1, 5), None)]
