@@ -7,7 +7,8 @@ that also hold language and number of words.
 
   count        fingerprints are counted in each batch and shuffled with their counts. A phrase can only
                be frequent if its parts are, so pairs of words are counted first, then those phrases of
-               three and four words all of whose pairs are frequent.
+               three and four words all of whose pairs are frequent. Of single words, those in a
+               frequent pair matter: only they can be part of a cut.
   filter       frequent fingerprints are marked in a bitmap of `filter_bits` bits, which is all that
                tasks are given; its size does not grow with the data. A mark can stand for another
                fingerprint too: then more is counted than need be, nothing is missed.
@@ -27,6 +28,7 @@ columns are ignored, an empty table gives an empty result. A long text is hashed
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,7 +57,7 @@ _CHUNK = 1 << 16
 _GROUP, _WINDOW = 3 << 20, 1 << 20
 _PARTS = 64
 #: Phrases that a task counts before it passes them on.
-_HELD = 100_000
+_HELD = 250_000
 _CAPITALS = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_CAPITALS, _CAPITALS.lower())
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -172,19 +174,32 @@ def _prepared(docs: DataFrame) -> DataFrame:
 
 
 def _frequent(docs: DataFrame, lengths: list[int], marks, least: int) -> DataFrame:
-    """fp: the fingerprints of phrases of these lengths that are found `least` times or more."""
+    """fp: the fingerprints of phrases of these lengths that are found `least` times or more.
+
+    With marks, only phrases whose pairs are all marked are counted, and the words of marked pairs
+    are among the result, however often they are found.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        singles = np.empty(0, dtype=np.uint64)
         for batch in batches:
             for _, words in _groups(batch):
-                pairs = marks.value.holds(words.phrases(2)[0]) if marks is not None else None
+                if marks is not None:
+                    found, wanted = words.phrases(2)
+                    pairs = wanted & marks.value.holds(found)
+                    in_pair = np.append(pairs, False) | np.append(False, pairs)
+                    if pairs.any():
+                        singles = np.union1d(singles, words.phrases(1)[0][in_pair])
                 for k in lengths:
                     found, wanted = words.phrases(k)
-                    if pairs is not None:
+                    if marks is not None:
                         for j in range(k - 1 if len(found) else 0):
                             wanted &= pairs[j : j + len(found)]
-                    fp, n = np.unique(found[wanted], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n)], names=["fp", "n"])
+                    yield rows(*np.unique(found[wanted], return_counts=True))
+        yield rows(singles, np.full(len(singles), least, dtype=np.int64))
+
+    def rows(fp: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n)], names=["fp", "n"])
 
     # Counts are combined within a batch; what is left is mostly different, so it is shuffled as it is.
     counted = docs.select("lang", "text").mapInArrow(count, "fp long, n long").repartition("fp")
@@ -231,30 +246,18 @@ def _materialised(docs: DataFrame, marks) -> DataFrame:
     k = 0 has all words of a language."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list] = {}
+        held = _Held(types)
         for batch in batches:
             # In the order of doc_id, so that the first occurrence is that of the least.
             batch = batch.take(pc.sort_indices(batch.column("doc_id"), null_placement="at_end"))
             for part, words in _groups(batch):
                 langs, ids = part.column("lang").to_pylist(), part.column("doc_id").to_pylist()
-                for key, n, pointer in _phrases(words, langs, ids, marks.value):
-                    if found := held.get(key):
-                        found[0] += n
-                        found[1] = min(found[1], pointer)
-                    else:
-                        held[key] = [n, pointer]
-                if len(held) > _HELD:
-                    yield emitted(held)
-                    held = {}
-        yield emitted(held)
-
-    def emitted(held: dict[tuple, list]) -> pa.RecordBatch:
-        keys = list(zip(*held, strict=True)) or [(), (), ()]
-        found = [(n, doc, word) for n, (_, doc, word) in held.values()]
-        rest = list(zip(*found, strict=True)) or [(), (), ()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip((*keys, *rest), types, strict=True)], names=kind.names
-        )
+                for lang, k, text, n, doc, word in _phrases(words, langs, ids, marks.value):
+                    held.add(lang, k, text, n, doc, word)
+                if held.size > _HELD:
+                    yield held.emitted(kind.names)
+                    held = _Held(types)
+        yield held.emitted(kind.names)
 
     of_id = docs.schema["doc_id"].dataType
     kind = T.StructType.fromDDL("lang string, k int, phrase string, n long").add("doc_id", of_id).add("word", T.LongType())
@@ -262,17 +265,52 @@ def _materialised(docs: DataFrame, marks) -> DataFrame:
     return docs.mapInArrow(read, kind)
 
 
-def _phrases(words: Words, langs: list[str], ids: list, marks: Marks) -> Iterator[tuple[tuple, int, tuple]]:
-    """(lang, k, phrase), how often and where first: the marked phrases of some texts."""
+class _Held:
+    """Counts and first places of phrases, in columns."""
+
+    def __init__(self, types: list[pa.DataType]):
+        self.types, self.size = types, 0
+        self.at: dict[tuple[str, int], dict[str | None, int]] = {}
+        self.n, self.word, self.doc = array("q"), array("q"), []
+
+    def add(self, lang: str, k: int, text: str | None, n: int, doc, word: int) -> None:
+        known = self.at.setdefault((lang, k), {})
+        i = known.setdefault(text, self.size)
+        if i == self.size:
+            self.n.append(n)
+            self.word.append(word)
+            self.doc.append(doc)
+            self.size += 1
+            return
+        self.n[i] += n
+        if (doc is None, doc, word) < (self.doc[i] is None, self.doc[i], self.word[i]):
+            self.doc[i], self.word[i] = doc, word
+
+    def emitted(self, names: list[str]) -> pa.RecordBatch:
+        order, langs, lengths, texts = [], [], [], []
+        for (lang, k), known in self.at.items():
+            order += known.values()
+            texts += known
+            langs += [lang] * len(known)
+            lengths += [k] * len(known)
+        taken = np.array(order, dtype=np.int64)
+        columns = [langs, lengths, texts, np.array(self.n)[taken], None, np.array(self.word)[taken]]
+        arrays = [pa.array(c, t) for c, t in zip(columns, self.types, strict=True) if c is not None]
+        arrays.insert(4, pa.array(self.doc, self.types[4]).take(pa.array(taken)))
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _phrases(words: Words, langs: list[str], ids: list, marks: Marks) -> Iterator[tuple]:
+    """lang, k, phrase, how often, first doc_id and word: the marked phrases of some texts."""
     for row, n in _totals(words, langs).items():
-        yield (langs[row], 0, None), n, (True, None, 0)
+        yield langs[row], 0, None, n, None, 0
     numbers = words.numbers()
     offset = np.searchsorted(words.rows, words.rows)
     for k in range(1, LONGEST + 1):
         first, counts = _occurrences(words, k, numbers, marks)
         rows, places = words.rows[first].tolist(), (first - offset[first]).tolist()
         for text, n, row, word in zip(words.texts(first, k), counts.tolist(), rows, places, strict=True):
-            yield (langs[row], k, text), n, (ids[row] is None, ids[row], word)
+            yield langs[row], k, text, n, ids[row], word
 
 
 def _totals(words: Words, langs: list[str]) -> dict[int, int]:
@@ -295,7 +333,7 @@ def frequent_phrases(docs: DataFrame, least: int = FREQUENT, filter_bits: int =
     context = docs.sparkSession.sparkContext
     chunks: dict[int, bytes] = {}
     marks = None
-    for lengths in ([1, 2], list(range(3, LONGEST + 1))):
+    for lengths in ([2], list(range(3, LONGEST + 1))):
         for chunk, content in _marked(_frequent(docs, lengths, marks, least), filter_bits).items():
             known = np.frombuffer(chunks.get(chunk, bytes(_CHUNK // 8)), dtype=np.uint8)
             chunks[chunk] = (known | np.frombuffer(content, dtype=np.uint8)).tobytes()
