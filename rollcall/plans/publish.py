@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rollcall.plans import actions, checks, lists, measures, reports
 from rollcall.plans.tickets import tickets_all
 from rollcall.settings import Settings
-from rollcall.sinks import staged, write_change_file, write_report
+from rollcall.sinks import run_folder, staged, write_change_file, write_report
 from rollcall.sources.schemas import CONFIRMATION_ACTIONS
 from rollcall.sources.tables import Tables
 
@@ -30,8 +30,20 @@ def publish(
     """Writes facts, reports, lists with their checks, and measure totals under ``root``.
 
     ``earlier`` holds lists of an earlier version; their changes are written
-    too. Returns the folder of each output.
+    too. Returns the folder of each output. What is kept between steps is gone
+    in the end.
     """
+    with run_folder(tables["tickets"].sparkSession):
+        return _published(tables, specs, settings, root, earlier or {})
+
+
+def _published(
+    tables: Tables,
+    specs: Mapping[str, lists.ListSpec],
+    settings: Settings,
+    root: str,
+    earlier: Mapping[str, DataFrame],
+) -> dict[str, str]:
     written: dict[str, str] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
@@ -81,7 +93,7 @@ def publish(
         verdicts = staged(checks.checks_of_lists(listed, tables, specs, settings))
     for name, df in listed.items():
         write(f"checks_{name}", verdicts.filter(F.col("list") == name).drop("list"))
-        if earlier and name in earlier:
+        if name in earlier:
             write(f"summary_{name}", checks.snapshot_summary(earlier[name], df))
             written[f"changes_{name}"] = f"{root.rstrip('/')}/changes_{name}"
             write_change_file(checks.snapshot_diff(earlier[name], df), written[f"changes_{name}"])

@@ -4,20 +4,53 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Folders of the runs that are going on, by application, the innermost last.
+_RUNS: dict[str, list[str]] = {}
 
-def shared_path(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share.
 
-    That is the session's checkpoint folder; a temporary one only where none is
-    set.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's checkpoint folder.
+
+    Where none is set, a temporary folder will do on one machine only; on a
+    cluster each executor would write to a disk of its own, so that is an error.
     """
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    folder = folder or f"file://{tempfile.gettempdir()}/rollcall-staged"
-    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    if folder:
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return f"file://{tempfile.gettempdir()}/rollcall-{spark.sparkContext.applicationId}"
+    raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, within the folder of the run if one is going on."""
+    runs = _RUNS.get(spark.sparkContext.applicationId)
+    return f"{runs[-1] if runs else shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of the run's own for what it keeps between steps, deleted with all of it at the end.
+
+    For jobs that write their results elsewhere: what is read lazily from a table
+    kept here cannot be read after the run.
+    """
+    path = shared_path(spark)
+    runs = _RUNS.setdefault(spark.sparkContext.applicationId, [])
+    runs.append(path)
+    try:
+        yield path
+    finally:
+        runs.remove(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -27,7 +60,7 @@ def staged(df: DataFrame) -> DataFrame:
     no more than a stage.
     """
     path = shared_path(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
