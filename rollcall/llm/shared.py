@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.sinks import staged
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -23,17 +23,9 @@ def importable(spark: SparkSession) -> None:
         known["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one where the session names none."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return folder or f"file://{tempfile.gettempdir()}/rollcall-shared"
-
-
 def stored(df: DataFrame) -> DataFrame:
     """The rows, written once to the shared folder and read back, so that nothing is computed twice."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged(df)
 
 
 def text_or_empty(column: str = "text") -> Column:
