@@ -44,14 +44,18 @@ def source_targets(
     Weights repeat along the sources in code-point order, null last. Targets share all sizes by
     weight, stop at `most` times the source's size, and what is above is shared again by weight.
     """
-    spark = sizes.sparkSession
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ranked = (
-        totals.orderBy(F.col("source").asc_nulls_last())
-        .rdd.zipWithIndex()
-        .map(lambda row: (row[0][0], row[0][1], int(row[1])))
+    # Sources are numbered within ranges of their order, after the sources of earlier ranges.
+    order = F.asc_nulls_last("source")
+    ranges = stored(totals.repartitionByRange(order).withColumn("range", F.spark_partition_id()))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("range").agg(F.count("*").alias("n")).select(
+        "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
+    )
+    place = F.row_number().over(Window.partitionBy("range").orderBy(order)) - 1
+    table = ranges.withColumn("place", place).join(starts, "range").select(
+        "source", "source_size", (F.col("start") + F.col("place")).alias("rank")
     )
-    table = spark.createDataFrame(ranked, "source string, source_size long, rank long")
     weight = F.lit(float(weights[-1]))
     for i, w in enumerate(weights[:-1]):
         weight = F.when(F.col("rank") % len(weights) == i, float(w)).otherwise(weight)
@@ -185,7 +189,9 @@ def cube_mix(
     sized = stored(docs.select("doc_id", "source", words.alias("size"), F.spark_partition_id().alias("dealt")))
     targets = source_targets(sized, weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size", "copy_no")
+    # An empty doc_id and none are two things.
+    named = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("-"))
+    key = F.concat_ws(":", named, "size", "copy_no")
     mixed = stored(
         _numbered(sized)
         .join(

@@ -74,3 +74,24 @@ def test_equal_rows_are_numbered_in_parts(spark):
     # No window that numbers rows is over all that are equal.
     plan = numbered._jdf.queryExecution().optimizedPlan().toString()
     assert re.findall(r"row_number\(\) windowspecdefinition\(doc_id#\d+L?, source#\d+, size#\d+L?, dealt#", plan)
+
+
+def test_text_ids_empty_and_missing(spark):
+    rows = [("", "a b c", "s"), (None, "a b c", "s"), ("-", "a b c", "s"), ("x", "a b c", "s"), ("", "a b c", "s"), ("", "", "s"), ("x", "q", None), (None, "q", "")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    got = mixing.cube_mix(docs).collect()
+    assert sorted(((r.doc_id, r.size, r.source) for r in got), key=repr) == sorted(
+        ((d, len(t.split()), s) for d, t, s in rows), key=repr
+    )
+    of_s = [r for r in got if r.source == "s"]
+    assert sum(r.taken for r in of_s) == pytest.approx(of_s[0].target, abs=3)
+
+
+def test_sources_are_numbered_in_code_point_order(spark):
+    names = [f"s{i}" for i in range(300)] + ["", "é", "Z", "a", "\U0001f600", "￮", None]
+    docs = spark.createDataFrame([(name, 7) for name in names], "source string, size long").repartition(5)
+    got = {r[0]: r[2] for r in mixing.source_targets(docs, (3.0, 2.0, 1.0), most=9).collect()}
+    order = sorted((n for n in names if n is not None), key=lambda n: [ord(c) for c in n]) + [None]
+    weights = {name: (3.0, 2.0, 1.0)[i % 3] for i, name in enumerate(order)}
+    share = 7 * len(names) / sum(weights.values())
+    assert got == pytest.approx({name: w * share for name, w in weights.items()})
