@@ -98,7 +98,8 @@ def links(classes: DataFrame, max_bits: int = 3, segments: int = 4) -> DataFrame
     within = chains[0]
     for chain in chains[1:]:
         within |= chain
-    return one.join(other, ["start", "key"]).filter((F.col("u") < F.col("v")) & within).select("u", "v").distinct()
+    # Both sides are many times their table, whose size Spark goes by: neither is to be broadcast.
+    return one.join(other.hint("merge"), ["start", "key"]).filter((F.col("u") < F.col("v")) & within).select("u", "v").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 3, segments: int = 4, seed: int = 42) -> DataFrame:

@@ -105,3 +105,9 @@ def test_one_of_each_keeps_one_row_of_each_component(docs_of):
     for rows in (given, given[::-1]):
         kept = [(r.doc_id, (r.text or "").lower()) for r in simhash.one_of_each(docs_of(rows)).collect()]
         assert sorted(kept, key=repr) == sorted([(4, near), (None, other), (None, "")], key=repr)
+
+
+def test_exploded_sides_are_not_broadcast(spark):
+    classes = spark.range(1000).selectExpr("xxhash64(id) AS fp")
+    plan = simhash.links(classes)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
