@@ -182,16 +182,12 @@ def _measure_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     def over_actions(measure, *group_cols: str) -> Callable[[Tables], DataFrame]:
         return lambda t: measure(actions.confirmation_actions(t, s), list(group_cols), s)
 
-    # Measures that read the log for their groups and maxima too read a stored one.
-    def over_stored(measure, *group_cols: str) -> Callable[[Tables], DataFrame]:
-        return lambda t: measure(staged(actions.confirmation_actions(t, s)), list(group_cols), s)
-
     def over_event_actions(measure, *group_cols: str) -> Callable[[Tables], DataFrame]:
-        return lambda t: measure(staged(actions.ticket_actions(t, s)), list(group_cols), s)
+        return lambda t: measure(actions.ticket_actions(t, s), list(group_cols), s)
 
     def travel(*group_cols: str) -> Callable[[Tables], DataFrame]:
         return lambda t: measures.travel(
-            staged(actions.confirmation_actions(t, s)), tickets_all(t), list(group_cols), s
+            actions.confirmation_actions(t, s), tickets_all(t), list(group_cols), s
         )
 
     def health(*group_cols: str) -> Callable[[Tables], DataFrame]:
@@ -200,17 +196,17 @@ def _measure_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     return {
         "measures_confirmations": over_actions(measures.confirmations),
         "measures_confirmations_by_rep": over_actions(measures.confirmations, "user_email"),
-        "measures_confirmations_by_week_and_status": over_stored(
+        "measures_confirmations_by_week_and_status": over_actions(
             measures.confirmations, "week_label", "confirmation_status"
         ),
         "measures_businesses": lambda t: measures.businesses(t["customers"], [], s),
         "measures_week_over_week": over_actions(measures.week_over_week),
-        "measures_week_over_week_by_rep_and_week": over_stored(
+        "measures_week_over_week_by_rep_and_week": over_actions(
             measures.week_over_week, "user_email", "week_label"
         ),
         "measure_data_status": over_actions(measures.data_status),
-        "measures_depth": over_stored(measures.depth),
-        "measures_depth_by_week_and_status": over_stored(
+        "measures_depth": over_actions(measures.depth),
+        "measures_depth_by_week_and_status": over_actions(
             measures.depth, "week_start_date", "confirmation_status"
         ),
         "measures_travel": travel(),
@@ -219,7 +215,7 @@ def _measure_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         "measures_event_health_by_event": health("event_id"),
         "measures_event_health_by_status": health("confirmation_status"),
         "measures_confirmations_by_event": over_event_actions(measures.confirmations, "event_id"),
-        "measures_depth_by_rep": over_stored(measures.depth, "user_email"),
+        "measures_depth_by_rep": over_actions(measures.depth, "user_email"),
         "measures_travel_by_rep": travel("user_email"),
         "measures_event_health_undeclared": lambda t: measures.event_health(
             tickets_all(_repeated(t)), [], UNDECLARED
@@ -227,7 +223,7 @@ def _measure_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         "measures_outcomes": over_actions(measures.outcomes),
         "measures_outcomes_by_event": over_event_actions(measures.outcomes, "event_id"),
         "measure_days_to_dc": over_actions(measures.days_to_double),
-        "measure_days_to_dc_by_rep": over_stored(measures.days_to_double, "user_email"),
+        "measure_days_to_dc_by_rep": over_actions(measures.days_to_double, "user_email"),
         "measures_titled": lambda t: measures.with_titles(
             measures.confirmations(actions.confirmation_actions(t, s), ["week_label"], s)
         ),
@@ -257,9 +253,8 @@ def _context_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     s = SETTINGS
 
     def model(t: Tables) -> contexts.Model:
-        # The log is read for groups and for values, so it is stored.
         return contexts.Model(
-            staged(actions.confirmation_actions(t, s)), tickets_all(t), t["dim_event"], t["customers"],
+            actions.confirmation_actions(t, s), tickets_all(t), t["dim_event"], t["customers"],
             t["dim_employee"],
         )
 

@@ -15,11 +15,11 @@ aggregate, the others count for the measures that leave their column alone.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions.dates import clock_text, days_between
@@ -30,7 +30,7 @@ from rollcall.functions.predicates import (
     is_confirmed,
     is_double_confirmed,
 )
-from rollcall.operators.aggregates import count_distinct_where, together
+from rollcall.operators.aggregates import together
 from rollcall.settings import Settings
 
 # Restrictions by column: column name -> test on the row.
@@ -122,26 +122,57 @@ def _left_alone(group_cols: Sequence[str], filters: Filters) -> tuple[str, ...]:
     return tuple(c for c in group_cols if c not in filters)
 
 
-def _spread(groups: DataFrame, values: DataFrame, grain: Sequence[str]) -> DataFrame:
-    """Adds the values of the coarser grain to every group they hold for."""
-    names = [c for c in values.columns if c not in grain]
-    if not grain:
-        return groups.withColumns({n: values.select(n).scalar() for n in names})
-    renamed = values.withColumnsRenamed({c: f"_g_{c}" for c in grain})
-    same = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in grain]
-    )
-    return groups.join(renamed, same, "left").drop(*[f"_g_{c}" for c in grain])
+def _over_groups(
+    rows: DataFrame,
+    group_cols: Sequence[str],
+    values: Mapping[str, tuple[tuple[str, ...], Callable]],
+    shown: Filters,
+) -> DataFrame:
+    """Rows that hold their part of each value, combined per group and then over the groups that
+    share the value's grain.
+
+    ``values`` has the grain of each value and how parts combine. The rows are read once: a value of a
+    coarser grain is spread by a window over the groups, of which there are few.
+    """
+    parts = [combine(name).alias(name) for name, (_, combine) in values.items()]
+    grouped = rows.groupBy(*group_cols).agg(*parts, *([F.max("_shown").alias("_shown")] if shown else []))
+    spread = {
+        name: combine(name).over(Window.partitionBy(*grain))
+        for name, (grain, combine) in values.items()
+        if grain != tuple(group_cols)
+    }
+    if spread:
+        grouped = grouped.withColumns(spread)
+    # The total is there whether or not it has rows.
+    return grouped.filter("_shown = 1") if shown and group_cols else grouped
 
 
-def _per_group(
-    facts: DataFrame, group_cols: Sequence[str], by_grain: dict, shown: Filters = NOTHING
+def _per_ticket(
+    facts: DataFrame, group_cols: Sequence[str], values: Mapping[str, tuple], shown: Filters
 ) -> DataFrame:
-    """Joins the values of each grain onto the groups of the facts that are shown."""
-    if list(by_grain) == [tuple(group_cols)] and (not shown or not group_cols):
-        return by_grain[tuple(group_cols)]
-    groups = where(facts, shown).select(*group_cols).distinct()
-    return reduce(lambda left, item: _spread(left, item[1], item[0]), by_grain.items(), groups)
+    """One row per group and ticket; ``values`` has the grain of each value, its column, and how rows
+    combine.
+
+    A ticket that is in several groups of one grain counts once there: the first of its rows has the
+    value of all of them, the others have none.
+    """
+    known = [F.max(flag(_all(shown))).alias("_shown")] if shown else []
+    rows = facts.groupBy(*together(group_cols, "ticket_id")).agg(
+        *[combine(column).alias(name) for name, (_, column, combine) in values.items()], *known
+    )
+    coarser = {grain for grain, _, _ in values.values() if grain != tuple(group_cols)}
+    for grain in sorted(coarser):
+        of_ticket = Window.partitionBy(*together(grain, "ticket_id"))
+        rest = [c for c in group_cols if c not in grain]
+        first = F.row_number().over(of_ticket.orderBy(*rest)) == 1
+        rows = rows.withColumns(
+            {
+                name: F.when(first, combine(name).over(of_ticket))
+                for name, (its, _, combine) in values.items()
+                if its == grain
+            }
+        )
+    return rows
 
 
 def count_tickets(
@@ -150,21 +181,31 @@ def count_tickets(
     measures: dict[str, Filters],
     id_is_unique: bool = False,
     shown: Filters = NOTHING,
+    maxima: Mapping[str, tuple[Filters, Column]] = NOTHING,
 ) -> DataFrame:
-    """Distinct tickets per group for each measure."""
-    replaced = {column for filters in measures.values() for column in filters}
+    """Distinct tickets per group for each measure, and the greatest value of each of ``maxima`` on
+    rows that pass its tests; the facts are read once."""
+    filters_of = {**measures, **{name: filters for name, (filters, _) in maxima.items()}}
+    replaced = {column for filters in filters_of.values() for column in filters}
     partly = {column: test for column, test in shown.items() if column in replaced}
     facts = where(facts, _but(shown, replaced))
-    grains: dict[tuple[str, ...], dict[str, Column]] = {}
-    for name, filters in measures.items():
+    values = {}
+    for name, filters in filters_of.items():
         test = _all({**_but(partly, filters), **filters})
-        grains.setdefault(_left_alone(group_cols, filters), {})[name] = test
-    counted = {
-        grain: count_distinct_where(facts, grain, "ticket_id", tests, id_is_unique)
-        for grain, tests in grains.items()
+        column = flag(test & F.col("ticket_id").isNotNull())
+        if name in maxima:
+            column = F.when(test, maxima[name][1])
+        values[name] = (_left_alone(group_cols, filters), column, F.max)
+    if id_is_unique:
+        known = [flag(_all(partly)).alias("_shown")] if partly else []
+        rows = facts.select(*group_cols, *[column.alias(name) for name, (_, column, _) in values.items()], *known)
+    else:
+        rows = _per_ticket(facts, group_cols, values, partly)
+    totals = {
+        name: (grain, F.max if name in maxima else F.sum) for name, (grain, _, _) in values.items()
     }
-    wide = _per_group(facts, group_cols, counted, partly)
-    return wide.select(*group_cols, *[F.coalesce(n, F.lit(0)).alias(n) for n in measures])
+    wide = _over_groups(rows, group_cols, totals, partly)
+    return wide.select(*group_cols, *[F.coalesce(n, F.lit(0)).alias(n) for n in filters_of])
 
 
 def ratio(part: str, whole: str) -> Column:
@@ -249,7 +290,8 @@ def depth(
     first = _equals("ticket_confirmation_rank", 1)
     today = {"action_date_az": F.col("action_date_az") == settings.today}
     repeated = {"ticket_status_action_count": F.col("ticket_status_action_count") >= 2}
-    counted = count_tickets(
+    touches = F.col("ticket_status_action_count")
+    return count_tickets(
         actions,
         group_cols,
         {
@@ -259,20 +301,10 @@ def depth(
             "tickets_confirmed_2plus": {**confirmed, **repeated},
         },
         shown=shown,
-    )
-    touches, status = F.col("ticket_status_action_count"), F.col("confirmation_status")
-    fixed = _with_status(is_confirmed)
-    grain = _left_alone(group_cols, fixed)
-    most = where(actions, _but(shown, fixed)).groupBy(*grain).agg(
-        F.max(F.when(is_confirmed(status), touches)).alias("times_confirmed"),
-        F.max(F.when(is_double_confirmed(status), touches)).alias("times_double_confirmed"),
-    )
-    zero = F.lit(0)
-    return _spread(counted, most, grain).withColumns(
-        {
-            "times_confirmed": F.coalesce("times_confirmed", zero),
-            "times_double_confirmed": F.coalesce("times_double_confirmed", zero),
-        }
+        maxima={
+            "times_confirmed": (_with_status(is_confirmed), touches),
+            "times_double_confirmed": (_with_status(is_double_confirmed), touches),
+        },
     )
 
 
@@ -390,15 +422,16 @@ def days_to_double(
     """
     fixed = {**_by_rep(), **_with_status(is_any_confirmed)}
     grain = _left_alone(group_cols, fixed)
-    actions = where(actions, _but(shown, fixed))
     partly = {column: test for column, test in shown.items() if column in fixed}
     day, status = F.col("action_date_az"), F.col("confirmation_status")
     by_rep = F.col("is_rep_action") == 1
-    per_ticket = actions.groupBy(*together(grain, "ticket_id")).agg(
-        F.min(F.when(by_rep & is_confirmed(status), day)).alias("first_confirmed"),
-        F.min(F.when(by_rep & is_double_confirmed(status), day)).alias("first_double"),
-    )
-    days = days_between(F.col("first_confirmed"), F.col("first_double"))
-    mean = per_ticket.groupBy(*grain).agg(F.avg(days).alias("avg_days_to_dc"))
-    wide = _per_group(actions, group_cols, {grain: mean}, partly)
-    return wide.select(*group_cols, "avg_days_to_dc")
+    values = {
+        "first_confirmed": (grain, F.when(by_rep & is_confirmed(status), day), F.min),
+        "first_double": (grain, F.when(by_rep & is_double_confirmed(status), day), F.min),
+    }
+    per_ticket = _per_ticket(where(actions, _but(shown, fixed)), group_cols, values, partly)
+    days = days_between(F.col("first_confirmed"), F.col("first_double")).cast("bigint")
+    parts = per_ticket.withColumns({"_days": days, "_n": flag(days.isNotNull())})
+    wide = _over_groups(parts, group_cols, {"_days": (grain, F.sum), "_n": (grain, F.sum)}, partly)
+    mean = F.try_divide(F.col("_days").cast("double"), F.col("_n"))
+    return wide.select(*group_cols, mean.alias("avg_days_to_dc"))
