@@ -9,9 +9,9 @@ that also hold language and number of words.
                be frequent if its parts are, so pairs of words are counted first, then those phrases of
                three and four words all of whose pairs are frequent. Of single words, those in a
                frequent pair matter: only they can be part of a cut.
-  filter       frequent fingerprints are marked in a bitmap of `filter_bits` bits, which is all that
-               tasks are given; its size does not grow with the data. A mark can stand for another
-               fingerprint too: then more is counted than need be, nothing is missed.
+  filter       frequent fingerprints are marked by three bits each in a bitmap of 2 ** `filter_bits` bits,
+               which is all that tasks are given; its size does not grow with the data. Marks can stand
+               for another fingerprint too: then more is counted than need be, nothing is missed.
   materialise  occurrences whose fingerprint is marked are grouped in each batch, with a pointer to
                the first of them. Each occurrence is compared with the text at its pointer: words byte by
                byte, phrases word by word; where a fingerprint collides, they are told apart by
@@ -154,7 +154,7 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Words]]:
 
 
 class Marks:
-    """A bitmap of fingerprints, by their leading bits."""
+    """A bitmap of fingerprints: three places each, from their highest, next and lowest bits."""
 
     def __init__(self, bits: int, chunks: dict[int, bytes]):
         self.bits = bits
@@ -164,8 +164,17 @@ class Marks:
             self.map[at : at + len(content)] |= np.frombuffer(content, dtype=np.uint8)
 
     def holds(self, fingerprints: np.ndarray) -> np.ndarray:
-        place = (fingerprints >> np.uint64(64 - self.bits)).astype(np.int64)
-        return (self.map[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+        kept = np.ones(len(fingerprints), dtype=bool)
+        for left in self.shifts(self.bits):
+            at = np.flatnonzero(kept)
+            place = ((fingerprints[at] << np.uint64(left)) >> np.uint64(64 - self.bits)).astype(np.int64)
+            kept[at] = (self.map[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+        return kept
+
+    @staticmethod
+    def shifts(bits: int) -> tuple[int, ...]:
+        """By how much a fingerprint is shifted to the left for the bits of each place to lead."""
+        return 0, bits, 64 - bits
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
@@ -208,8 +217,11 @@ def _frequent(docs: DataFrame, lengths: list[int], marks, least: int) -> DataFra
 
 def _marked(frequent: DataFrame, bits: int) -> dict[int, bytes]:
     """The bitmap of these fingerprints, in chunks; no larger than the whole bitmap."""
-    place = F.shiftrightunsigned("fp", 64 - bits)
-    places = frequent.select((place / _CHUNK).cast("int").alias("chunk"), (place % _CHUNK).cast("int").alias("at"))
+    shifted = [F.shiftrightunsigned(F.shiftleft("fp", left), 64 - bits) for left in Marks.shifts(bits)]
+    place = F.col("place")
+    places = frequent.select(F.explode(F.array(*shifted)).alias("place")).select(
+        (place / _CHUNK).cast("int").alias("chunk"), (place % _CHUNK).cast("int").alias("at")
+    )
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         marks = np.zeros(_CHUNK, dtype=np.uint8)
