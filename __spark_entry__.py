@@ -7,6 +7,7 @@ folder; the expected results are DuckDB SQL over the same files.
 from __future__ import annotations
 
 import importlib.util
+import re
 import sys
 from collections.abc import Callable
 from functools import reduce
@@ -18,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracle import duckdb_sql as sql
-from rollcall.plans import actions, checks, contexts, lists, measures, reports
+from rollcall.plans import actions, checks, contexts, increments, lists, measures, reports
 from rollcall.plans.tickets import ghost_tickets, tickets_all
-from rollcall.sinks import shared_path, staged, write_change_file
+from rollcall.sinks import in_file_order, shared_path, staged, write_change_file, write_report
 from rollcall.sources.sample import FLAGSHIP, PATTERNS, SETTINGS, UNDECLARED, sample_tables
 from rollcall.sources.tables import Tables
 
@@ -81,6 +82,27 @@ def _fact_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     }
 
 
+def _kept_log_queries() -> dict[str, Callable[[Tables], DataFrame]]:
+    s = SETTINGS
+
+    def kept(t: Tables) -> DataFrame:
+        """The touches of the history, kept by day and brought up to date in three runs: the third
+        brings the last days, late rows of earlier ones, and rows that are there already."""
+        history = t["history"]
+        path = shared_path(history.sparkSession)
+        late = F.col("ticket_id").endswith("3")
+        early = F.col("changed_at") < F.lit("2024-01-12 18:00:00").cast("timestamp_ntz")
+        middle = F.col("changed_at") < F.lit("2024-01-21 03:00:00").cast("timestamp_ntz")
+        increments.record(history.filter(early & ~late), s, path)
+        increments.record(history.filter(middle & ~early & ~late), s, path)
+        return increments.record(history.filter(late | ~middle | F.col("ticket_id").endswith("1")), s, path)
+
+    return {
+        "unique_actions_kept": lambda t: actions.all_actions(kept(t), t, s),
+        "confirmation_actions_kept": lambda t: actions.confirmation_actions(t, s, kept(t)),
+    }
+
+
 def _report_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     s = SETTINGS
 
@@ -315,6 +337,51 @@ def _context_queries() -> dict[str, Callable[[Tables], DataFrame]]:
     }
 
 
+# --- order of rows ---------------------------------------------------------------
+
+# The columns by which a report is ordered, as far as it shows them, in DuckDB's words.
+ORDERS = {
+    "event_overview": "event_date DESC NULLS LAST, event_name NULLS FIRST, event_code NULLS FIRST",
+    "rep_performance": "action_date DESC NULLS LAST, tickets_confirmed DESC, rep_email NULLS FIRST, "
+    "event_name NULLS FIRST, confirmation_status NULLS FIRST",
+    "daily_activity": "action_date DESC NULLS LAST, event_type NULLS FIRST, tickets_confirmed DESC, "
+    "event_name NULLS FIRST, confirmation_status NULLS FIRST, confirmation_touch_source NULLS FIRST",
+    "depth_per_ticket": "event_date DESC NULLS LAST, confirmation_status NULLS FIRST, "
+    "times_confirmed_to_this_status NULLS FIRST",
+    "depth_per_company": "event_date DESC NULLS LAST, total_confirmed_tickets DESC",
+    "attendance_outcomes": "event_date DESC NULLS LAST, confirmation_status NULLS FIRST, "
+    "ticket_status NULLS FIRST",
+    # A category that is missing is shown as Not Confirmed and comes first.
+    "travel_status": "event_date ASC NULLS FIRST, nullif(travel_category, 'Not Confirmed') NULLS FIRST",
+    "outreach_queue": "event_date NULLS FIRST, outreach_restriction NULLS FIRST, "
+    "company_name NULLS FIRST, attendee_name NULLS FIRST, ticket_id NULLS FIRST",
+    "roster": "is_reset_ghost NULLS FIRST, company_name NULLS FIRST, attendee_name NULLS FIRST, "
+    "ticket_id NULLS FIRST",
+    **{f"list_{name}": '"Queue Start Date" NULLS FIRST, "CV Customer ID" NULLS FIRST' for name in SPECS},
+}
+
+
+def _ordered_columns(name: str) -> list[str]:
+    plain = re.sub(r"nullif\((\w+), '[^']*'\)", r"\1", ORDERS[name])
+    return [re.match(r'"[^"]+"|\w+', term)[0].strip('"') for term in plain.split(", ")]
+
+
+def _order_queries() -> dict[str, Callable[[Tables], DataFrame]]:
+    """Position and columns of order of each report as it is written to files."""
+    made = {**_report_queries(), **_list_queries()}
+
+    def ordered(name: str) -> Callable[[Tables], DataFrame]:
+        def build(t: Tables) -> DataFrame:
+            report = made[name](t)
+            path = shared_path(report.sparkSession)
+            write_report(report, path)
+            return in_file_order(report.sparkSession, path).select("position", *_ordered_columns(name))
+
+        return build
+
+    return {f"order_{name}": ordered(name) for name in ORDERS}
+
+
 # --- checks ----------------------------------------------------------------------
 
 
@@ -405,7 +472,7 @@ def queries() -> dict[str, Query]:
     """One entry per query, each taking (spark, folder of parquet files)."""
     groups = [
         _fact_queries(), _report_queries(), _list_queries(), _measure_queries(), _context_queries(),
-        _check_queries(),
+        _check_queries(), _kept_log_queries(), _order_queries(),
     ]
     found = {name: _over(build) for group in groups for name, build in group.items()}
     if text_queries:
@@ -454,6 +521,23 @@ def _fact_sql() -> dict[str, str]:
     }
 
 
+def _kept_log_sql() -> dict[str, str]:
+    """However the history comes in, the log is that of the whole of it."""
+    facts = _fact_sql()
+    return {f"{name}_kept": facts[name] for name in ("unique_actions", "confirmation_actions")}
+
+
+def _order_sql() -> dict[str, str]:
+    reports_sql = {**_report_sql(), **_list_sql()}
+    found = {}
+    for name, order in ORDERS.items():
+        columns = ", ".join(f'"{c}"' for c in _ordered_columns(name))
+        found[f"order_{name}"] = (
+            f"SELECT row_number() OVER (ORDER BY {order}) AS position, {columns} FROM ({reports_sql[name]}) r"
+        )
+    return found
+
+
 def _report_sql() -> dict[str, str]:
     q = sql.query
     company = "JOIN b_customers c ON c.id = t.customer_id"
@@ -877,6 +961,7 @@ def oracle_sql() -> dict[str, str]:
     """The expected result of each query as DuckDB SQL over the same files."""
     groups = [
         _fact_sql(), _report_sql(), _list_sql(), _measure_sql(), _context_sql(), _check_sql(),
+        _kept_log_sql(), _order_sql(),
     ]
     found = {name: text for group in groups for name, text in group.items()}
     if text_queries:

@@ -154,19 +154,31 @@ def _reduced(touches: DataFrame) -> DataFrame:
     )
 
 
+def reduced_touches(history: DataFrame, settings: Settings) -> DataFrame:
+    """The history's touches reduced to actions; so are several such tables together by ``merged``."""
+    return _reduced(_by_source(history_touches(history, settings)))
+
+
+def merged(*reduced: DataFrame) -> DataFrame:
+    """Several tables of reduced touches as one: minima of minima, flags of flags."""
+    return _reduced(reduce(DataFrame.unionByName, reduced))
+
+
 def recorded_actions(tables: Tables, settings: Settings) -> DataFrame:
     """The history's touches reduced to actions, in the shared folder.
 
     Everything that the action log takes from the history comes from this
     table, so the history itself is read once.
     """
-    return staged(_reduced(_by_source(history_touches(tables["history"], settings))))
+    return staged(reduced_touches(tables["history"], settings))
 
 
-def _all_actions(recorded: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+def all_actions(recorded: DataFrame, tables: Tables, settings: Settings) -> DataFrame:
+    """All touches, the earliest per actor, ticket, status and day, from the reduced touches of the
+    history and the tickets."""
     in_history = recorded.filter(F.col(f"_has{_STATUS}") == 1).select("ticket_id").distinct()
     earlier = _unrecorded_touches(tables["tickets"], in_history, settings)
-    merged = _reduced(recorded.unionByName(_by_source(earlier)))
+    together = merged(recorded, _by_source(earlier))
     earliest = F.least(*[F.col(f"_ts{n}") for n in range(len(_SOURCES))])
     # Touches without a time have no day either, so they form groups of their own.
     first_source = F.coalesce(
@@ -176,14 +188,14 @@ def _all_actions(recorded: DataFrame, tables: Tables, settings: Settings) -> Dat
         ]
     )
     return conform(
-        merged.withColumns({"action_ts_az": earliest, "confirmation_touch_source": first_source}),
+        together.withColumns({"action_ts_az": earliest, "confirmation_touch_source": first_source}),
         TOUCHES,
     )
 
 
 def unique_actions(tables: Tables, settings: Settings) -> DataFrame:
     """All touches, the earliest per actor, ticket, status and day."""
-    return _all_actions(recorded_actions(tables, settings), tables, settings)
+    return all_actions(recorded_actions(tables, settings), tables, settings)
 
 
 def _first_rep_status_date(history: DataFrame, settings: Settings) -> DataFrame:
@@ -329,10 +341,17 @@ def _ranked(actions: DataFrame) -> DataFrame:
     )
 
 
-def action_detail(tables: Tables, settings: Settings) -> DataFrame:
-    """The action log with the current state of each action's ticket attached."""
-    recorded = recorded_actions(tables, settings)
-    actions = _all_actions(recorded, tables, settings)
+def action_detail(
+    tables: Tables, settings: Settings, recorded: DataFrame | None = None
+) -> DataFrame:
+    """The action log with the current state of each action's ticket attached.
+
+    ``recorded`` has the reduced touches where they are kept between runs
+    (``increments.py``); the history is not read then.
+    """
+    if recorded is None:
+        recorded = recorded_actions(tables, settings)
+    actions = all_actions(recorded, tables, settings)
     ranked = _ranked(_enriched(actions, _ticket_facts(recorded, tables, settings)))
 
     # The touch order is total, so the last touch is the one ranked highest.
@@ -344,8 +363,10 @@ def action_detail(tables: Tables, settings: Settings) -> DataFrame:
     )
 
 
-def confirmation_actions(tables: Tables, settings: Settings) -> DataFrame:
-    return action_detail(tables, settings).select(*CONFIRMATION_ACTIONS)
+def confirmation_actions(
+    tables: Tables, settings: Settings, recorded: DataFrame | None = None
+) -> DataFrame:
+    return action_detail(tables, settings, recorded).select(*CONFIRMATION_ACTIONS)
 
 
 def of_live_tickets(detail: DataFrame) -> DataFrame:

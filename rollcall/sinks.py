@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Folders of the runs that are going on, by application, the innermost last.
@@ -69,6 +69,23 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def in_file_order(spark: SparkSession, path: str) -> DataFrame:
+    """A written report with the position of each row in its files, from 1, as column ``position``.
+
+    Rows are counted per file; no task reads more than a file of them.
+    """
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    # Numbers of files are padded with zeros up to a length; longer names come later.
+    earlier = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n")).select(
+        "_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")
+    )
+    placed = rows.join(files, "_file").withColumn("position", F.col("_start") + F.col("_row") + 1)
+    return placed.drop("_file", "_row", "_start")
+
+
 def write_change_file(changes: DataFrame, path: str) -> None:
     """Writes (cv_customer_id, change) as CSV, removals first, each part by id.
 
