@@ -19,7 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracle import duckdb_sql as sql
-from rollcall.plans import actions, checks, contexts, increments, lists, measures, reports
+from rollcall.plans import (
+    actions,
+    checks,
+    contexts,
+    increments,
+    lists,
+    measures,
+    reports,
+    versions as kept_versions,
+)
 from rollcall.plans.tickets import ghost_tickets, tickets_all
 from rollcall.sinks import in_file_order, shared_path, staged, write_change_file, write_report
 from rollcall.sources.sample import FLAGSHIP, PATTERNS, SETTINGS, UNDECLARED, sample_tables
@@ -450,8 +459,17 @@ def _check_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         ]
         return reduce(DataFrame.unionByName, files)
 
+    def kept_diff(t: Tables) -> DataFrame:
+        """The same from two kept versions, of which only the buckets that differ are read."""
+        old, new = versions(t)
+        folder = shared_path(old.sparkSession)
+        kept_versions.keep(old, f"{folder}/old")
+        kept_versions.keep(new, f"{folder}/new")
+        return kept_versions.changes(old.sparkSession, f"{folder}/old", f"{folder}/new")
+
     return {
         "change_file": change_file,
+        "snapshot_diff_kept": kept_diff,
         "checks_consistency": consistency,
         "checks_population": lambda t: checks.population_checks(listed(t), t, SPECS, s),
         "checks_recount": lambda t: checks.recount_checks(listed(t), t, SPECS, s),
@@ -940,6 +958,7 @@ SELECT '{name}' AS "column", count(*) FILTER ("{name}" IS NULL OR "{name}"::VARC
         ),
         "change_file": of_each(lambda n: f"SELECT * FROM {diff(n)} d"),
         "snapshot_diff": of_each(lambda n: f"SELECT * FROM {diff(n)} d"),
+        "snapshot_diff_kept": of_each(lambda n: f"SELECT * FROM {diff(n)} d"),
         "snapshot_summary": of_each(
             lambda n: f"""
 SELECT (SELECT count(*) FROM d_{n}_old_ids) AS old_businesses,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rollcall.plans import actions, checks, lists, measures, reports
 from rollcall.plans.tickets import tickets_all
 from rollcall.settings import Settings
-from rollcall.sinks import run_folder, staged, write_change_file, write_report
+from rollcall.sinks import run_folder, staged, write_bucketed, write_change_file, write_report
 from rollcall.sources.schemas import CONFIRMATION_ACTIONS
 from rollcall.sources.tables import Tables
 
@@ -26,15 +26,20 @@ def publish(
     settings: Settings,
     root: str,
     earlier: Mapping[str, DataFrame] | None = None,
+    buckets: int = 0,
+    recorded: DataFrame | None = None,
 ) -> dict[str, str]:
     """Writes facts, reports, lists with their checks, and measure totals under ``root``.
 
     ``earlier`` holds lists of an earlier version; their changes are written
-    too. Returns the folder of each output. What is kept between steps is gone
-    in the end.
+    too. With ``buckets``, both facts are tables of the catalog (``rollcall_`` and
+    their name) in so many buckets of the ticket id, and what selects or counts
+    tickets does not shuffle them. ``recorded`` has the touches kept between runs
+    (``increments.py``). Returns the folder of each output. What is kept between
+    steps is gone in the end.
     """
     with run_folder(tables["tickets"].sparkSession):
-        return _published(tables, specs, settings, root, earlier or {})
+        return _published(tables, specs, settings, root, earlier or {}, buckets, recorded)
 
 
 def _published(
@@ -43,6 +48,8 @@ def _published(
     settings: Settings,
     root: str,
     earlier: Mapping[str, DataFrame],
+    buckets: int,
+    recorded: DataFrame | None,
 ) -> dict[str, str]:
     written: dict[str, str] = {}
 
@@ -51,12 +58,19 @@ def _published(
         write_report(df, written[name])
         return df.sparkSession.read.parquet(written[name])
 
-    all_tickets = write("tickets_all", tickets_all(tables))
+    def write_fact(name: str, df: DataFrame) -> DataFrame:
+        if not buckets:
+            return write(name, df)
+        written[name] = f"{root.rstrip('/')}/{name}"
+        return write_bucketed(df, f"rollcall_{name}", written[name], "ticket_id", buckets)
+
+    all_tickets = write_fact("tickets_all", tickets_all(tables))
     # The log with what reports take from its ticket, clustered by ticket: no report joins
     # the two facts again. Touches of one ticket may lie in several files.
-    detail = actions.action_detail(tables, settings).repartitionByRange("ticket_id", "action_time_az")
+    detail = actions.action_detail(tables, settings, recorded)
+    detail = detail.repartitionByRange("ticket_id", "action_time_az")
     detail = write("action_detail", detail.sortWithinPartitions("ticket_id"))
-    log = write("confirmation_actions", detail.select(*CONFIRMATION_ACTIONS))
+    log = write_fact("confirmation_actions", detail.select(*CONFIRMATION_ACTIONS))
     done = actions.of_live_tickets(detail)
     events, attendees, customers = (
         tables[name] for name in ("dim_event", "attendees", "customers")

@@ -69,6 +69,24 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Writes a table in buckets of a key, sorted within them, and returns it from the catalog.
+
+    What joins or groups such tables by the key, or by more than it, needs no
+    shuffle. A bucket has all rows of its keys, so this is for tables whose keys
+    have few rows each.
+    """
+    (
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)
+
+
 def in_file_order(spark: SparkSession, path: str) -> DataFrame:
     """A written report with the position of each row in its files, from 1, as column ``position``.
 
