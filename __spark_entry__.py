@@ -442,7 +442,9 @@ def _check_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         return checks.rerun_check(listed(t), listed(again), SPECS)
 
     def versions(t: Tables) -> tuple[DataFrame, DataFrame]:
-        return listed(_earlier(t)), listed(t)
+        """The ids on each list, of an earlier version and of this one."""
+        sides = [lists.listed_ids(tables, SPECS, s) for tables in (_earlier(t), t)]
+        return tuple(ids.withColumnRenamed("cv_customer_id", checks.CV) for ids in sides)
 
     def change_file(t: Tables) -> DataFrame:
         """The change file of each list, read back."""
@@ -463,8 +465,8 @@ def _check_queries() -> dict[str, Callable[[Tables], DataFrame]]:
         """The same from two kept versions, of which only the buckets that differ are read."""
         old, new = versions(t)
         folder = shared_path(old.sparkSession)
-        kept_versions.keep(old, f"{folder}/old")
-        kept_versions.keep(new, f"{folder}/new")
+        kept_versions.keep(old, f"{folder}/old", buckets=16)
+        kept_versions.keep(new, f"{folder}/new", buckets=16)
         return kept_versions.changes(old.sparkSession, f"{folder}/old", f"{folder}/new")
 
     return {

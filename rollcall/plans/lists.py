@@ -599,6 +599,22 @@ def business_rows(tables: Tables, specs: Specs, settings: Settings) -> DataFrame
     return reduce(met("left"), optional, reduce(met("inner"), needed, ticket_rollup(scoped, settings)))
 
 
+def listed_ids(tables: Tables, specs: Specs, settings: Settings) -> DataFrame:
+    """CRM ids of the businesses on the lists, without making the rest of their rows.
+
+    These are the businesses with a ticket for the product and any contact.
+    """
+    tables = of_businesses_with(tables, specs)
+    scoped = with_their_sale(listed_tickets(tables, specs), tables)
+    keys = keys_of(scoped)
+    holders = scoped.select(*keys).distinct()
+    with_contact = holders.join(shared_contacts(tables), "customer_id", "left_semi").select(*keys)
+    buyers = purchaser_contacts(scoped, settings).select(*keys)
+    customers = tables["customers"].select(F.col("id").alias("customer_id"), "cv_customer_id")
+    listed = with_contact.unionByName(buyers).distinct().join(customers, "customer_id")
+    return listed.drop("customer_id")
+
+
 def customer_list(tables: Tables, spec: ListSpec, settings: Settings) -> DataFrame:
     """The list of one product, longest in queue first."""
     return _shown(business_rows(tables, {"": spec}, settings), spec, settings)

@@ -338,3 +338,13 @@ def test_activity_counts_tickets_of_every_product(make, rows):
         ],
     )
     assert rows(lists.last_activity(tables, "Alpha")) == [(1, date(2024, 1, 9), date(2024, 1, 1), date(2024, 1, 5), None)]
+
+
+def test_ids_alone_equal_those_of_the_lists(spark, rows):
+    tables = sample_tables(spark, SMALL)
+    specs = {"alpha": SPEC, "vip": lists.ListSpec("VIP", "small")}
+    made = lists.customer_lists(tables, specs, SETTINGS)
+    expected = [(name, r[0]) for name, df in made.items() for r in df.select("CV Customer ID").collect()]
+    assert rows(lists.listed_ids(tables, specs, SETTINGS), "list", "cv_customer_id") == sorted(expected, key=repr)
+    alone = lists.listed_ids(tables, {"": SPEC}, SETTINGS)
+    assert [(r[0],) for r in rows(alone)] == rows(made["alpha"], "CV Customer ID")
