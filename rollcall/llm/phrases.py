@@ -5,18 +5,18 @@ the bytes of many documents at once. Prefix polynomials give the hash of every w
 time and, over the words' hashes, that of every run of words within a piece: its fingerprint, 64 bits
 that also hold language and number of words.
 
-  count        fingerprints are counted in each batch and shuffled with their counts. A phrase can only
-               be frequent if its parts are, so pairs of words are counted first, then those phrases of
-               three and four words all of whose pairs are frequent. Of single words, those in a
-               frequent pair matter: only they can be part of a cut.
+  count        fingerprints are counted in each batch and shuffled with their counts and the pointer to an
+               occurrence: the part of the documents that it is in, by a hash of the text, the least of all.
+               A phrase can only be frequent if its parts are, so words and pairs are counted
+               first, then those phrases of three and four words all of whose pairs are frequent.
   filter       frequent fingerprints are marked by three bits each in a bitmap of 2 ** `filter_bits` bits,
                which is all that tasks are given; its size does not grow with the data. Marks can stand
                for another fingerprint too: then more is counted than need be, nothing is missed.
-  materialise  occurrences whose fingerprint is marked are grouped in each batch, with a pointer to
-               the first of them. Each occurrence is compared with the text at its pointer: words byte by
-               byte, phrases word by word; where a fingerprint collides, they are told apart by
-               their words. Only then a phrase becomes text, once for each group, and the counts and
-               pointers of equal phrases are brought together. So counts are exact.
+  materialise  only documents of the part that a frequent fingerprint points to give its text. So there is
+               about one row for each frequent phrase, however many tasks and occurrences there are.
+  verify       a fingerprint goes with 28 bits of another hash, made from other sums over the bytes; where
+               phrases collide in the first they are counted apart by the second. Should the
+               texts at the pointers of one fingerprint differ all the same, the query ends with an error.
 
 What is shuffled first is at most a row for each different fingerprint of a batch, reduced by a plain
 sum. The rest works on frequent phrases only, with joins on language and phrase. The best phrases of a
@@ -28,7 +28,6 @@ columns are ignored, an empty table gives an empty result. A long text is hashed
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +39,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from rollcall.llm.shared import stored
 from rollcall.llm.winnowing import Rolling, spread
@@ -56,12 +54,13 @@ _CHUNK = 1 << 16
 #: Bytes of text treated at a time, and of a window of prefix sums.
 _GROUP, _WINDOW = 3 << 20, 1 << 20
 _PARTS = 64
-#: Phrases that a task counts before it passes them on.
-_HELD = 250_000
+#: Bits of the part of the documents, and of the second hash.
+_PART, _CHECK = 16, 28
 _CAPITALS = bytes(range(65, 91))
 _LOWER = bytes.maketrans(_CAPITALS, _CAPITALS.lower())
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = np.random.default_rng(1987).integers(1, 1 << 63, 256, dtype=np.uint64)
+_OTHER_BYTES = np.random.default_rng(1988).integers(1, 1 << 63, 256, dtype=np.uint64)
 _APART = np.zeros(256, dtype=np.uint8)
 _APART[list(b" \t")] = 1
 _APART[list(_PIECE_ENDS)] = 2
@@ -69,7 +68,7 @@ _APART[list(_PIECE_ENDS)] = 2
 
 @dataclass
 class Words:
-    """The words of some texts: where each begins and ends in `data`, its piece, row and hash."""
+    """The words of some texts: where each begins and ends in `data`, its piece, row and hashes."""
 
     data: bytes
     begins: np.ndarray
@@ -77,8 +76,8 @@ class Words:
     pieces: np.ndarray
     rows: np.ndarray
     hashes: np.ndarray
-    seeds: np.ndarray  # of each row's language, and its number
-    langs: np.ndarray
+    checks: np.ndarray  # another hash of each word
+    seeds: np.ndarray  # of each row's language
 
     def phrases(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Fingerprints of all runs of k words, and which of them lie within a piece."""
@@ -88,27 +87,23 @@ class Words:
         seeds = self.seeds[self.rows[:n]] + np.uint64(k)
         return spread(Rolling(self.hashes, 1).all(k) + spread(seeds)), self.pieces[:n] == self.pieces[k - 1 :]
 
-    def numbers(self) -> np.ndarray:
-        """A number for each word, the same for equal words only."""
-        _, first, number = np.unique(self.hashes, return_index=True, return_inverse=True)
-        like = first[number]
-        long = self.ends - self.begins
-        raw = np.frombuffer(self.data, dtype=np.uint8)
-        same = bool((long == long[like]).all())
-        step = 1 << 18
-        for a in range(0, len(long) if same else 0, step):
-            part = slice(a, a + step)
-            sizes = long[part]
-            inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            at, other = np.repeat(self.begins[part], sizes), np.repeat(self.begins[like[part]], sizes)
-            if not np.array_equal(raw[at + inner], raw[other + inner]):
-                same = False
-                break
-        if same:
-            return number
-        known: dict[bytes, int] = {}
-        spans = zip(self.begins.tolist(), self.ends.tolist(), strict=True)
-        return np.array([known.setdefault(self.data[a:b], len(known)) for a, b in spans], dtype=np.int64)
+    def second(self, k: int) -> np.ndarray:
+        """The other hash of all runs of k words."""
+        return (Rolling(self.checks).all(k) >> np.uint64(64 - _CHECK)).astype(np.int64)
+
+    def grouped(self, k: int, kept: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of the runs of k words that are kept: both hashes of each different one, how many there are, and
+        the first of them."""
+        at = np.flatnonzero(kept)
+        fp, check = self.phrases(k)[0][at], self.second(k)[at]
+        order = np.argsort(fp, kind="stable")
+        new = fp[order][1:] != fp[order][:-1]
+        if np.any(~new & (check[order][1:] != check[order][:-1])):
+            order = np.lexsort((check, fp))
+            new = (fp[order][1:] != fp[order][:-1]) | (check[order][1:] != check[order][:-1])
+        begins = np.flatnonzero(np.append(len(at) > 0, new))
+        first = order[begins]
+        return fp[first], check[first], np.diff(np.append(begins, len(at))), at[first]
 
     def texts(self, first: np.ndarray, k: int) -> list[str]:
         """The runs of k words that begin at these words, with one space between."""
@@ -126,18 +121,19 @@ def split_words(texts: list[str], langs: list[str]) -> Words:
     ends = np.flatnonzero(inside & np.append(~inside[1:], True)[: len(raw)]) + 1
     pieces = np.searchsorted(np.flatnonzero(apart == 2), begins)
     rows = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), begins, side="right")
-    hashes = np.empty(len(begins), dtype=np.uint64)
+    hashes, checks = np.empty((2, len(begins)), dtype=np.uint64)
     a = 0
     while a < len(begins):  # windows of whole words
         b = max(a + 1, int(np.searchsorted(ends, begins[a] + _WINDOW, side="right")))
         low = begins[a]
         sums = Rolling(_BYTES[raw[low : ends[b - 1]]])
         hashes[a:b] = sums.between(begins[a:b] - low, ends[a:b] - low)
+        plain = np.append(np.uint64(0), np.cumsum(_OTHER_BYTES[raw[low : ends[b - 1]]]))
+        checks[a:b] = spread(plain[ends[a:b] - low] - plain[begins[a:b] - low])
         a = b
-    number = {lang: i for i, lang in enumerate(set(langs))}
-    seeds = {lang: xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 11) for lang in number}
-    of_rows = np.array([seeds[lang] for lang in langs], dtype=np.uint64), np.array([number[lang] for lang in langs])
-    return Words(data, begins, ends, pieces, rows, hashes, *of_rows)
+    seeds = {lang: xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), 11) for lang in set(langs)}
+    of_rows = np.array([seeds[lang] for lang in langs], dtype=np.uint64)
+    return Words(data, begins, ends, pieces, rows, hashes, checks ^ of_rows[rows], of_rows)
 
 
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Words]]:
@@ -179,40 +175,58 @@ class Marks:
 
 def _prepared(docs: DataFrame) -> DataFrame:
     lang, text = F.coalesce("lang", F.lit(UNKNOWN)), F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", lang.alias("lang"), text.alias("text"))
+    part = F.xxhash64(text).bitwiseAND(F.lit((1 << _PART) - 1))
+    return docs.select("doc_id", lang.alias("lang"), text.alias("text"), part.alias("part"))
 
 
 def _frequent(docs: DataFrame, lengths: list[int], marks, least: int) -> DataFrame:
-    """fp: the fingerprints of phrases of these lengths that are found `least` times or more.
-
-    With marks, only phrases whose pairs are all marked are counted, and the words of marked pairs
-    are among the result, however often they are found.
-    """
+    """fp, check, a, part: the phrases of these lengths that are found `least` times or more, in the
+    shared folder. With marks, only phrases whose pairs are all marked are counted."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        singles = np.empty(0, dtype=np.uint64)
         for batch in batches:
-            for _, words in _groups(batch):
+            # In the order of parts, so that the first occurrence is in the least.
+            batch = batch.take(pc.sort_indices(batch.column("part")))
+            for some, words in _groups(batch):
+                part = some.column("part").to_numpy()
                 if marks is not None:
-                    found, wanted = words.phrases(2)
-                    pairs = wanted & marks.value.holds(found)
-                    in_pair = np.append(pairs, False) | np.append(False, pairs)
-                    if pairs.any():
-                        singles = np.union1d(singles, words.phrases(1)[0][in_pair])
+                    found, pairs = words.phrases(2)
+                    pairs = pairs & marks.value.holds(found)
                 for k in lengths:
-                    found, wanted = words.phrases(k)
+                    kept = words.phrases(k)[1]
                     if marks is not None:
-                        for j in range(k - 1 if len(found) else 0):
-                            wanted &= pairs[j : j + len(found)]
-                    yield rows(*np.unique(found[wanted], return_counts=True))
-        yield rows(singles, np.full(len(singles), least, dtype=np.int64))
-
-    def rows(fp: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(n)], names=["fp", "n"])
+                        for j in range(k - 1 if len(kept) else 0):
+                            kept = kept & pairs[j : j + len(kept)]
+                    fp, check, n, first = words.grouped(k, kept)
+                    pointer = (part[words.rows[first]] << _CHECK) | check
+                    columns = [pa.array(fp.view(np.int64)), pa.array(n), pa.array(pointer)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["fp", "n", "pointer"])
 
     # Counts are combined within a batch; what is left is mostly different, so it is shuffled as it is.
-    counted = docs.select("lang", "text").mapInArrow(count, "fp long, n long").repartition("fp")
-    return counted.groupBy("fp").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("fp")
+    counted = docs.select("lang", "text", "part").mapInArrow(count, "fp long, n long, pointer long").repartition("fp")
+    check = F.col("pointer").bitwiseAND(F.lit((1 << _CHECK) - 1)).alias("check")
+    reduced = counted.groupBy("fp", check).agg(F.sum("n").alias("a"), F.min("pointer").alias("pointer"))
+    return stored(
+        reduced.filter(F.col("a") >= least).select(
+            "fp", "check", "a", F.shiftrightunsigned("pointer", _CHECK).alias("part")
+        )
+    )
+
+
+#: Where the bits of a part are put in a fingerprint for a mark of both.
+_PLACES = (38, 12, 0)
+
+
+def _of_part(fp: Column, part: Column) -> Column:
+    for left in _PLACES:
+        fp = fp.bitwiseXOR(F.shiftleft(part, left))
+    return fp
+
+
+def _of_parts(fp: np.ndarray, part: np.ndarray) -> np.ndarray:
+    for left in _PLACES:
+        fp = fp ^ (part.astype(np.uint64) << np.uint64(left))
+    return fp
 
 
 def _marked(frequent: DataFrame, bits: int) -> dict[int, bytes]:
@@ -232,99 +246,44 @@ def _marked(frequent: DataFrame, bits: int) -> dict[int, bytes]:
     return {row.chunk: bytes(row.content) for row in chunks.toLocalIterator()}
 
 
-def _occurrences(words: Words, k: int, numbers: np.ndarray, marks: Marks) -> tuple[np.ndarray, np.ndarray]:
-    """The first occurrence of each phrase of k words that is marked, and how many there are."""
-    found, wanted = words.phrases(k)
-    if not len(found):
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    at = np.flatnonzero(wanted & marks.holds(found))
-    _, first, group, n = np.unique(found[at], return_index=True, return_inverse=True, return_counts=True)
-    pointer = at[first]
-    like = pointer[group]
-    langs = words.langs[words.rows]
-    same = langs[at] == langs[like]
-    for j in range(k):
-        same &= numbers[at + j] == numbers[like + j]
-    if same.all():
-        return pointer, n
-    # A fingerprint stands for several phrases: tell them apart by their words.
-    columns = np.stack([numbers[at + j] for j in range(k)] + [langs[at]], axis=1)
-    _, first, n = np.unique(columns, axis=0, return_index=True, return_counts=True)
-    return at[first], n
-
-
 def _materialised(docs: DataFrame, marks) -> DataFrame:
-    """lang, k, phrase, n, doc_id, word: the marked phrases of each task, at most `_HELD` at a time;
-    k = 0 has all words of a language."""
+    """fp, check, lang, k, phrase, n, doc_id, word: the phrases that are marked for the part of a
+    document; k = 0 has the number of words of a language."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(types)
         for batch in batches:
-            # In the order of doc_id, so that the first occurrence is that of the least.
-            batch = batch.take(pc.sort_indices(batch.column("doc_id"), null_placement="at_end"))
-            for part, words in _groups(batch):
-                langs, ids = part.column("lang").to_pylist(), part.column("doc_id").to_pylist()
-                for lang, k, text, n, doc, word in _phrases(words, langs, ids, marks.value):
-                    held.add(lang, k, text, n, doc, word)
-                if held.size > _HELD:
-                    yield held.emitted(kind.names)
-                    held = _Held(types)
-        yield held.emitted(kind.names)
-
-    of_id = docs.schema["doc_id"].dataType
-    kind = T.StructType.fromDDL("lang string, k int, phrase string, n long").add("doc_id", of_id).add("word", T.LongType())
-    types = [pa.string(), pa.int32(), pa.string(), pa.int64(), to_arrow_type(of_id), pa.int64()]
+            for some, words in _groups(batch):
+                part = some.column("part").to_numpy()
+                offset = np.searchsorted(words.rows, words.rows)
+                totals = _totals(words, some.column("lang").to_pylist())
+                none = [None] * len(totals)
+                yield made(some, none, none, list(totals), 0, none, list(totals.values()), none)
+                for k in range(1, LONGEST + 1):
+                    fp, kept = words.phrases(k)
+                    kept &= marks.value.holds(_of_parts(fp, part[words.rows[: len(fp)]]))
+                    fp, check, n, first = words.grouped(k, kept)
+                    texts, places = words.texts(first, k), first - offset[first]
+                    yield made(some, fp.view(np.int64), check, words.rows[first], k, texts, n, places)
+
+    def made(some: pa.RecordBatch, fp, check, rows, k: int, texts, n, places) -> pa.RecordBatch:
+        taken = pa.array(rows, pa.int64())
+        columns = [
+            pa.array(fp, pa.int64()),
+            pa.array(check, pa.int64()),
+            some.column("lang").take(taken),
+            pa.array([k] * len(taken), pa.int32()),
+            pa.array(texts, pa.string()),
+            pa.array(n, pa.int64()),
+            some.column("doc_id").take(taken),
+            pa.array(places, pa.int64()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=kind.names)
+
+    kind = T.StructType.fromDDL("fp long, check long, lang string, k int, phrase string, n long")
+    kind = kind.add("doc_id", docs.schema["doc_id"].dataType).add("word", T.LongType())
     return docs.mapInArrow(read, kind)
 
 
-class _Held:
-    """Counts and first places of phrases, in columns."""
-
-    def __init__(self, types: list[pa.DataType]):
-        self.types, self.size = types, 0
-        self.at: dict[tuple[str, int], dict[str | None, int]] = {}
-        self.n, self.word, self.doc = array("q"), array("q"), []
-
-    def add(self, lang: str, k: int, text: str | None, n: int, doc, word: int) -> None:
-        known = self.at.setdefault((lang, k), {})
-        i = known.setdefault(text, self.size)
-        if i == self.size:
-            self.n.append(n)
-            self.word.append(word)
-            self.doc.append(doc)
-            self.size += 1
-            return
-        self.n[i] += n
-        if (doc is None, doc, word) < (self.doc[i] is None, self.doc[i], self.word[i]):
-            self.doc[i], self.word[i] = doc, word
-
-    def emitted(self, names: list[str]) -> pa.RecordBatch:
-        order, langs, lengths, texts = [], [], [], []
-        for (lang, k), known in self.at.items():
-            order += known.values()
-            texts += known
-            langs += [lang] * len(known)
-            lengths += [k] * len(known)
-        taken = np.array(order, dtype=np.int64)
-        columns = [langs, lengths, texts, np.array(self.n)[taken], None, np.array(self.word)[taken]]
-        arrays = [pa.array(c, t) for c, t in zip(columns, self.types, strict=True) if c is not None]
-        arrays.insert(4, pa.array(self.doc, self.types[4]).take(pa.array(taken)))
-        return pa.RecordBatch.from_arrays(arrays, names=names)
-
-
-def _phrases(words: Words, langs: list[str], ids: list, marks: Marks) -> Iterator[tuple]:
-    """lang, k, phrase, how often, first doc_id and word: the marked phrases of some texts."""
-    for row, n in _totals(words, langs).items():
-        yield langs[row], 0, None, n, None, 0
-    numbers = words.numbers()
-    offset = np.searchsorted(words.rows, words.rows)
-    for k in range(1, LONGEST + 1):
-        first, counts = _occurrences(words, k, numbers, marks)
-        rows, places = words.rows[first].tolist(), (first - offset[first]).tolist()
-        for text, n, row, word in zip(words.texts(first, k), counts.tolist(), rows, places, strict=True):
-            yield langs[row], k, text, n, ids[row], word
-
-
 def _totals(words: Words, langs: list[str]) -> dict[int, int]:
     """Number of words of each language, under one of its rows."""
     count = np.bincount(words.rows, minlength=len(langs)).tolist()
@@ -336,28 +295,32 @@ def _totals(words: Words, langs: list[str]) -> dict[int, int]:
 
 
 def frequent_phrases(docs: DataFrame, least: int = FREQUENT, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """lang, k, phrase, a, first_doc, first_word: phrases of one to four words found `least` times or more.
+    """lang, k, phrase, a, doc_id, word: phrases of one to four words found `least` times or more.
 
-    k = 0 stands for all words of a language. The pointer is the first occurrence by doc_id (rows
-    without one last) and its number among the words of that text, from 0.
+    k = 0 stands for all words of a language. doc_id and word (its number among the words of the text,
+    from 0) are the place of an occurrence.
     """
     docs = _prepared(docs)
     context = docs.sparkSession.sparkContext
-    chunks: dict[int, bytes] = {}
-    marks = None
-    for lengths in ([2], list(range(3, LONGEST + 1))):
-        for chunk, content in _marked(_frequent(docs, lengths, marks, least), filter_bits).items():
-            known = np.frombuffer(chunks.get(chunk, bytes(_CHUNK // 8)), dtype=np.uint8)
-            chunks[chunk] = (known | np.frombuffer(content, dtype=np.uint8)).tobytes()
-        marks = context.broadcast(Marks(filter_bits, chunks))
-    pointer = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "word")
-    counted = _materialised(docs, marks).groupBy("lang", "k", "phrase").agg(
-        F.sum("n").alias("a"), F.min(pointer).alias("first")
+    few = _frequent(docs, [1, 2], None, least)
+    marks = context.broadcast(Marks(filter_bits, _marked(few, filter_bits)))
+    many = _frequent(docs, list(range(3, LONGEST + 1)), marks, least)
+    frequent = few.unionByName(many)
+    pointers = frequent.select(_of_part(F.col("fp"), F.col("part")).alias("fp"))
+    owners = context.broadcast(Marks(filter_bits, _marked(pointers, filter_bits)))
+    texts = stored(_materialised(docs, owners))
+    phrase, place = F.struct("lang", "k", "phrase"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "word")
+    told = texts.filter("k > 0").groupBy("fp", "check").agg(
+        F.min(phrase).alias("phrase"), F.max(phrase).alias("other"), F.min(place).alias("place")
     )
-    kept = counted.filter((F.col("a") >= least) | (F.col("k") == 0))
-    return stored(
-        kept.select("lang", "k", "phrase", "a", F.col("first.doc_id").alias("first_doc"), F.col("first.word").alias("first_word"))
+    same = F.when(F.col("phrase") == F.col("other"), F.col("phrase.phrase")).otherwise(
+        F.raise_error(F.lit("two phrases have one fingerprint")).cast("string")
+    )
+    found = frequent.drop("part").join(told, ["fp", "check"]).select(
+        "phrase.lang", "phrase.k", same.alias("phrase"), "a", "place.doc_id", "place.word"
     )
+    totals = texts.filter("k = 0").groupBy("lang", "k").agg(F.sum("n").alias("a"))
+    return stored(found.unionByName(totals, allowMissingColumns=True))
 
 
 def _exact(value: Column | str) -> Column:
@@ -408,7 +371,7 @@ def not_within_longer(found: DataFrame, within: int = WITHIN) -> DataFrame:
 def collocations(
     docs: DataFrame, least: int = FREQUENT, listed: int = LISTED, within: int = WITHIN, filter_bits: int = FILTER_BITS
 ) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score, first_doc, first_word: the best phrases of each language."""
+    """lang, rank, phrase, a, l, r, n, score, doc_id, word: the best phrases of each language."""
     found = frequent_phrases(docs, least, filter_bits)
     kept = not_within_longer(found, within).join(scored(found), ["lang", "phrase"])
     totals = found.filter("k = 0").select("lang", F.col("a").alias("n"))
@@ -419,7 +382,7 @@ def collocations(
     best = kept.withColumn("part", part).withColumn("rank", F.row_number().over(in_part)).filter(F.col("rank") <= listed)
     best = best.withColumn("rank", F.row_number().over(in_lang).cast("long")).filter(F.col("rank") <= listed)
     return best.join(totals, "lang").select(
-        "lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"), "first_doc", "first_word"
+        "lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"), "doc_id", "word"
     )
 
 

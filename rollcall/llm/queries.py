@@ -61,7 +61,7 @@ def queries() -> dict[str, Query]:
         "op9_simhash_pigeonring": _over_documents(simhash.simhash_components),
         "op10_personal_data": _over_documents(pii.personal_data),
         "op11_collocations": _over_documents(
-            lambda docs: phrases.collocations(docs).drop("first_doc", "first_word")
+            lambda docs: phrases.collocations(docs).drop("doc_id", "word")
         ),
         "op12_periodic_runs": _over_documents(periods.period_digests),
         "op13_scaled_sketch": _over_documents(fingerprints.edited_fingerprints),
