@@ -3,8 +3,11 @@ from datetime import date, datetime
 
 import pytest
 
+from compare import SMALL
 from rollcall.plans import actions, measures, reports
 from rollcall.plans.tickets import tickets_all
+from rollcall.sinks import staged
+from rollcall.sources.sample import SETTINGS, sample_tables
 from test_facts import DATE, STATUS, change, reset
 
 EVENTS = [
@@ -243,3 +246,31 @@ def test_measures_of_nothing(make, rows, settings):
     assert rows(measures.days_to_double(empty, [], settings)) == [(None,)]
     status = measures.data_status(empty, [], settings).first()[0]
     assert status == "Data through  AZ  •  Viewed Jan 20 at 8:30 AM"
+
+
+def test_measures_of_several_grains_read_the_log_once(spark):
+    log = staged(actions.confirmation_actions(sample_tables(spark, SMALL), SETTINGS))
+    for measure, groups in (
+        (measures.confirmations, ["week_label", "confirmation_status"]),
+        (measures.week_over_week, ["user_email", "week_label"]),
+        (measures.depth, ["week_start_date", "confirmation_status"]),
+        (measures.depth, ["confirmation_status"]),
+        (measures.days_to_double, ["user_email", "confirmation_status"]),
+        (measures.outcomes, ["is_last_confirmer", "ticket_outcome"]),
+    ):
+        plan = measure(log, groups, SETTINGS)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1, (measure, groups)
+
+
+def test_a_ticket_in_several_groups_counts_once_in_their_grain(spark, rows):
+    # Ticket a is confirmed in both weeks; whatever the status shown, each week counts it once.
+    acts = [("a", "x", "Confirmed", 1), ("a", "x", "Double Confirmed", 1), ("a", "y", "Confirmed", 1), ("b", "x", "Confirmed", 1), (None, "x", "Confirmed", 1)]
+    log = spark.createDataFrame(acts, "ticket_id string, week_label string, confirmation_status string, is_rep_action int")
+    got = measures.confirmations(log, ["week_label", "confirmation_status"], SETTINGS)
+    assert rows(got, "week_label", "confirmation_status", "confirmations", "confirmed", "double_confirmed") == [
+        ("x", "Confirmed", 2, 2, 1), ("x", "Double Confirmed", 2, 2, 1), ("y", "Confirmed", 1, 1, 0),
+    ]
+    by_ticket = measures.confirmations(log, ["ticket_id", "confirmation_status"], SETTINGS)
+    assert rows(by_ticket, "ticket_id", "confirmation_status", "confirmations") == sorted(
+        [("a", "Confirmed", 1), ("a", "Double Confirmed", 1), ("b", "Confirmed", 1), (None, "Confirmed", 0)], key=repr
+    )
