@@ -14,7 +14,8 @@ a passage of many documents is never gathered and its pairs are never formed.
 
 Nulls have no words. Rows without a doc_id neither lose words nor count as earlier. Equal doc_ids
 are never earlier than each other, so repeated rows lose the same words. Extra columns are ignored,
-an empty table gives an empty result. Windows are compared by two independent 64-bit hashes.
+an empty table gives an empty result. Anchors and windows are compared by
+64-bit hashes of one kind, surroundings by another.
 """
 
 from __future__ import annotations
