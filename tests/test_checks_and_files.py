@@ -206,3 +206,23 @@ def test_views_and_catalog_tables(spark, tables):
     register_views({"customers_now": tables["customers"]})
     named = Tables.from_catalog(spark, {"customers": "customers_now"})
     assert named["customers"].count() == tables["customers"].count()
+
+
+def test_a_rerun_has_no_fixed_number_of_tasks(spark, monkeypatch):
+    """The second run of the lists gets its rows dealt otherwise, to as many tasks as any shuffle."""
+    import __spark_entry__ as entry
+    from compare import SMALL
+
+    made = []
+
+    def noted(tables, specs, settings):
+        made.append(tables)
+        return {name: spark.createDataFrame([], "x int") for name in specs}
+
+    monkeypatch.setattr(entry.lists, "customer_lists", noted)
+    monkeypatch.setattr(entry.checks, "rerun_check", lambda first, second, lists: second)
+    entry.queries()["checks_rerun"](spark, SMALL)
+    for name in ("tickets", "attendees"):
+        plan = made[1][name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression [xxhash64(" in plan
+        assert sorted(made[1][name].collect(), key=repr) == sorted(made[0][name].collect(), key=repr)
