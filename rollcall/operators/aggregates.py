@@ -41,15 +41,20 @@ def text_list(value: str, separator: str = ", ", order: str | None = None) -> Co
 
 
 def counted_list(df: DataFrame, keys: Sequence[str], item: str, name: str) -> DataFrame:
-    """One text per group: ``item xN, item xN``, by item."""
-    counted = df.groupBy(*keys, item).agg(F.count("*").alias("_n"))
+    """One text per group: ``item xN, item xN``, by item.
+
+    The rows of a text are brought together as they are: parts of a text are no
+    smaller than its rows, so combining them before the shuffle saves nothing.
+    """
+    counted = df.groupBy(*keys, item).agg(F.count("*").alias("_n")).repartition(*keys)
     labelled = counted.withColumn("_label", F.concat(F.col(item), F.lit(" x"), F.col("_n")))
     return labelled.groupBy(*keys).agg(text_list("_label", order=item).alias(name))
 
 
 def distinct_list(df: DataFrame, keys: Sequence[str], item: str, name: str) -> DataFrame:
-    """One text per group: the distinct values, in order."""
-    return df.select(*keys, item).distinct().groupBy(*keys).agg(text_list(item).alias(name))
+    """One text per group: the distinct values, in order; brought together as in ``counted_list``."""
+    values = df.select(*keys, item).distinct().repartition(*keys)
+    return values.groupBy(*keys).agg(text_list(item).alias(name))
 
 
 def rank_of_label(label: Column, ranked: Sequence[str]) -> Column:
