@@ -57,6 +57,17 @@ RESTRICTIONS = ["Do Not Contact", "Do Not Blast", "Do Not Call"]
 # Fixed values, preferred first.
 CONTACT_SOURCES = ["business_owner", "attendee", "purchaser", "netsuite"]
 PLACEHOLDER_EMAIL = "+placeholder@"
+# What a list reads of a ticket.
+TICKET_COLUMNS = [
+    "ticket_id", "customer_id", "product_name", "ticket_type", "status", "event_date",
+    "outreach_restriction", "sales_order_id", "purchaser_name", "purchaser_email",
+    "purchaser_phone", "undecided_timestamp", "registration_date", "transaction_id", "is_deleted",
+]
+# What the ids on a list need of a ticket.
+ID_COLUMNS = [
+    "customer_id", "product_name", "status", "purchaser_name", "purchaser_email", "purchaser_phone",
+    "transaction_id", "is_deleted",
+]
 
 
 @dataclass(frozen=True)
@@ -168,9 +179,7 @@ def told_apart(rows: DataFrame, specs: Specs, fields: Collection[str]) -> DataFr
 
 def listed_tickets(tables: Tables, specs: Specs) -> DataFrame:
     """The lists' tickets that are not deleted and have a business, status in lower case."""
-    of_any = _of_any("product_name", [spec.product for spec in specs.values()])
-    live = of_any & (F.col("is_deleted") == 0) & F.col("customer_id").isNotNull()
-    return of_lists(tables["tickets"].filter(live), specs).withColumn("status", F.lower("status"))
+    return of_lists(tables["tickets"].filter(_on_some_list(specs)), specs).withColumn("status", F.lower("status"))
 
 
 def product_tickets(tables: Tables, product: str) -> DataFrame:
@@ -300,12 +309,13 @@ def last_activities(tables: Tables, specs: Specs) -> DataFrame:
 
     Deleted tickets count. The contact log is cut to the tickets given here, by a
     semi join before anything is aggregated, and to one row per ticket before it
-    meets them.
+    meets them. The stored ids take far less room in files than in a hash table, so
+    Spark's size check would broadcast millions of them; they are merged.
     """
     tickets = tables["tickets"].select("ticket_id", "customer_id", "product_name")
     contacted = (
         tables["attendee_tickets"]
-        .join(tickets.select("ticket_id"), "ticket_id", "left_semi")
+        .join(tickets.select("ticket_id").hint("merge"), "ticket_id", "left_semi")
         .groupBy("ticket_id")
         .agg(F.max("blast_date").alias("blast"), F.max("last_called_date").alias("call"))
     )
@@ -475,18 +485,24 @@ def pick_contact(candidates: DataFrame) -> DataFrame:
     )
 
 
-def pick_contacts(tables: Tables, scoped: DataFrame, settings: Settings) -> DataFrame:
+def pick_contacts(tables: Tables, tickets: DataFrame, settings: Settings) -> DataFrame:
     """The preferred contact of each business, in each of several lists.
 
-    Contacts that lists share are picked once per business and source; only those
-    few meet the lists that the business is in.
+    Of the contacts that lists share, one is picked per business. Where it is
+    preferred to a purchaser it is the business's contact in all of its lists, with
+    nothing more to sort; purchasers are looked up for the other businesses.
     """
-    if "list" not in scoped.columns:
+    if "list" not in tickets.columns:
+        scoped = with_their_sale(tickets, tables)
         return pick_contact(contact_candidates(tables, scoped, settings))
-    one_each = keep_first(shared_contacts(tables), ["customer_id", "contact_source"], _contact_order())
-    holders = scoped.select("list", "customer_id").distinct()
-    purchasers = purchaser_contacts(scoped, settings)
-    return pick_contact(purchasers.unionByName(one_each.join(holders, "customer_id")))
+    holders = tickets.select("list", "customer_id").distinct()
+    shared = pick_contact(shared_contacts(tables))
+    is_served = F.col("contact_source").isin(CONTACT_SOURCES[: CONTACT_SOURCES.index("purchaser")])
+    served, others = shared.filter(is_served), shared.filter(~is_served)
+    unserved = tickets.join(served.select("customer_id"), "customer_id", "left_anti")
+    purchasers = purchaser_contacts(with_their_sale(unserved, tables), settings)
+    picked = pick_contact(purchasers.unionByName(others.join(holders, "customer_id")))
+    return picked.unionByName(served.join(holders, "customer_id"))
 
 
 def status_summary(tables: Tables, product: str) -> DataFrame:
@@ -498,7 +514,8 @@ def status_summaries(tables: Tables, specs: Specs) -> DataFrame:
     """``status: product xN, ... | status: ...`` per business, for each list's product
     and for everything the business holds.
 
-    All texts come from one count by business, status and product.
+    All texts come from one count by business, status and product, which is shuffled
+    by business once for the texts of its statuses and its own.
     """
     of_product = [F.col("product_name").contains(spec.product) for spec in specs.values()]
     counted = (
@@ -506,6 +523,7 @@ def status_summaries(tables: Tables, specs: Specs) -> DataFrame:
         .filter((F.col("is_deleted") == 0) & F.col("customer_id").isNotNull())
         .groupBy("customer_id", F.lower("status").alias("status"), "product_name")
         .agg(F.count("*").alias("n"))
+        .repartition("customer_id")
         .withColumn("item", F.concat("product_name", F.lit(" x"), "n"))
         .withColumns({f"item_{i}": F.when(t, F.col("item")) for i, t in enumerate(of_product)})
     )
@@ -546,17 +564,35 @@ def of_businesses_with(tables: Tables, specs: Specs) -> Tables:
     """The tables with the tickets, attendees and master data of businesses that are in a list.
 
     What the branches aggregate is cut to them first. Their tickets and customers
-    are stored, since several branches read them, each its own columns.
+    are stored, since several branches read them, each its own columns; no other
+    column of a ticket is shuffled or written.
+    """
+    tickets = tables["tickets"].select(*TICKET_COLUMNS)
+    holders = tickets.filter(_on_some_list(specs)).select("customer_id").distinct()
+    return _cut_to(tables, staged(tickets.join(holders, "customer_id", "left_semi")))
+
+
+def with_listed_tickets_only(tables: Tables, specs: Specs) -> Tables:
+    """The same without the businesses' other tickets, for what reads none of them.
+
+    A ticket on a list is of a business in scope by itself, so this needs no join
+    of the tickets.
     """
+    return _cut_to(tables, staged(tables["tickets"].select(*ID_COLUMNS).filter(_on_some_list(specs))))
+
+
+def _on_some_list(specs: Specs) -> Column:
     of_any = _of_any("product_name", [spec.product for spec in specs.values()])
-    live = (F.col("is_deleted") == 0) & F.col("customer_id").isNotNull()
-    holders = tables["tickets"].filter(of_any & live).select("customer_id").distinct()
-    tickets = staged(tables["tickets"].join(holders, "customer_id", "left_semi"))
+    return of_any & (F.col("is_deleted") == 0) & F.col("customer_id").isNotNull()
+
+
+def _cut_to(tables: Tables, tickets: DataFrame) -> Tables:
+    """The tables with the attendees and customers of the businesses in some stored tickets."""
     ids = tickets.select("customer_id").distinct()
-    customers = tables["customers"].join(
+    customers = tables["customers"].select("id", "name", "cv_customer_id").join(
         ids.withColumnRenamed("customer_id", "id"), "id", "left_semi"
     )
-    return tables.replaced(
+    return tables.narrowed(
         tickets=tickets,
         attendees=tables["attendees"].join(ids, "customer_id", "left_semi"),
         customers=staged(customers),
@@ -584,7 +620,7 @@ def business_rows(tables: Tables, specs: Specs, settings: Settings) -> DataFrame
     tables = of_businesses_with(tables, specs)
     tickets = listed_tickets(tables, specs)
     scoped = with_their_sale(tickets, tables)
-    needed = [pick_contacts(tables, scoped, settings), profile(tables)]
+    needed = [pick_contacts(tables, tickets, settings), profile(tables)]
     optional = [
         _types(tickets, scoped, specs, settings),
         sales_orders(tickets),
@@ -604,10 +640,11 @@ def listed_ids(tables: Tables, specs: Specs, settings: Settings) -> DataFrame:
 
     These are the businesses with a ticket for the product and any contact.
     """
-    tables = of_businesses_with(tables, specs)
-    scoped = with_their_sale(listed_tickets(tables, specs), tables)
-    keys = keys_of(scoped)
-    holders = scoped.select(*keys).distinct()
+    tables = with_listed_tickets_only(tables, specs)
+    tickets = listed_tickets(tables, specs)
+    scoped = with_their_sale(tickets, tables)
+    keys = keys_of(tickets)
+    holders = tickets.select(*keys).distinct()
     with_contact = holders.join(shared_contacts(tables), "customer_id", "left_semi").select(*keys)
     buyers = purchaser_contacts(scoped, settings).select(*keys)
     customers = tables["customers"].select(F.col("id").alias("customer_id"), "cv_customer_id")

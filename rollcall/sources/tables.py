@@ -46,6 +46,12 @@ class Tables(Mapping[str, DataFrame]):
         """The same snapshot with some tables swapped."""
         return Tables(lambda name: frames[name] if name in frames else self[name])
 
+    def narrowed(self, **frames: DataFrame) -> Tables:
+        """The same snapshot with some tables cut to fewer rows and columns; they have no others."""
+        tables = Tables(self.__getitem__)
+        tables._frames.update(frames)
+        return tables
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in BASE_TABLES:
             raise KeyError(name)

@@ -348,3 +348,61 @@ def test_ids_alone_equal_those_of_the_lists(spark, rows):
     assert rows(lists.listed_ids(tables, specs, SETTINGS), "list", "cv_customer_id") == sorted(expected, key=repr)
     alone = lists.listed_ids(tables, {"": SPEC}, SETTINGS)
     assert [(r[0],) for r in rows(alone)] == rows(made["alpha"], "CV Customer ID")
+
+
+def test_ids_alone_need_no_join_of_the_tickets(spark, monkeypatch):
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return staged(df)
+
+    monkeypatch.setattr(lists, "staged", noted)
+    lists.listed_ids(sample_tables(spark, SMALL), {"": SPEC}, SETTINGS)
+    assert "Join" not in plans[0] and plans[0].count("Relation [o_orderkey") == 1
+
+
+def test_only_columns_of_a_list_are_kept_of_its_tickets(spark):
+    tables = lists.of_businesses_with(sample_tables(spark, SMALL), {"": SPEC})
+    assert sorted(tables["tickets"].columns) == sorted(lists.TICKET_COLUMNS)
+
+
+def test_purchasers_are_sought_where_no_preferred_contact_is(make, rows):
+    specs = {"a": lists.ListSpec("Alpha", "Alpha"), "b": lists.ListSpec("Beta", "Alpha")}
+    buyer = {"purchaser_email": "p@x.com", "purchaser_name": "P"}
+    tables = make(
+        tickets=[
+            ticket("1", **buyer), ticket("2", **buyer, customer_id=2), ticket("3", **buyer, customer_id=3),
+            ticket("4", customer_id=4), ticket("5", customer_id=2, product_name="Beta"),
+            ticket("6", customer_id=3, product_name="Beta"),
+        ],
+        customers=[business(id=i, cv_customer_id=f"CV{i}") for i in (1, 2, 3, 4)],
+        attendees=[{"customer_id": 1, "attendee_email": "a@x.com"}, {"customer_id": None, "attendee_email": "n@x.com"}],
+        dim_customer=[{"CVCustomerID": f"CV{i}", "NetSuiteID": i} for i in (1, 2, 4)],
+        silver_entity=[{"EntityID": i, "Email": f"e{i}@x.com"} for i in (1, 2, 4)],
+    )
+    picked = lists.pick_contacts(tables, lists.listed_tickets(tables, specs), SETTINGS)
+    assert rows(picked, "list", "customer_id", "contact_source", "contact_email") == [
+        ("a", 1, "attendee", "a@x.com"), ("a", 2, "purchaser", "p@x.com"),
+        ("a", 3, "purchaser", "p@x.com"), ("a", 4, "netsuite", "e4@x.com"),
+        ("b", 2, "netsuite", "e2@x.com"),
+    ]
+    assert "LeftAnti" in picked._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ticket_ids_are_not_broadcast_to_the_contact_log(spark):
+    tables = lists.of_businesses_with(sample_tables(spark, SMALL), {"": SPEC})
+    plan = lists.last_activity(tables, "Alpha")._jdf.queryExecution().executedPlan().toString()
+    semi = [line for line in plan.splitlines() if "Join [ticket_id" in line and "LeftSemi" in line]
+    assert semi and all("SortMergeJoin" in line for line in semi)
+
+
+def test_items_of_a_text_are_shuffled_as_rows(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = lists.status_summaries(sample_tables(spark, SMALL), {"": SPEC})
+        plan = texts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The count, and its rows by business; none for the texts of a status.
+    assert plan.count("Exchange hashpartitioning") == 2
