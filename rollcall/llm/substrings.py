@@ -97,13 +97,14 @@ def _window_rows(sought: DataFrame, length: int, doc_type: T.DataType) -> DataFr
 
 
 def removed_words(runs: list | None, n: int, length: int) -> np.ndarray:
-    """Which of n words lie in a matched window; a run is (at, offsets of windows or None for all)."""
+    """Which of n words lie in a matched window; a run is (ats, offsets of windows or None for all)."""
     steps = np.zeros(n + 1, dtype=np.int64)
     for run in runs if runs is not None else ():
-        first, more, _ = unpacked(run["at"])
-        for offset in range(more + 1) if run["offsets"] is None else run["offsets"]:
-            steps[first + offset] += 1
-            steps[first + offset + length] -= 1
+        for at in run["ats"]:
+            first, more, _ = unpacked(at)
+            for offset in range(more + 1) if run["offsets"] is None else run["offsets"]:
+                steps[first + offset] += 1
+                steps[first + offset + length] -= 1
     return np.cumsum(steps[:n]) > 0
 
 
@@ -117,7 +118,8 @@ def without_repeats(
     # What follows joins stored tables, so that large keys are split between tasks.
     classes = stored(
         seeds.groupBy("anchor", "context").agg(
-            F.min(F.struct("doc_id", "t", "at")).alias("first"), F.max("doc_id").alias("last_doc")
+            F.min(F.struct("doc_id", "t", F.col("ats")[0].alias("at"))).alias("first"),
+            F.max("doc_id").alias("last_doc"),
         )
     )
     # Anchors with different surroundings: their first documents are extended window by window.
@@ -153,7 +155,7 @@ def without_repeats(
         .filter(whole | F.col("offsets").isNotNull())
         .withColumn("offsets", F.when(~whole, F.col("offsets")))
         .groupBy("doc_id", "t")
-        .agg(F.collect_list(F.struct("at", "offsets")).alias("runs"))
+        .agg(F.collect_list(F.struct("ats", "offsets")).alias("runs"))
     )
     nothing = F.lit(None).cast(runs.schema["runs"].dataType)
     found = known.join(runs, ["doc_id", "t"], "left").unionByName(

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from rollcall.llm import substrings, suffixes, winnowing
+from rollcall.llm import seeds, substrings, suffixes, winnowing
 
 
 def by_words(rows, length):
@@ -77,6 +77,18 @@ def test_empty(docs_of):
         assert module.without_repeats(docs_of([])).count() == 0
 
 
+def test_a_text_that_repeats_itself_sends_one_row_to_a_key(docs_of, rows):
+    given = [(1, "a" * 3000), (2, "a" * 700 + "b" * 500), (3, "xyz " * 300), (4, None)]
+    docs = docs_of(given)
+    for tokens, length, k in ((suffixes.byte_tokens, 400, 200), (substrings.word_hashes, 50, 25)):
+        table = seeds.anchor_table(docs.fillna(""), ["doc_id"], tokens, length, k)
+        keys = rows(table, "doc_id", "anchor", "context")
+        assert keys and len(set(keys)) == len(keys)
+    assert rows(suffixes.without_repeats(docs, texts=False)) == by_bytes(given, 400)
+    words = [(d, (t or "").replace("a", "a ")) for d, t in given]
+    assert rows(substrings.without_repeats(docs_of(words), texts=False)) == by_words(words, 50)
+
+
 def test_windows_are_sorted_into_equals():
     r = random.Random(1)
     for _ in range(100):
